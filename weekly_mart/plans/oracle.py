@@ -120,7 +120,8 @@ CHAIN: list[tuple[str, str]] = [
 ]
 
 
-def with_chain(body: str) -> str:
-    """Prefix ``body`` with the CTE chain (DuckDB skips CTEs it does not use)."""
-    ctes = ",\n".join(f"{name} AS ({sql})" for name, sql in CHAIN)
+def with_chain(body: str, extra: list[tuple[str, str]] | None = None) -> str:
+    """Prefix ``body`` with the CTE chain plus ``extra`` CTEs (DuckDB skips
+    CTEs it does not use)."""
+    ctes = ",\n".join(f"{name} AS ({sql})" for name, sql in CHAIN + (extra or []))
     return f"WITH {ctes}\n{body}"

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weekly_mart.plans import reports
+from weekly_mart.plans import datasets, reports
 from weekly_mart.plans.oracle import FAR, with_chain
 from weekly_mart.plans.pipeline import Mart, mart
 from weekly_mart.schemas import TEMP_BUCKET_ELSE, TEMP_BUCKETS
@@ -15,9 +15,12 @@ Builder = Callable[[Mart], DataFrame]
 _REGISTRY: dict[str, tuple[Builder, str | None]] = {}
 
 
-def register(name: str, oracle: str | None):
+def register(name: str, oracle: str | None, extra: list[tuple[str, str]] | None = None, raw: bool = False):
+    """Register a builder; ``oracle`` is the final SELECT over the CTE chain
+    (plus ``extra`` CTEs), or with ``raw`` the complete DuckDB text."""
     def deco(fn: Builder) -> Builder:
-        _REGISTRY[name] = (fn, with_chain(oracle) if oracle else None)
+        sql = oracle if raw or not oracle else with_chain(oracle, extra)
+        _REGISTRY[name] = (fn, sql)
         return fn
     return deco
 
@@ -97,6 +100,96 @@ register("fact_closed", "SELECT * FROM fact_closed")(lambda m: m.fact("closed"))
 register("fact_half_open", "SELECT * FROM fact_half")(lambda m: m.fact("half_open"))
 
 
+# -- report data sets ---------------------------------------------------------
+def _ds(name: str):
+    fn = datasets.DATASETS[name]
+    return lambda m: fn(m.gold())
+
+
+def _top(src: str, cols: str, order: str, k: int) -> str:
+    return (
+        f"SELECT * FROM (SELECT {cols}, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS rank"
+        f" FROM {src}) t WHERE rank <= {k}"
+    )
+
+
+def _share(src: str, key: str, value: str) -> str:
+    return (
+        f"SELECT {key}, {value}, CAST(ROUND(CAST({value} AS DOUBLE) / (SELECT CAST(SUM({value}) AS DOUBLE)"
+        f" FROM {src}) * 100, 4) AS DECIMAL(10,4)) AS share_pct FROM {src}"
+    )
+
+
+def _pivot(inner_body: str, extra, value: str, dtype: str, group: str) -> str:
+    return (
+        f"SELECT * FROM (PIVOT ({with_chain(inner_body, extra)}) ON year"
+        f" USING CAST(COALESCE(SUM({value}), 0) AS {dtype}) GROUP BY {group})"
+    )
+
+
+R = {k: (f"x_{k}", v) for k, v in REPORT_SQL.items()}
+register(
+    "report1_grid",
+    "SELECT st.store, fl.is_holiday, COALESCE(r.weekly_sales, CAST(0 AS DECIMAL(38,2))) AS weekly_sales"
+    " FROM (SELECT DISTINCT store FROM x_r1_store) st CROSS JOIN (SELECT DISTINCT is_holiday FROM x_r1_store) fl"
+    " LEFT JOIN x_r1_store r ON r.store = st.store AND r.is_holiday = fl.is_holiday",
+    [R["r1_store"]],
+)(_ds("report1_grid"))
+register(
+    "report2_pivot",
+    _pivot("SELECT temp_bucket, bucket_ord, year, weekly_sales FROM x_r2", [R["r2"]], "weekly_sales",
+           "DECIMAL(38,2)", "temp_bucket, bucket_ord"),
+    raw=True,
+)(_ds("report2_pivot"))
+register(
+    "report2_earliest",
+    "SELECT MIN(earliest_date) AS earliest_date, strftime(MIN(earliest_date), '%b %d, %Y') AS earliest_label"
+    " FROM x_r2",
+    [R["r2"]],
+)(_ds("report2_earliest"))
+register("report3_top6", _top("x_r3", "store, size, weekly_sales", "weekly_sales DESC, size, store", 6),
+         [R["r3"]])(_ds("report3_top6"))
+register("report4_lines", "SELECT * FROM x_r4", [R["r4"]])(_ds("report4_lines"))
+register(
+    "report5_long",
+    " UNION ALL ".join(f"SELECT year, 'markdown{i}' AS markdown, markdown{i} AS amount FROM x_r5" for i in range(1, 6)),
+    [R["r5"]],
+)(_ds("report5_long"))
+register(
+    "report6_bars",
+    "SELECT type, store, weekly_sales, concat_ws('-', type, CAST(store AS VARCHAR)) AS label,"
+    " CAST(row_number() OVER (PARTITION BY type ORDER BY weekly_sales, store) AS INTEGER) AS bar_pos"
+    " FROM x_r6_store",
+    [R["r6_store"]],
+)(_ds("report6_bars"))
+register("report6_share", _share("x_r6_type", "type", "weekly_sales"), [R["r6_type"]])(_ds("report6_share"))
+register(
+    "report7_top15",
+    "SELECT * FROM ("
+    + _pivot(
+        "SELECT r.store, k.rank, r.year, r.fuel_price FROM x_r7_store r JOIN ranked k ON r.store = k.store",
+        [R["r7_store"], ("ranked",
+         "SELECT store, CAST(row_number() OVER (ORDER BY COALESCE(SUM(CASE WHEN year = (SELECT MAX(year)"
+         " FROM x_r7_store) THEN fuel_price END), 0) DESC, store) AS INTEGER) AS rank FROM x_r7_store"
+         " GROUP BY store")],
+        "fuel_price", "DECIMAL(38,4)", "store, rank")
+    + ") p WHERE rank <= 15",
+    raw=True,
+)(_ds("report7_top15"))
+register("report7_share", _share("x_r7_year", "year", "fuel_price"), [R["r7_year"]])(_ds("report7_share"))
+register(
+    "report8_best_month",
+    "SELECT month, month_name, weekly_sales FROM x_r8_month ORDER BY weekly_sales DESC, month LIMIT 1",
+    [R["r8_month"]],
+)(_ds("report8_best_month"))
+register("report9_peaks", _top("x_r9", "cpi, weekly_sales", "weekly_sales DESC, cpi", 6), [R["r9"]])(
+    _ds("report9_peaks"))
+register("report10_top5", _top("x_r10", "dept, weekly_sales", "weekly_sales DESC, dept", 5), [R["r10"]])(
+    _ds("report10_top5"))
+register("report10_total", "SELECT CAST(SUM(weekly_sales) AS DECIMAL(38,2)) AS grand_total FROM x_r10",
+         [R["r10"]])(_ds("report10_total"))
+
+
 # -- public accessors ---------------------------------------------------------
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
