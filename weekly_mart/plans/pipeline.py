@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weekly_mart.operators import dims, fact, silver
+from weekly_mart.operators import dims, fact, quality, silver
 from weekly_mart.schemas import STORE_DIM_CHECK, STORE_DIM_KEYS
 from weekly_mart.sources import fixtures
 from weekly_mart.sources.landing import read_raw, write_csv
@@ -140,6 +140,26 @@ class Mart:
             lambda: dims.scd1_upsert(run1, dims.date_increment(self.stg_fact()), as_of=fixtures.CHANGE_AT),
         )
 
+    def dq_results(self) -> DataFrame:
+        return quality.run_all(self.date_dim(), self.store_dim(), self.fact())
+
+    def row_counts(self) -> DataFrame:
+        return quality.row_counts({
+            "department_raw": self.bronze("department"), "fact_raw": self.bronze("fact"),
+            "stores_raw": self.bronze("stores"), "stores_raw_v0": self.bronze("stores_v0"),
+            "stg_department": self.stg_department(), "stg_fact": self.stg_fact(),
+            "stg_stores": self.stg_stores(), "date_dim": self.date_dim(), "store_dim": self.store_dim(),
+            "store_dim_live": dims.current_versions(self.store_dim()), "fact": self.fact(),
+        })
+
+    def bronze_incremental(self, name: str = "department") -> DataFrame:
+        """Bronze table kept by the availableNow file stream (see streaming/)."""
+        from weekly_mart.streaming import load_new_files
+        target = f"{self.base}/bronze_stream/{name}_raw"
+        load_new_files(self.spark, self.landing, LANDING_TABLES[name], target,
+                       f"{self.base}/_checkpoints/bronze_stream_{name}", folder=name)
+        return self.spark.read.parquet(target)
+
     def gold(self, boundary: str = "closed") -> Gold:
         return Gold(self.fact(boundary), self.date_dim(), self.store_dim())
 

@@ -190,6 +190,50 @@ register("report10_total", "SELECT CAST(SUM(weekly_sales) AS DECIMAL(38,2)) AS g
          [R["r10"]])(_ds("report10_total"))
 
 
+# -- data tests and counts ----------------------------------------------------
+def _dq_sql() -> str:
+    def nn(t, c):
+        return (f"SELECT 'not_null' AS test, '{t}' AS table_name, '{c}' AS column_name,"
+                f" CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS failures FROM {t if t != 'fact' else 'fact_closed'}")
+
+    def uq(t, c, test="unique", where="TRUE"):
+        return (f"SELECT '{test}' AS test, '{t}' AS table_name, '{c}' AS column_name,"
+                f" CAST(COUNT(*) AS BIGINT) AS failures FROM (SELECT {c} FROM"
+                f" {t} WHERE {where} GROUP BY {c} HAVING COUNT(*) > 1) x")
+
+    parts = [
+        uq("date_dim", "date_id"), uq("date_dim", "store_date"),
+        nn("date_dim", "date_id"), nn("date_dim", "store_date"),
+        nn("fact", "store_id"), nn("fact", "dept_id"), nn("fact", "store_weekly_sales"),
+        "SELECT 'positive', 'fact', 'store_weekly_sales', CAST(COUNT(*) FILTER (WHERE store_weekly_sales < 0)"
+        " AS BIGINT) FROM fact_closed",
+        uq("store_dim", "store_id,dept_id", "one_open_version", "vrsn_end_date IS NULL").replace(
+            "SELECT store_id,dept_id FROM", "SELECT store_id, dept_id FROM").replace(
+            "GROUP BY store_id,dept_id", "GROUP BY store_id, dept_id"),
+        "SELECT 'no_overlap', 'store_dim', 'store_id,dept_id', CAST(COUNT(*) FILTER (WHERE prev_end >"
+        " vrsn_start_date) AS BIGINT) FROM (SELECT vrsn_start_date, lag(COALESCE(vrsn_end_date,"
+        " TIMESTAMP '9999-12-31 00:00:00')) OVER (PARTITION BY store_id, dept_id ORDER BY vrsn_start_date)"
+        " AS prev_end FROM store_dim) x",
+    ]
+    return " UNION ALL ".join(parts)
+
+
+register("dq_results", _dq_sql())(lambda m: m.dq_results())
+register(
+    "row_counts",
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, CAST(COUNT(*) AS BIGINT) AS rows FROM {t}"
+        for n, t in [("department_raw", "department_raw"), ("fact_raw", "fact_raw"),
+                     ("stores_raw", "stores_raw1"), ("stores_raw_v0", "stores_raw0"),
+                     ("stg_department", "stg_department"), ("stg_fact", "stg_fact"),
+                     ("stg_stores", "stg_stores1"), ("date_dim", "date_dim"), ("store_dim", "store_dim"),
+                     ("store_dim_live", "store_dim WHERE vrsn_end_date IS NULL"), ("fact", "fact_closed")]
+    ),
+)(lambda m: m.row_counts())
+register("department_raw_incremental", "SELECT * FROM department_raw")(
+    lambda m: m.bronze_incremental("department"))
+
+
 # -- public accessors ---------------------------------------------------------
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
