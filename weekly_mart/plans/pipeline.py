@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from weekly_mart.operators import dims, fact, quality, silver
+from weekly_mart.plans import summaries
 from weekly_mart.schemas import STORE_DIM_CHECK, STORE_DIM_KEYS
 from weekly_mart.sources import fixtures
 from weekly_mart.sources.landing import read_raw, write_csv
@@ -29,6 +30,8 @@ class Gold:
     fact: DataFrame
     date_dim: DataFrame
     store_dim: DataFrame
+    daily: DataFrame       # sales_daily summary
+    versioned: DataFrame   # sales_versioned summary
 
 
 class Mart:
@@ -160,8 +163,23 @@ class Mart:
                        f"{self.base}/_checkpoints/bronze_stream_{name}", folder=name)
         return self.spark.read.parquet(target)
 
+    def sales_daily(self, boundary: str = "closed") -> DataFrame:
+        return self._keep(
+            f"gold.sales_daily.{boundary}", f"{self.base}/gold/sales_daily_{boundary}",
+            lambda: summaries.sales_daily(self.fact(boundary), self.date_dim()),
+        )
+
+    def sales_versioned(self, boundary: str = "closed") -> DataFrame:
+        return self._keep(
+            f"gold.sales_versioned.{boundary}", f"{self.base}/gold/sales_versioned_{boundary}",
+            lambda: summaries.sales_versioned(self.fact(boundary), self.date_dim(), self.store_dim()),
+        )
+
     def gold(self, boundary: str = "closed") -> Gold:
-        return Gold(self.fact(boundary), self.date_dim(), self.store_dim())
+        return Gold(
+            self.fact(boundary), self.date_dim(), self.store_dim(),
+            self.sales_daily(boundary), self.sales_versioned(boundary),
+        )
 
     def build(self) -> Gold:
         """Run every layer once (idempotent)."""

@@ -1,10 +1,11 @@
 """The 16 report queries over the star schema.
 
-Every report is ``gold joins -> groupBy(keys).agg(...) -> orderBy``. The
-date dimension is tiny and is broadcast by the planner from its file
-statistics; the store dimension joins point-in-time on (store_id, dept_id).
-Aggregations run partial (map side) then final, so only groups cross the
-shuffle. Sums are widened to decimal(38, s).
+Reports r1-r8 read the Gold summaries (``plans/summaries.py``): the fact
+summed once per store-day, and once per store-version-day after the
+point-in-time join to the store dimension. r9 (CPI) and r10 (department)
+need fact-level keys and read the fact. Every report is a grouped
+aggregation (partial on the map side, final after the shuffle of groups),
+then a sort of the few result rows. Sums are widened to decimal(38, s).
 """
 
 from __future__ import annotations
@@ -12,99 +13,73 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekly_mart.functions import bucket_ord, month_name, sum_as, temp_bucket
-from weekly_mart.operators.pit import pit_condition
+from weekly_mart.functions import month_name
 from weekly_mart.plans.pipeline import Gold
-from weekly_mart.schemas import MARKDOWNS, STORE_DIM_KEYS, SUM_MEASURE, SUM_MONEY
+from weekly_mart.schemas import MARKDOWNS, SUM_MEASURE, SUM_MONEY
 
 
-def _fd(g: Gold) -> DataFrame:
-    """fact f JOIN date_dim d ON date_id."""
-    return g.fact.alias("f").join(g.date_dim.alias("d"), F.col("f.date_id") == F.col("d.date_id"))
-
-
-def _fds(g: Gold) -> DataFrame:
-    """fact f JOIN date_dim d JOIN store_dim s (live at d.store_date, closed interval)."""
-    return _fd(g).join(
-        g.store_dim.alias("s"), pit_condition("f", "s", STORE_DIM_KEYS, F.col("d.store_date"), "closed")
-    )
-
-
-def _sales(alias: str = "weekly_sales"):
-    return F.sum("f.store_weekly_sales").cast(SUM_MONEY).alias(alias)
+def _sum(col: str, dtype: str = SUM_MONEY, alias: str | None = None):
+    return F.sum(col).cast(dtype).alias(alias or col)
 
 
 def r1_holiday(g: Gold) -> DataFrame:
-    return _fd(g).groupBy(F.col("d.is_holiday").alias("is_holiday")).agg(_sales())
+    return g.daily.groupBy("is_holiday").agg(_sum("weekly_sales"))
 
 
 def r1_store(g: Gold) -> DataFrame:
     return (
-        _fd(g)
-        .groupBy(F.col("f.store_id").alias("store"), F.col("d.is_holiday").alias("is_holiday"))
-        .agg(_sales())
+        g.daily.groupBy(F.col("store_id").alias("store"), "is_holiday")
+        .agg(_sum("weekly_sales"))
         .orderBy("store", "is_holiday")
     )
 
 
 def r1_kpi(g: Gold) -> DataFrame:
-    return _fd(g).agg(_sales("total_sales"), F.min("d.is_holiday").alias("first_is_holiday"))
+    return g.daily.agg(
+        _sum("weekly_sales", alias="total_sales"), F.min("is_holiday").alias("first_is_holiday")
+    )
 
 
 def r2(g: Gold) -> DataFrame:
-    t = F.col("f.store_temperature")
     return (
-        _fds(g)
-        .groupBy(
-            temp_bucket(t).alias("temp_bucket"),
-            bucket_ord(t).alias("bucket_ord"),
-            F.year("d.store_date").alias("year"),
-        )
-        .agg(_sales(), F.min("d.store_date").alias("earliest_date"))
+        g.versioned.groupBy("temp_bucket", "bucket_ord", F.year("store_date").alias("year"))
+        .agg(_sum("weekly_sales"), F.min("store_date").alias("earliest_date"))
         .orderBy("year", "bucket_ord")
     )
 
 
 def r3(g: Gold) -> DataFrame:
     return (
-        _fds(g)
-        .groupBy(F.col("s.store_id").alias("store"), F.col("s.store_size").alias("size"))
-        .agg(_sales())
+        g.versioned.groupBy(F.col("store_id").alias("store"), F.col("store_size").alias("size"))
+        .agg(_sum("weekly_sales"))
         .orderBy("size", "store")
     )
 
 
 def r4(g: Gold) -> DataFrame:
     return (
-        _fds(g)
-        .groupBy(
-            F.month("d.store_date").alias("month"),
-            month_name("d.store_date").alias("month_name"),
-            F.col("s.store_type").alias("type"),
+        g.versioned.groupBy(
+            F.month("store_date").alias("month"),
+            month_name("store_date").alias("month_name"),
+            F.col("store_type").alias("type"),
         )
-        .agg(_sales())
+        .agg(_sum("weekly_sales"))
         .orderBy("month", "type")
     )
 
 
 def r5(g: Gold) -> DataFrame:
-    return (
-        _fd(g)
-        .groupBy(F.year("d.store_date").alias("year"))
-        .agg(*[F.sum(f"f.{m}").cast(SUM_MONEY).alias(m) for m in MARKDOWNS])
-        .orderBy("year")
-    )
+    return g.daily.groupBy(F.year("store_date").alias("year")).agg(*[_sum(m) for m in MARKDOWNS]).orderBy("year")
 
 
 def r6_type(g: Gold) -> DataFrame:
-    return _fds(g).groupBy(F.col("s.store_type").alias("type")).agg(_sales()).orderBy("type")
+    return g.versioned.groupBy(F.col("store_type").alias("type")).agg(_sum("weekly_sales")).orderBy("type")
 
 
 def r6_store(g: Gold) -> DataFrame:
     return (
-        _fds(g)
-        .groupBy(F.col("s.store_type").alias("type"), F.col("f.store_id").alias("store"))
-        .agg(_sales())
+        g.versioned.groupBy(F.col("store_type").alias("type"), F.col("store_id").alias("store"))
+        .agg(_sum("weekly_sales"))
         .orderBy("type", F.desc("weekly_sales"), "store")
     )
 
@@ -112,37 +87,34 @@ def r6_store(g: Gold) -> DataFrame:
 def r7_year(g: Gold) -> DataFrame:
     """Fuel price summed over department rows (the fact's grain), as the reference does."""
     return (
-        _fd(g)
-        .groupBy(F.year("d.store_date").alias("year"))
-        .agg(F.sum("f.fuel_price").cast(SUM_MEASURE).alias("fuel_price"))
+        g.daily.groupBy(F.year("store_date").alias("year"))
+        .agg(_sum("fuel_price", SUM_MEASURE))
         .orderBy("year")
     )
 
 
 def r7_store(g: Gold) -> DataFrame:
     return (
-        _fd(g)
-        .groupBy(F.col("f.store_id").alias("store"), F.year("d.store_date").alias("year"))
-        .agg(F.sum("f.fuel_price").cast(SUM_MEASURE).alias("fuel_price"))
+        g.daily.groupBy(F.col("store_id").alias("store"), F.year("store_date").alias("year"))
+        .agg(_sum("fuel_price", SUM_MEASURE))
         .orderBy("store", "year")
     )
 
 
 def r8_year(g: Gold) -> DataFrame:
-    return _fd(g).groupBy(F.year("d.store_date").alias("year")).agg(_sales()).orderBy("year")
+    return g.daily.groupBy(F.year("store_date").alias("year")).agg(_sum("weekly_sales")).orderBy("year")
 
 
 def r8_month(g: Gold) -> DataFrame:
     return (
-        _fd(g)
-        .groupBy(F.month("d.store_date").alias("month"), month_name("d.store_date").alias("month_name"))
-        .agg(_sales())
+        g.daily.groupBy(F.month("store_date").alias("month"), month_name("store_date").alias("month_name"))
+        .agg(_sum("weekly_sales"))
         .orderBy("month")
     )
 
 
 def r8_day(g: Gold) -> DataFrame:
-    return _fd(g).groupBy(F.dayofmonth("d.store_date").alias("day")).agg(_sales()).orderBy("day")
+    return g.daily.groupBy(F.dayofmonth("store_date").alias("day")).agg(_sum("weekly_sales")).orderBy("day")
 
 
 def r9(g: Gold) -> DataFrame:

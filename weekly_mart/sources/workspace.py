@@ -14,10 +14,21 @@ import hashlib
 import tempfile
 import uuid
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-CODE_VERSION = "wm-1"
+def _code_version() -> str:
+    """Hash of this package's source: a code change never reuses old tables."""
+    root = Path(__file__).resolve().parents[1]
+    h = hashlib.sha1()
+    for f in sorted(root.rglob("*.py")):
+        h.update(f.relative_to(root).as_posix().encode())
+        h.update(f.read_bytes())
+    return h.hexdigest()[:12]
+
+
+CODE_VERSION = _code_version()
 
 
 def checkpoint_root(spark: SparkSession) -> str:
