@@ -73,3 +73,12 @@ def test_source_is_every_store_by_department(spark):
     sales = spark.createDataFrame([(1, 7), (1, 7), (2, 9)], "store_id int, dept_id int")
     src = dims.store_dim_source(stores, sales)
     assert sorted((r.store_id, r.dept_id) for r in src.collect()) == [(1, 7), (1, 9), (2, 7), (2, 9)]
+
+
+def test_duplicate_source_keys_fail(spark):
+    import pytest
+
+    d0 = dims.snapshot(None, spark.createDataFrame([(1, 1, "A", 1)], SRC), KEYS, CHECK, as_of=T0)
+    dup = spark.createDataFrame([(1, 1, "A", 1), (1, 1, "B", 2)], SRC)
+    with pytest.raises(Exception, match="duplicate"):
+        dims.snapshot(d0, dup, KEYS, CHECK, as_of=T1).collect()

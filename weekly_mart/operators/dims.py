@@ -129,7 +129,19 @@ def snapshot(
     """
     ts = ts_literal(as_of)
     payload = [c for c in source.columns if c not in keys]
-    src = source.withColumn("_src", F.lit(True))
+    # One row per key or the job fails (duplicates would multiply versions).
+    # The aggregation hash-partitions on the keys, which the join below
+    # reuses: the check adds no shuffle.
+    src = (
+        source.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in payload])
+        .select(
+            *keys, *payload,
+            F.when(F.col("_n") == 1, F.lit(True))
+            .otherwise(F.raise_error(F.lit("snapshot source has duplicate keys")))
+            .alias("_src"),
+        )
+    )
     if dim is None:
         start = ts_literal(initial_valid_from) if initial_valid_from else ts
         return source.select(
