@@ -39,3 +39,18 @@ def test_quality_counts(spark):
            for r in quality.column_tests(df, "t", not_null=["a", "b", "s"], positive=["s"]).collect()}
     assert got == {("not_null", "a"): 1, ("not_null", "b"): 1, ("not_null", "s"): 1, ("positive", "s"): 1}
     assert quality.unique(df, "t", ["a"]).first().failures == 1
+
+
+def test_row_counts_expected(spark):
+    a = spark.range(3)
+    got = {r.table_name: (r.rows, r.ok) for r in quality.row_counts({"a": a, "b": a}, {"a": 3, "b": 4}).collect()}
+    assert got == {"a": (3, True), "b": (3, False)}
+
+
+def test_stg_date_format(spark):
+    from weekly_mart.operators import silver
+
+    raw = spark.createDataFrame([("1", "5", "02/10/2012", "1.5", "TRUE")], "store string, dept string,"
+                                " date string, weekly_sales string, isholiday string")
+    (r,) = silver.stg_department(raw, date_fmt="MM/dd/yyyy").collect()
+    assert r.store_date == D(2012, 2, 10)

@@ -187,5 +187,28 @@ def snapshot(
     return history.unionByName(emitted)
 
 
+def run_snapshot(
+    ws,
+    target: str,
+    source: DataFrame,
+    keys: list[str],
+    check_cols: list[str],
+    as_of: str,
+    invalidate_hard_deletes: bool = True,
+    initial_valid_from: str | None = None,
+) -> DataFrame:
+    """Apply one snapshot run to the dimension stored at ``target``.
+
+    Reads the current dimension (if any), writes the new one to a staging
+    folder and swaps it in, so history survives a failed run and the table
+    being read is never overwritten in place.
+    """
+    spark = source.sparkSession
+    current = spark.read.parquet(target) if ws.is_complete(target) else None
+    new = snapshot(current, source, keys, check_cols, as_of, invalidate_hard_deletes, initial_valid_from)
+    ws.write(new, target)
+    return spark.read.parquet(target)
+
+
 def current_versions(dim: DataFrame) -> DataFrame:
     return dim.where(F.col(VALID_TO).isNull())

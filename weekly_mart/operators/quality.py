@@ -73,11 +73,19 @@ def run_all(date_dim: DataFrame, store_dim: DataFrame, fact: DataFrame) -> DataF
     return reduce(DataFrame.unionByName, parts)
 
 
-def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table_name, rows) for each table; one union of count aggregations."""
+def row_counts(tables: dict[str, DataFrame], expected: dict[str, int] | None = None) -> DataFrame:
+    """(table_name, rows) for each table; one union of count aggregations.
+
+    With ``expected`` (a load's known counts) adds ``expected`` and ``ok``."""
     parts = [df.agg(F.count(F.lit(1)).cast("bigint").alias("rows")).select(
         F.lit(name).alias("table_name"), "rows") for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, parts)
+    out = reduce(DataFrame.unionByName, parts)
+    if expected is not None:
+        exp = F.create_map(*[x for k, v in expected.items() for x in (F.lit(k), F.lit(int(v)))])
+        out = out.withColumn("expected", F.element_at(exp, F.col("table_name")).cast("bigint")).withColumn(
+            "ok", F.col("expected").isNull() | (F.col("expected") == F.col("rows"))
+        )
+    return out
 
 
 def assert_clean(results: DataFrame, allow: tuple[str, ...] = ("positive",)) -> None:

@@ -20,10 +20,15 @@ def stg_stores(stores_raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_fact(fact_raw: DataFrame) -> DataFrame:
+def _date(col: str, fmt: str | None):
+    """ISO text by cast (ANSI: bad text fails); other layouts with ``fmt``."""
+    return F.col(col).cast("date") if fmt is None else F.to_date(F.col(col), fmt)
+
+
+def stg_fact(fact_raw: DataFrame, date_fmt: str | None = None) -> DataFrame:
     return fact_raw.select(
         F.col("store").cast(INT).alias("store_id"),
-        F.col("date").cast("date").alias("store_date"),
+        _date("date", date_fmt).alias("store_date"),
         F.col("temperature").cast(MEASURE).alias("temperature"),
         F.col("fuel_price").cast(MEASURE).alias("fuel_price"),
         *[F.col(m).cast(MONEY).alias(m) for m in MARKDOWNS],
@@ -33,11 +38,11 @@ def stg_fact(fact_raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_department(department_raw: DataFrame) -> DataFrame:
+def stg_department(department_raw: DataFrame, date_fmt: str | None = None) -> DataFrame:
     return department_raw.where(F.col("weekly_sales").isNotNull()).select(
         F.col("store").cast(INT).alias("store_id"),
         F.col("dept").cast(INT).alias("dept_id"),
-        F.col("date").cast("date").alias("store_date"),
+        _date("date", date_fmt).alias("store_date"),
         F.col("weekly_sales").cast(MONEY).alias("weekly_sales"),
         F.col("isholiday").cast("boolean").alias("is_holiday"),
     )

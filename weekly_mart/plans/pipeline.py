@@ -11,6 +11,7 @@ per input fingerprint and reused by later queries and sessions.
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,17 +43,21 @@ class Mart:
         key = self.ws.fingerprint(f"{self.sf_dir}/lineitem.parquet", f"{self.sf_dir}/supplier.parquet")
         self.base = self.ws.path("weekly_mart", key)
         self._cache: dict[str, DataFrame] = {}
+        self._lock = threading.RLock()
 
     def _keep(self, name: str, target: str, build) -> DataFrame:
-        if name not in self._cache:
-            self._cache[name] = self.ws.materialize(target, build)
-        return self._cache[name]
+        with self._lock:  # one writer per table when queries run in threads
+            if name not in self._cache:
+                self._cache[name] = self.ws.materialize(target, build)
+            return self._cache[name]
 
     # -- landing: the uploaded files -------------------------------------
     @property
     def landing(self) -> str:
         path = f"{self.base}/landing"
-        if "landing" not in self._cache:
+        with self._lock:
+            if "landing" in self._cache:
+                return path
             raw = None
             for name in LANDING_TABLES:
                 target = f"{path}/{name}"

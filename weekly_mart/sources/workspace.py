@@ -35,7 +35,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
-    if not root:  # tests only: nothing configured, make a private folder
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
+        # local runs / tests only: nothing configured, make a private folder
         root = tempfile.mkdtemp(prefix="weekly_mart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
