@@ -54,3 +54,16 @@ def test_stg_date_format(spark):
                                 " date string, weekly_sales string, isholiday string")
     (r,) = silver.stg_department(raw, date_fmt="MM/dd/yyyy").collect()
     assert r.store_date == D(2012, 2, 10)
+
+
+def test_session_sizing(spark):
+    from weekly_mart.session import size_for_input
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        applied = size_for_input(spark, 100 * 1024**4)  # 100 TB of input
+        if "spark.sql.shuffle.partitions" in applied:
+            assert int(applied["spark.sql.shuffle.partitions"]) == 200_000 or int(
+                applied["spark.sql.shuffle.partitions"]) >= 100_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -17,6 +17,7 @@ from pyspark.sql import SparkSession
 from weekly_mart.operators import quality
 from weekly_mart.plans.pipeline import Mart
 from weekly_mart.plans.publish import publish
+from weekly_mart.session import input_bytes, size_for_input
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -34,6 +35,7 @@ def main(argv: list[str] | None = None) -> None:
         .getOrCreate()
     )
     t0 = time.time()
+    size_for_input(spark, input_bytes(spark, f"{args.sf}/lineitem.parquet", f"{args.sf}/supplier.parquet"))
     m = Mart(spark, args.sf)
     m.build()
     dq = m.dq_results()
