@@ -13,35 +13,35 @@ from weekly_mart.schemas import MARKDOWNS
 
 def report1_grid(g: Gold) -> DataFrame:
     """Store x holiday flag, every cell present (0 when a store has no sales for a flag)."""
-    return shape.densify(reports.r1_store(g), "store", "is_holiday", "weekly_sales").orderBy(
+    return shape.densify(reports.r1_store(g, ordered=False), "store", "is_holiday", "weekly_sales").orderBy(
         "store", "is_holiday"
     )
 
 
 def report2_pivot(g: Gold) -> DataFrame:
     """Temperature bucket x year (one column per year), buckets in display order."""
-    return shape.pivot_sum(reports.r2(g), ["temp_bucket", "bucket_ord"], "year", "weekly_sales").orderBy(
+    return shape.pivot_sum(reports.r2(g, ordered=False), ["temp_bucket", "bucket_ord"], "year", "weekly_sales").orderBy(
         "bucket_ord"
     )
 
 
 def report2_earliest(g: Gold) -> DataFrame:
-    return reports.r2(g).agg(F.min("earliest_date").alias("earliest_date")).withColumn(
+    return reports.r2(g, ordered=False).agg(F.min("earliest_date").alias("earliest_date")).withColumn(
         "earliest_label", F.date_format("earliest_date", "MMM dd, yyyy")
     )
 
 
 def report3_top6(g: Gold) -> DataFrame:
-    return shape.top_k(reports.r3(g), 6, [F.desc("weekly_sales"), F.asc("size"), F.asc("store")], "rank")
+    return shape.top_k(reports.r3(g, ordered=False), 6, [F.desc("weekly_sales"), F.asc("size"), F.asc("store")], "rank")
 
 
 def report4_lines(g: Gold) -> DataFrame:
     """One series per store type, months in calendar order (long form)."""
-    return reports.r4(g).orderBy("type", "month")
+    return reports.r4(g, ordered=False).orderBy("type", "month")
 
 
 def report5_long(g: Gold) -> DataFrame:
-    r5 = reports.r5(g)
+    r5 = reports.r5(g, ordered=False)
     present = [m for m in MARKDOWNS if m in r5.columns]
     return r5.unpivot(["year"], present, "markdown", "amount").orderBy("year", "markdown")
 
@@ -52,7 +52,7 @@ def report6_bars(g: Gold) -> DataFrame:
     The window is over aggregated store rows per type (one row per store)."""
     w = Window.partitionBy("type").orderBy("weekly_sales", "store")
     return (
-        reports.r6_store(g)
+        reports.r6_store(g, ordered=False)
         .withColumn("label", F.concat_ws("-", "type", F.col("store").cast("string")))
         .withColumn("bar_pos", F.row_number().over(w))
         .orderBy("type", "bar_pos")
@@ -60,35 +60,35 @@ def report6_bars(g: Gold) -> DataFrame:
 
 
 def report6_share(g: Gold) -> DataFrame:
-    return shape.share(reports.r6_type(g), "weekly_sales").orderBy("type")
+    return shape.share(reports.r6_type(g, ordered=False), "weekly_sales").orderBy("type")
 
 
 def report7_top15(g: Gold) -> DataFrame:
     """Store x year fuel pivot; the 15 stores highest in the latest year (ties by store)."""
-    wide = shape.pivot_sum(reports.r7_store(g), ["store"], "year", "fuel_price")
+    wide = shape.pivot_sum(reports.r7_store(g, ordered=False), ["store"], "year", "fuel_price")
     years = [c for c in wide.columns if c != "store"]
     order = ([F.desc(f"`{max(years, key=int)}`")] if years else []) + [F.asc("store")]
     return shape.top_k(wide, 15, order, "rank")
 
 
 def report7_share(g: Gold) -> DataFrame:
-    return shape.share(reports.r7_year(g), "fuel_price").orderBy("year")
+    return shape.share(reports.r7_year(g, ordered=False), "fuel_price").orderBy("year")
 
 
 def report8_best_month(g: Gold) -> DataFrame:
-    return shape.best_by(reports.r8_month(g), "weekly_sales", "month", ["month", "month_name", "weekly_sales"])
+    return shape.best_by(reports.r8_month(g, ordered=False), "weekly_sales", "month", ["month", "month_name", "weekly_sales"])
 
 
 def report9_peaks(g: Gold) -> DataFrame:
-    return shape.top_k(reports.r9(g), 6, [F.desc("weekly_sales"), F.asc("cpi")], "rank")
+    return shape.top_k(reports.r9(g, ordered=False), 6, [F.desc("weekly_sales"), F.asc("cpi")], "rank")
 
 
 def report10_top5(g: Gold) -> DataFrame:
-    return shape.top_k(reports.r10(g), 5, [F.desc("weekly_sales"), F.asc("dept")], "rank")
+    return shape.top_k(reports.r10(g, ordered=False), 5, [F.desc("weekly_sales"), F.asc("dept")], "rank")
 
 
 def report10_total(g: Gold) -> DataFrame:
-    return reports.r10(g).agg(F.sum("weekly_sales").cast("decimal(38,2)").alias("grand_total"))
+    return reports.r10(g, ordered=False).agg(F.sum("weekly_sales").cast("decimal(38,2)").alias("grand_total"))
 
 
 DATASETS = {

@@ -12,6 +12,7 @@ per input fingerprint and reused by later queries and sessions.
 from __future__ import annotations
 
 import threading
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,27 +44,37 @@ class Mart:
         key = self.ws.fingerprint(f"{self.sf_dir}/lineitem.parquet", f"{self.sf_dir}/supplier.parquet")
         self.base = self.ws.path("weekly_mart", key)
         self._cache: dict[str, DataFrame] = {}
-        self._lock = threading.RLock()
+        self._lock = threading.Lock()
+        self._locks: dict[str, threading.Lock] = {}
+
+    def _lock_for(self, name: str) -> threading.Lock:
+        with self._lock:
+            return self._locks.setdefault(name, threading.Lock())
 
     def _keep(self, name: str, target: str, build) -> DataFrame:
-        with self._lock:  # one writer per table when queries run in threads
+        with self._lock_for(name):  # one writer per table; other tables build meanwhile
             if name not in self._cache:
                 self._cache[name] = self.ws.materialize(target, build)
             return self._cache[name]
 
+    @staticmethod
+    def _together(*fns) -> list:
+        """Run independent builds as concurrent Spark jobs (one thread each)."""
+        if len(fns) == 1:
+            return [fns[0]()]
+        with ThreadPoolExecutor(max_workers=len(fns)) as pool:
+            return [f.result() for f in [pool.submit(fn) for fn in fns]]
+
     # -- landing: the uploaded files -------------------------------------
     @property
     def landing(self) -> str:
         path = f"{self.base}/landing"
-        with self._lock:
+        with self._lock_for("landing"):
             if "landing" in self._cache:
                 return path
-            raw = None
-            for name in LANDING_TABLES:
-                target = f"{path}/{name}"
-                if not self.ws.is_complete(target):
-                    raw = raw or fixtures.raw_tables(self.spark, self.sf_dir)
-                    write_csv(raw[name], target, self.ws)
+            raw = fixtures.raw_tables(self.spark, self.sf_dir)
+            todo = [n for n in LANDING_TABLES if not self.ws.is_complete(f"{path}/{n}")]
+            self._together(*[lambda n=n: write_csv(raw[n], f"{path}/{n}", self.ws) for n in todo])
             self._cache["landing"] = None
         return path
 
@@ -181,16 +192,23 @@ class Mart:
         )
 
     def gold(self, boundary: str = "closed") -> Gold:
+        if boundary == "closed":
+            self.build()
         return Gold(
             self.fact(boundary), self.date_dim(), self.store_dim(),
             self.sales_daily(boundary), self.sales_versioned(boundary),
         )
 
-    def build(self) -> Gold:
-        """Run every layer once (idempotent)."""
-        for name in LANDING_TABLES:
-            self.bronze(name)
-        return self.gold()
+    def build(self) -> None:
+        """Write every layer once (idempotent); independent tables build together."""
+        if "built" in self._cache:
+            return
+        self.landing
+        self._together(*[lambda n=n: self.bronze(n) for n in LANDING_TABLES])
+        self._together(self.date_dim, self.store_dim)
+        self.fact()
+        self._together(self.sales_daily, self.sales_versioned)
+        self._cache["built"] = None
 
 
 _MARTS: dict[tuple[str, str], Mart] = {}
