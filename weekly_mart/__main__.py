@@ -1,6 +1,7 @@
 """Run the whole pipeline: landing -> Bronze -> Silver -> Gold -> data tests -> reports.
 
     python -m weekly_mart --sf /root/testdata/sf0.1 [--out DIR] [--format parquet|csv]
+    python -m weekly_mart --landing DIR [--upload stores=stores.csv fact=fact.csv department=department.csv]
 
 The Spark master and resources come from the submitting environment; the
 workspace is the cluster's ``spark.checkpoint.dir``.
@@ -15,14 +16,20 @@ import time
 from pyspark.sql import SparkSession
 
 from weekly_mart.operators import quality
-from weekly_mart.plans.pipeline import Mart
+from weekly_mart.plans.pipeline import CsvMart, Mart
+from weekly_mart.sources.landing import upload
 from weekly_mart.plans.publish import publish
 from weekly_mart.session import input_bytes, size_for_input
 
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="weekly_mart")
-    ap.add_argument("--sf", required=True, help="folder with the input parquet tables")
+    src = ap.add_mutually_exclusive_group(required=True)
+    src.add_argument("--sf", help="folder with the driver's test tables (raw files are derived)")
+    src.add_argument("--landing", help="landing folder with stores/ fact/ department/ CSV files")
+    ap.add_argument("--upload", nargs="*", default=[], metavar="TABLE=PATH",
+                    help="copy local CSV files into the landing folder first")
+    ap.add_argument("--as-of", default=None, help="run time for snapshots and audit columns")
     ap.add_argument("--out", default=None, help="report output folder (default: workspace/reports)")
     ap.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     ap.add_argument("--strict", action="store_true", help="fail when a data test fails")
@@ -35,8 +42,14 @@ def main(argv: list[str] | None = None) -> None:
         .getOrCreate()
     )
     t0 = time.time()
-    size_for_input(spark, input_bytes(spark, f"{args.sf}/lineitem.parquet", f"{args.sf}/supplier.parquet"))
-    m = Mart(spark, args.sf)
+    if args.landing:
+        if args.upload:
+            upload(spark, dict(u.split("=", 1) for u in args.upload), args.landing)
+        size_for_input(spark, input_bytes(spark, args.landing))
+        m = CsvMart(spark, args.landing, as_of=args.as_of)
+    else:
+        size_for_input(spark, input_bytes(spark, f"{args.sf}/lineitem.parquet", f"{args.sf}/supplier.parquet"))
+        m = Mart(spark, args.sf)
     m.build()
     dq = m.dq_results()
     if args.strict:

@@ -39,3 +39,22 @@ def csv_reader(spark: SparkSession, table: str):
 def read_raw(spark: SparkSession, landing: str, table: str, folder: str | None = None) -> DataFrame:
     """Scan every file under ``{landing}/{folder or table}/`` as raw table ``table``."""
     return csv_reader(spark, table).csv(f"{landing.rstrip('/')}/{folder or table}/")
+
+
+def upload(spark: SparkSession, files: dict[str, str], landing: str) -> dict[str, str]:
+    """Copy local CSV files into the landing layout ``{landing}/{table}/{table}.csv``.
+
+    The object name is fixed per table, so a re-upload replaces its own file
+    and a full reload never sees two copies of one table.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = {}
+    for table, local in files.items():
+        if table not in RAW_SCHEMAS:
+            raise ValueError(f"unknown table {table!r}; expected one of {sorted(RAW_SCHEMAS)}")
+        dst = jvm.org.apache.hadoop.fs.Path(f"{landing.rstrip('/')}/{table}/{table}.csv")
+        fs = dst.getFileSystem(conf)
+        fs.copyFromLocalFile(False, True, jvm.org.apache.hadoop.fs.Path(local), dst)
+        out[table] = dst.toString()
+    return out
