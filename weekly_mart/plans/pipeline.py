@@ -60,8 +60,8 @@ class Mart:
     @staticmethod
     def _together(*fns) -> list:
         """Run independent builds as concurrent Spark jobs (one thread each)."""
-        if len(fns) == 1:
-            return [fns[0]()]
+        if len(fns) <= 1:
+            return [fn() for fn in fns]
         with ThreadPoolExecutor(max_workers=len(fns)) as pool:
             return [f.result() for f in [pool.submit(fn) for fn in fns]]
 
