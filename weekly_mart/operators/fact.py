@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekly_mart.functions import audit_ts
+from weekly_mart.operators.joins import broadcast_if_small
 from weekly_mart.operators.pit import pit_condition
 from weekly_mart.schemas import MARKDOWNS, STORE_DIM_KEYS, VALID_FROM, VALID_TO
 
@@ -27,12 +28,15 @@ def build_fact(
 
     Join order puts the small date dimension first (broadcast, no shuffle),
     then the store version on (store_id, dept_id), then the store-week row on
-    (store_id, store_date). Only the columns the fact keeps are read.
+    (store_id, store_date). The two dimensions are broadcast when their row
+    count is proven small (``broadcast_if_small``); otherwise, like the
+    store-week side, they join by sort-merge on the keys. Only the columns
+    the fact keeps are read.
     """
     ts = audit_ts(as_of)
     dept = stg_department.select("store_id", "dept_id", "store_date", "weekly_sales").alias("dept")
-    dd = date_dim.select("date_id", "store_date").alias("dd")
-    sd = store_dim.select(*STORE_DIM_KEYS, VALID_FROM, VALID_TO).alias("sd")
+    dd = broadcast_if_small(date_dim.select("date_id", "store_date")).alias("dd")
+    sd = broadcast_if_small(store_dim.select(*STORE_DIM_KEYS, VALID_FROM, VALID_TO)).alias("sd")
     f = stg_fact.select(
         "store_id", "store_date", "fuel_price", "temperature", "unemployment", "cpi", *MARKDOWNS
     ).alias("f")

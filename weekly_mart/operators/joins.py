@@ -1,0 +1,24 @@
+"""Broadcast behind a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from weekly_mart.schemas import MAX_BROADCAST_ROWS
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast when ``df`` has at most ``max_rows`` rows, else leave the
+    join to the planner (sort-merge on the keys, AQE skew splitting).
+
+    Meant for narrow projections of written dimension tables: the check is a
+    bounded ``limit(max_rows + 1).count()`` on the table, and 1M narrow rows is
+    tens of MB per executor -- larger than Spark's 10 MB file-size default,
+    which would otherwise shuffle the whole fact to join a mid-sized
+    dimension. A session with broadcasting switched off
+    (``spark.sql.autoBroadcastJoinThreshold=-1``) gets no hint.
+    """
+    if str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")).strip() in ("-1", "-1b"):
+        return df
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

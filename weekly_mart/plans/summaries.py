@@ -21,12 +21,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekly_mart.functions import bucket_ord, temp_bucket
+from weekly_mart.operators.joins import broadcast_if_small
 from weekly_mart.operators.pit import pit_condition
-from weekly_mart.schemas import MARKDOWNS, STORE_DIM_KEYS, SUM_MEASURE, SUM_MONEY
+from weekly_mart.schemas import (
+    MARKDOWNS, STORE_DIM_CHECK, STORE_DIM_KEYS, SUM_MEASURE, SUM_MONEY, VALID_FROM, VALID_TO,
+)
 
 
 def _fact_date(fact: DataFrame, date_dim: DataFrame) -> DataFrame:
-    return fact.alias("f").join(date_dim.alias("d"), F.col("f.date_id") == F.col("d.date_id"))
+    dd = broadcast_if_small(date_dim.select("date_id", "store_date", "is_holiday"))
+    return fact.alias("f").join(dd.alias("d"), F.col("f.date_id") == F.col("d.date_id"))
 
 
 def sales_daily(fact: DataFrame, date_dim: DataFrame) -> DataFrame:
@@ -49,7 +53,10 @@ def sales_versioned(fact: DataFrame, date_dim: DataFrame, store_dim: DataFrame)
     t = F.col("f.store_temperature")
     return (
         _fact_date(fact, date_dim)
-        .join(store_dim.alias("s"), pit_condition("f", "s", STORE_DIM_KEYS, F.col("d.store_date"), "closed"))
+        .join(
+            broadcast_if_small(store_dim.select(*STORE_DIM_KEYS, *STORE_DIM_CHECK, VALID_FROM, VALID_TO)).alias("s"),
+            pit_condition("f", "s", STORE_DIM_KEYS, F.col("d.store_date"), "closed"),
+        )
         .groupBy(
             F.col("s.store_id").alias("store_id"),
             F.col("s.store_type").alias("store_type"),
