@@ -68,3 +68,22 @@ def test_second_upload_adds_versions_once(spark, scratch, tmp_path):
     rows = sorted((r.store_id, r.dept_id, r.store_size, str(r.vrsn_end_date)) for r in d.where("store_id = 3").collect())
     # store 3 changed size: each of its departments has one closed and one open version
     assert [r for r in rows if r[1] == 1] == [(3, 1, 37392, "2012-01-01 00:00:00"), (3, 1, 40000, "None")]
+
+
+def test_cli_runs_from_uploaded_files(spark, scratch, tmp_path, capsys):
+    import json
+
+    from weekly_mart.__main__ import main
+
+    landing, out = scratch.path("landing_cli"), scratch.path("reports_cli")
+    main(["--landing", landing, "--as-of", "2013-01-01 00:00:00", "--out", out, "--format", "csv",
+          "--upload", f"stores={_local(tmp_path, 'stores', STORES)}", f"fact={_local(tmp_path, 'fact', FACT)}",
+          f"department={_local(tmp_path, 'department', DEPT)}"])
+    res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    # dept 3 sold only on a week with no store-week row: the inner join drops it
+    assert res["report_rows"]["r10"] == 2 and res["report_rows"]["r1_kpi"] == 1
+    assert len(res["report_rows"]) == 30
+    r10 = spark.read.option("header", "true").csv(f"{out}/r10")
+    assert r10.count() == 2
+    tests = {(t["test"], t["column_name"]): t["failures"] for t in res["data_tests"]}
+    assert tests[("positive", "store_weekly_sales")] == 1  # the -60.0 week
