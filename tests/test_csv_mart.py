@@ -87,3 +87,23 @@ def test_cli_runs_from_uploaded_files(spark, scratch, tmp_path, capsys):
     assert r10.count() == 2
     tests = {(t["test"], t["column_name"]): t["failures"] for t in res["data_tests"]}
     assert tests[("positive", "store_weekly_sales")] == 1  # the -60.0 week
+
+
+def test_fingerprint_both_ways_sees_a_rewrite(spark, scratch, tmp_path):
+    import weekly_mart.sources.workspace as wsm
+
+    landing = scratch.path("fp")
+    from weekly_mart.sources.landing import upload
+
+    upload(spark, {"stores": _local(tmp_path, "s1", STORES)}, landing)
+    for limit in (10_000, 0):  # driver listing, then the distributed job
+        old = wsm.LIST_ON_DRIVER
+        wsm.LIST_ON_DRIVER = limit
+        try:
+            a = scratch.fingerprint(f"{landing}/stores")
+            assert a == scratch.fingerprint(f"{landing}/stores")
+            upload(spark, {"stores": _local(tmp_path, f"s2{limit}", STORES.replace("37392", f"4{limit % 10}000"[:5]))},
+                   landing)
+            assert scratch.fingerprint(f"{landing}/stores") != a
+        finally:
+            wsm.LIST_ON_DRIVER = old

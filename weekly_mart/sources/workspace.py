@@ -29,6 +29,8 @@ def _code_version() -> str:
 
 
 CODE_VERSION = _code_version()
+# Input folders with more files than this are fingerprinted by a Spark job.
+LIST_ON_DRIVER = 10_000
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -75,17 +77,33 @@ class Workspace:
             fs.delete(jpath, True)
 
     def fingerprint(self, *paths: str) -> str:
-        """Hash of names, sizes and modification times of the input files."""
+        """Hash of this code and of every input file's name, size and time.
+
+        Folders of up to LIST_ON_DRIVER files are listed here; bigger ones by
+        one distributed job over the files' metadata (``binaryFile`` with the
+        content column pruned, so no data is read), folded on the executors
+        into one order-independent hash."""
         h = hashlib.sha1(CODE_VERSION.encode())
         for p in paths:
             fs, jpath = self._fs(p)
             h.update(p.encode())
-            it = fs.listFiles(jpath, True)
-            entries = []
-            while it.hasNext():
-                st = it.next()
-                entries.append(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}")
-            h.update("|".join(sorted(entries)).encode())
+            if fs.getContentSummary(jpath).getFileCount() <= LIST_ON_DRIVER:
+                it = fs.listFiles(jpath, True)
+                entries = []
+                while it.hasNext():
+                    st = it.next()
+                    entries.append(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}")
+                h.update("|".join(sorted(entries)).encode())
+            else:
+                from pyspark.sql import functions as F
+
+                row = (
+                    self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(p)
+                    .agg(F.bit_xor(F.xxhash64("path", "modificationTime", "length")).alias("x"),
+                         F.count(F.lit(1)).alias("n"))
+                    .first()
+                )
+                h.update(f"{row.x}:{row.n}".encode())
         return h.hexdigest()[:16]
 
     # -- writes ---------------------------------------------------------------
