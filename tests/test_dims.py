@@ -67,3 +67,12 @@ def test_session_sizing(spark):
                 applied["spark.sql.shuffle.partitions"]) >= 100_000
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_scd1_rejects_duplicate_keys(spark):
+    import pytest
+
+    dim = dims.date_dim(_stg(spark, [(D(2012, 1, 6), False)]), as_of="2012-01-20 00:00:00")
+    inc = _stg(spark, [(D(2012, 1, 13), True), (D(2012, 1, 13), False)])
+    with pytest.raises(Exception, match="duplicate"):
+        dims.scd1_upsert(dim, inc).collect()

@@ -90,3 +90,11 @@ def test_run_snapshot_in_place_keeps_history(spark, scratch):
     dims.run_snapshot(scratch, target, spark.createDataFrame([(1, 1, "A", 2)], SRC), KEYS, CHECK, as_of=T1)
     out = dims.run_snapshot(scratch, target, spark.createDataFrame([(1, 1, "A", 2)], SRC), KEYS, CHECK, as_of=T2)
     assert rows(out) == [(1, 1, "A", 1, T0, T1), (1, 1, "A", 2, T1, "None")]
+
+
+def test_duplicate_keys_fail_on_first_load(spark):
+    import pytest
+
+    dup = spark.createDataFrame([(1, 1, "A", 1), (1, 1, "B", 2)], SRC)
+    with pytest.raises(Exception, match="duplicate"):
+        dims.snapshot(None, dup, KEYS, CHECK, as_of=T0).collect()

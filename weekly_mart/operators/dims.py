@@ -52,7 +52,16 @@ def scd1_upsert(
     key; the id offset is a one-row scalar subquery.
     """
     ts = audit_ts(as_of)
-    d, i = dim.alias("d"), incoming.select(key, *value_cols).withColumn("_in", F.lit(True)).alias("i")
+    one_per_key = (
+        incoming.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in value_cols])
+        .select(
+            key, *value_cols,
+            F.when(F.col("_n") == 1, F.lit(True))
+            .otherwise(F.raise_error(F.lit("upsert input has duplicate keys"))).alias("_in"),
+        )
+    )
+    d, i = dim.alias("d"), one_per_key.alias("i")
     j = d.join(i, F.col(f"d.{key}") == F.col(f"i.{key}"), "full")
     is_new = F.col(f"d.{id_col}").isNull()
     changed = F.lit(False)
@@ -144,7 +153,7 @@ def snapshot(
     )
     if dim is None:
         start = ts_literal(initial_valid_from) if initial_valid_from else ts
-        return source.select(
+        return src.where(F.col("_src")).select(
             *keys, *payload,
             start.alias(VALID_FROM),
             F.lit(None).cast("timestamp_ntz").alias(VALID_TO),
