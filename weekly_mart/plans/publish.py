@@ -24,10 +24,16 @@ def publish(m: Mart, out: str | None = None, fmt: str = "parquet") -> dict[str,
     """Write all report outputs; returns {name: rows}."""
     out = out or f"{m.base}/reports"
     g = m.gold()
-    counts: dict[str, int] = {}
-    for name, fn in {**reports.REPORTS, **datasets.DATASETS}.items():
+    opts = {"header": "true"} if fmt == "csv" else {}
+
+    def one(name, fn):
         df, obs = run_report(fn(g), name)
-        opts = {"header": "true"} if fmt == "csv" else {}
         m.ws.write(df, f"{out}/{name}", fmt=fmt, **opts)
-        counts[name] = obs.get["rows"]
+        return name, obs.get["rows"]
+
+    # The outputs are independent small jobs: write them a few at a time.
+    items = list({**reports.REPORTS, **datasets.DATASETS}.items())
+    counts: dict[str, int] = {}
+    for i in range(0, len(items), 8):
+        counts.update(m._together(*[lambda n=n, f=f: one(n, f) for n, f in items[i:i + 8]]))
     return counts
