@@ -82,7 +82,7 @@ def test_cli_runs_from_uploaded_files(spark, scratch, tmp_path, capsys):
     res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     # dept 3 sold only on a week with no store-week row: the inner join drops it
     assert res["report_rows"]["r10"] == 2 and res["report_rows"]["r1_kpi"] == 1
-    assert len(res["report_rows"]) == 30
+    assert len(res["report_rows"]) == 35
     r10 = spark.read.option("header", "true").csv(f"{out}/r10")
     assert r10.count() == 2
     tests = {(t["test"], t["column_name"]): t["failures"] for t in res["data_tests"]}

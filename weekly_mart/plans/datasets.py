@@ -31,6 +31,11 @@ def report2_earliest(g: Gold) -> DataFrame:
     )
 
 
+def report3_area(g: Gold) -> DataFrame:
+    """Sales by store size, along the size axis."""
+    return reports.r3(g, ordered=False).orderBy("size", "store")
+
+
 def report3_top6(g: Gold) -> DataFrame:
     return shape.top_k(reports.r3(g, ordered=False), 6, [F.desc("weekly_sales"), F.asc("size"), F.asc("store")], "rank")
 
@@ -40,6 +45,12 @@ def report4_lines(g: Gold) -> DataFrame:
     return reports.r4(g, ordered=False).orderBy("type", "month")
 
 
+def report5_markdowns(g: Gold) -> DataFrame:
+    """Year x the markdown columns that exist (wide, one bar group per year)."""
+    r5 = reports.r5(g, ordered=False)
+    return r5.select("year", *[m for m in MARKDOWNS if m in r5.columns]).orderBy("year")
+
+
 def report5_long(g: Gold) -> DataFrame:
     r5 = reports.r5(g, ordered=False)
     present = [m for m in MARKDOWNS if m in r5.columns]
@@ -75,14 +86,26 @@ def report7_share(g: Gold) -> DataFrame:
     return shape.share(reports.r7_year(g, ordered=False), "fuel_price").orderBy("year")
 
 
+def report8_days(g: Gold) -> DataFrame:
+    return reports.r8_day(g, ordered=False).orderBy("day")
+
+
 def report8_best_month(g: Gold) -> DataFrame:
     return shape.best_by(reports.r8_month(g, ordered=False), "weekly_sales", "month", ["month", "month_name", "weekly_sales"])
 
 
+def report9_curve(g: Gold) -> DataFrame:
+    return reports.r9(g, ordered=False).orderBy("cpi")
+
+
 def report9_peaks(g: Gold) -> DataFrame:
     return shape.top_k(reports.r9(g, ordered=False), 6, [F.desc("weekly_sales"), F.asc("cpi")], "rank")
 
 
+def report10_depts(g: Gold) -> DataFrame:
+    return reports.r10(g, ordered=False).orderBy("dept")
+
+
 def report10_top5(g: Gold) -> DataFrame:
     return shape.top_k(reports.r10(g, ordered=False), 5, [F.desc("weekly_sales"), F.asc("dept")], "rank")
 
@@ -93,7 +116,9 @@ def report10_total(g: Gold) -> DataFrame:
 
 DATASETS = {
     "report1_grid": report1_grid, "report2_pivot": report2_pivot, "report2_earliest": report2_earliest,
-    "report3_top6": report3_top6, "report4_lines": report4_lines, "report5_long": report5_long,
+    "report3_area": report3_area, "report3_top6": report3_top6, "report4_lines": report4_lines,
+    "report5_markdowns": report5_markdowns, "report5_long": report5_long, "report8_days": report8_days,
+    "report9_curve": report9_curve, "report10_depts": report10_depts,
     "report6_bars": report6_bars, "report6_share": report6_share, "report7_top15": report7_top15,
     "report7_share": report7_share, "report8_best_month": report8_best_month,
     "report9_peaks": report9_peaks, "report10_top5": report10_top5, "report10_total": report10_total,

@@ -150,6 +150,11 @@ register(
 register("report3_top6", _top("x_r3", "store, size, weekly_sales", "weekly_sales DESC, size, store", 6),
          [R["r3"]])(_ds("report3_top6"))
 register("report4_lines", "SELECT * FROM x_r4", [R["r4"]])(_ds("report4_lines"))
+register("report3_area", "SELECT * FROM x_r3", [R["r3"]])(_ds("report3_area"))
+register("report5_markdowns", "SELECT * FROM x_r5", [R["r5"]])(_ds("report5_markdowns"))
+register("report8_days", "SELECT * FROM x_r8_day", [R["r8_day"]])(_ds("report8_days"))
+register("report9_curve", "SELECT * FROM x_r9", [R["r9"]])(_ds("report9_curve"))
+register("report10_depts", "SELECT * FROM x_r10", [R["r10"]])(_ds("report10_depts"))
 register(
     "report5_long",
     " UNION ALL ".join(f"SELECT year, 'markdown{i}' AS markdown, markdown{i} AS amount FROM x_r5" for i in range(1, 6)),
