@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from weekly_mart.functions import audit_ts
 from weekly_mart.operators.joins import broadcast_if_small
 from weekly_mart.operators.pit import pit_condition
-from weekly_mart.schemas import MARKDOWNS, STORE_DIM_KEYS, VALID_FROM, VALID_TO
+from weekly_mart.schemas import MARKDOWNS, STORE_DIM_KEYS, STORE_WEEK_BROADCAST_ROWS, VALID_FROM, VALID_TO
 
 FACT_COLUMNS = [
     "store_id", "dept_id", "date_id", "store_weekly_sales", "fuel_price", "store_temperature",
@@ -28,17 +28,20 @@ def build_fact(
 
     Join order puts the small date dimension first (broadcast, no shuffle),
     then the store version on (store_id, dept_id), then the store-week row on
-    (store_id, store_date). The two dimensions are broadcast when their row
-    count is proven small (``broadcast_if_small``); otherwise, like the
-    store-week side, they join by sort-merge on the keys. Only the columns
-    the fact keeps are read.
+    (store_id, store_date). Each of the three is broadcast when its row count
+    is proven small (``broadcast_if_small``); otherwise it joins by sort-merge
+    on its keys, with AQE splitting hot keys. Only the columns the fact keeps
+    are read.
     """
     ts = audit_ts(as_of)
     dept = stg_department.select("store_id", "dept_id", "store_date", "weekly_sales").alias("dept")
     dd = broadcast_if_small(date_dim.select("date_id", "store_date")).alias("dd")
     sd = broadcast_if_small(store_dim.select(*STORE_DIM_KEYS, VALID_FROM, VALID_TO)).alias("sd")
-    f = stg_fact.select(
-        "store_id", "store_date", "fuel_price", "temperature", "unemployment", "cpi", *MARKDOWNS
+    # The store-week rows grow with stores x weeks, not with sales; they are
+    # wide (11 columns), so their broadcast bound is tighter.
+    f = broadcast_if_small(
+        stg_fact.select("store_id", "store_date", "fuel_price", "temperature", "unemployment", "cpi", *MARKDOWNS),
+        max_rows=STORE_WEEK_BROADCAST_ROWS,
     ).alias("f")
 
     j = dept.join(dd, F.col("dept.store_date") == F.col("dd.store_date"))
