@@ -144,8 +144,10 @@ class Mart:
     def date_dim_scd1(self) -> DataFrame:
         """Date dimension kept by SCD1 upserts: first the dates before the store
         change, then all dates (new dates get ids after the current maximum)."""
+        # The increment comes from the written date dimension: its distinct
+        # (date, flag) pairs give the same per-date flag as the store-week rows.
         def build():
-            inc = dims.date_increment(self.stg_fact())
+            inc = dims.date_increment(self.date_dim())
             first = dims.scd1_upsert(
                 self.spark.createDataFrame([], "date_id int, store_date date, is_holiday boolean,"
                                            " insert_date timestamp_ntz, update_date timestamp_ntz"),
@@ -156,7 +158,7 @@ class Mart:
         return self._keep(
             "gold.date_dim_scd1",
             f"{self.base}/gold/date_dim_scd1",
-            lambda: dims.scd1_upsert(run1, dims.date_increment(self.stg_fact()), as_of=fixtures.CHANGE_AT),
+            lambda: dims.scd1_upsert(run1, dims.date_increment(self.date_dim()), as_of=fixtures.CHANGE_AT),
         )
 
     def dq_results(self) -> DataFrame:
