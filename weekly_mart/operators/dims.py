@@ -91,6 +91,8 @@ def scd1_upsert(
 def store_dim_source(stg_stores: DataFrame, stg_department: DataFrame) -> DataFrame:
     """Every store x every department that has sales: the dimension's grain.
 
+    ``stg_department`` is the sales (or an already distinct department list).
+
     The department list is a distinct over the sales (partial aggregation),
     capped at MAX_DEPARTMENTS by a check that fails the job rather than
     replicating an unbounded list. It is evaluated once as a scalar subquery

@@ -98,8 +98,16 @@ class Mart:
     def stg_stores(self, upload: int = 1) -> DataFrame:
         return silver.stg_stores(self.bronze("stores" if upload == 1 else "stores_v0"))
 
+    def departments(self) -> DataFrame:
+        """Distinct departments with sales: one pass over the sales, written
+        once and shared by every snapshot run of this input."""
+        return self._keep(
+            "silver.departments", f"{self.base}/silver/departments",
+            lambda: self.stg_department().select("dept_id").distinct(),
+        )
+
     def store_dim_source(self, upload: int = 1) -> DataFrame:
-        return dims.store_dim_source(self.stg_stores(upload), self.stg_department())
+        return dims.store_dim_source(self.stg_stores(upload), self.departments())
 
     # -- Gold ----------------------------------------------------------------
     def date_dim(self) -> DataFrame:
