@@ -14,6 +14,10 @@ def test_failed_rewrite_keeps_old_table(spark, scratch):
         scratch.write(bad, target)
     assert scratch.is_complete(target)
     assert sorted(r.id for r in spark.read.parquet(target).collect()) == [0, 1, 2, 3, 4]
+    import os
+
+    parent = os.path.dirname(target.replace("file:", ""))
+    assert [n for n in os.listdir(parent) if "__staging" in n] == []
 
 
 def test_rewrite_of_the_table_being_read(spark, scratch):

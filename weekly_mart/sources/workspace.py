@@ -116,6 +116,8 @@ class Workspace:
             fs.rename(jtarget, self._fs(old)[1])
         fs.mkdirs(jtarget.getParent())
         if not fs.rename(jstaging, jtarget):
+            if old:  # put the previous table back
+                fs.rename(self._fs(old)[1], jtarget)
             raise RuntimeError(f"could not move {staging} to {target}")
         if old:
             self.delete(old)
@@ -126,7 +128,11 @@ class Workspace:
         w = df.write.format(fmt).mode("errorifexists").options(**options)
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.save(staging)
+        try:
+            w.save(staging)
+        except Exception:
+            self.delete(staging)  # a failed job leaves no partial folder behind
+            raise
         self.swap_in(staging, target)
 
     def materialize(
