@@ -35,9 +35,8 @@ def densify(df: DataFrame, row_key: str, col_key: str, value: str, fill=0) -> Da
     global (bounded) list of col_key values. No join, no cartesian operator.
     """
     vtype = df.schema[value].dataType
-    per_row = df.groupBy(row_key).agg(
-        F.map_from_entries(F.collect_list(F.struct(col_key, value))).alias("_cells")
-    )
+    cell = F.when(F.col(col_key).isNotNull(), F.struct(col_key, value))  # a map key cannot be NULL
+    per_row = df.groupBy(row_key).agg(F.map_from_entries(F.collect_list(cell)).alias("_cells"))
     grid = per_row.select(row_key, "_cells", F.explode(_bounded_values(df, col_key)).alias(col_key))
     return grid.select(
         row_key,
