@@ -1,9 +1,9 @@
 """The 16 report queries over the star schema.
 
-Reports r1-r8 read the Gold summaries (``plans/summaries.py``): the fact
-summed once per store-day, and once per store-version-day after the
-point-in-time join to the store dimension. r9 (CPI) and r10 (department)
-need fact-level keys and read the fact. Every report is a grouped
+Reports r1-r9 read the Gold summaries (``plans/summaries.py``): the fact
+summed once per store-day (with its CPI), and once per store-version-day
+after the point-in-time join to the store dimension. r10 (department)
+needs a fact-level key and reads the fact. Every report is a grouped
 aggregation (partial on the map side, final after the shuffle of groups),
 then a sort of the few result rows. Sums are widened to decimal(38, s).
 """
@@ -150,9 +150,9 @@ def r8_day(g: Gold, ordered: bool = True) -> DataFrame:
 def r9(g: Gold, ordered: bool = True) -> DataFrame:
     return _order(
         (
-            g.fact.where(F.col("cpi").isNotNull())
+            g.daily.where(F.col("cpi").isNotNull())
             .groupBy(F.round("cpi", 2).cast("decimal(14,2)").alias("cpi"))
-            .agg(F.sum("store_weekly_sales").cast(SUM_MONEY).alias("weekly_sales"))
+            .agg(_sum("weekly_sales"))
         ),
         ordered,
         "cpi",

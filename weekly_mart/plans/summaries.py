@@ -1,15 +1,16 @@
 """Gold summary tables that the reports read instead of the fact.
 
-Every report except r9 (CPI) and r10 (department) groups by store, date or
-store-version attributes, and every measure it sums (sales, fuel price,
+Every report except r10 (department) groups by store, date, CPI (a
+store-week attribute) or store-version attributes, and every measure it sums (sales, fuel price,
 markdowns) is additive. So the fact is summed once to
 
-- ``sales_daily``: fact x date_dim, one row per (store, date);
+- ``sales_daily``: fact x date_dim, one row per (store, date), carrying the
+  holiday flag and the store-week CPI;
 - ``sales_versioned``: fact x date_dim x store_dim live at the date (closed
   interval, as the reports join it), one row per (store version, date,
   temperature bucket);
 
-each about (number of departments) times smaller than the fact. Twelve
+each about (number of departments) times smaller than the fact. Fifteen
 reports then scan a small table and the point-in-time join runs once, not
 five times. Results are identical: decimal sums are exact, MIN of MINs is
 the MIN, and NULL-only groups stay NULL.
@@ -40,6 +41,7 @@ def sales_daily(fact: DataFrame, date_dim: DataFrame) -> DataFrame:
             F.col("f.store_id").alias("store_id"),
             F.col("d.store_date").alias("store_date"),
             F.col("d.is_holiday").alias("is_holiday"),
+            F.col("f.cpi").alias("cpi"),  # from the store-week row: one value per (store, date)
         )
         .agg(
             F.sum("f.store_weekly_sales").cast(SUM_MONEY).alias("weekly_sales"),
