@@ -107,3 +107,23 @@ def test_fingerprint_both_ways_sees_a_rewrite(spark, scratch, tmp_path):
             assert scratch.fingerprint(f"{landing}/stores") != a
         finally:
             wsm.LIST_ON_DRIVER = old
+
+
+def test_cli_expected_counts(spark, scratch, tmp_path, capsys):
+    import json
+
+    import pytest
+
+    from weekly_mart.__main__ import main
+
+    landing = scratch.path("landing_expect")
+    files = [f"stores={_local(tmp_path, 'stores', STORES)}", f"fact={_local(tmp_path, 'fact', FACT)}",
+             f"department={_local(tmp_path, 'department', DEPT)}"]
+    main(["--landing", landing, "--as-of", "2013-01-01 00:00:00", "--upload", *files,
+          "--expect", "department_raw=8", "stores_raw=3"])
+    res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    got = {r["table_name"]: r["ok"] for r in res["row_counts"] if r["expected"] is not None}
+    assert got == {"department_raw": True, "stores_raw": True}
+    with pytest.raises(AssertionError, match="row counts differ"):
+        main(["--landing", landing, "--as-of", "2013-01-01 00:00:00", "--strict",
+              "--expect", "department_raw=421570"])

@@ -32,7 +32,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--as-of", default=None, help="run time for snapshots and audit columns")
     ap.add_argument("--out", default=None, help="report output folder (default: workspace/reports)")
     ap.add_argument("--format", default="parquet", choices=["parquet", "csv"])
-    ap.add_argument("--strict", action="store_true", help="fail when a data test fails")
+    ap.add_argument("--strict", action="store_true", help="fail when a data test or a row count fails")
+    ap.add_argument("--expect", nargs="*", default=[], metavar="TABLE=ROWS",
+                    help="expected row counts after load, e.g. department_raw=421570")
     args = ap.parse_args(argv)
 
     spark = (
@@ -52,13 +54,20 @@ def main(argv: list[str] | None = None) -> None:
         m = Mart(spark, args.sf)
     m.build()
     dq = m.dq_results()
+    expected = {k: int(v) for k, v in (e.split("=", 1) for e in args.expect)}
+    counts_df = m.row_counts(expected) if expected else None
     if args.strict:
         quality.assert_clean(dq)
+        if counts_df is not None:
+            bad = counts_df.where("not ok").collect()
+            if bad:
+                raise AssertionError(f"row counts differ: {[r.asDict() for r in bad]}")
     counts = publish(m, args.out, args.format)
     print(json.dumps({
         "workspace": m.base,
         "data_tests": [r.asDict() for r in dq.collect()],
         "report_rows": counts,
+        "row_counts": [r.asDict() for r in counts_df.collect()] if counts_df is not None else None,
         "seconds": round(time.time() - t0, 1),
     }))
 

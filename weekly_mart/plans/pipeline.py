@@ -172,14 +172,14 @@ class Mart:
     def dq_results(self) -> DataFrame:
         return quality.run_all(self.date_dim(), self.store_dim(), self.fact())
 
-    def row_counts(self) -> DataFrame:
+    def row_counts(self, expected: dict[str, int] | None = None) -> DataFrame:
         return quality.row_counts({
             "department_raw": self.bronze("department"), "fact_raw": self.bronze("fact"),
             "stores_raw": self.bronze("stores"), "stores_raw_v0": self.bronze("stores_v0"),
             "stg_department": self.stg_department(), "stg_fact": self.stg_fact(),
             "stg_stores": self.stg_stores(), "date_dim": self.date_dim(), "store_dim": self.store_dim(),
             "store_dim_live": dims.current_versions(self.store_dim()), "fact": self.fact(),
-        })
+        }, expected)
 
     def bronze_incremental(self, name: str = "department") -> DataFrame:
         """Bronze table kept by the availableNow file stream (see streaming/)."""
@@ -288,13 +288,13 @@ class CsvMart(Mart):
                           lambda: fact.build_fact(self.stg_department(), self.store_dim(), self.stg_fact(),
                                                   self.date_dim(), boundary=boundary, as_of=self.as_of))
 
-    def row_counts(self) -> DataFrame:
+    def row_counts(self, expected: dict[str, int] | None = None) -> DataFrame:
         return quality.row_counts({
             "department_raw": self.bronze("department"), "fact_raw": self.bronze("fact"),
             "stores_raw": self.bronze("stores"), "stg_department": self.stg_department(),
             "stg_fact": self.stg_fact(), "stg_stores": self.stg_stores(), "date_dim": self.date_dim(),
             "store_dim": self.store_dim(), "fact": self.fact(),
-        })
+        }, expected)
 
     def build(self) -> None:
         if "built" in self._cache:
