@@ -169,6 +169,21 @@ class Mart:
             lambda: dims.scd1_upsert(run1, dims.date_increment(self.date_dim()), as_of=fixtures.CHANGE_AT),
         )
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose the layers to SQL as temporary views (``{prefix}fact``,
+        ``{prefix}date_dim``, ``{prefix}store_dim``, the summaries and the
+        staging views), so report SQL written against the star schema runs
+        in ``spark.sql`` unchanged apart from table names."""
+        g = self.gold()
+        views = {
+            "fact": g.fact, "date_dim": g.date_dim, "store_dim": g.store_dim,
+            "sales_daily": g.daily, "sales_versioned": g.versioned,
+            "stg_department": self.stg_department(), "stg_fact": self.stg_fact(), "stg_stores": self.stg_stores(),
+        }
+        for name, df in views.items():
+            df.createOrReplaceTempView(f"{prefix}{name}")
+        return [f"{prefix}{n}" for n in views]
+
     def dq_results(self) -> DataFrame:
         return quality.run_all(self.date_dim(), self.store_dim(), self.fact())
 
