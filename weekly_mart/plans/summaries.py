@@ -1,8 +1,9 @@
 """Gold summary tables that the reports read instead of the fact.
 
 Every report except r10 (department) groups by store, date, CPI (a
-store-week attribute) or store-version attributes, and every measure it sums (sales, fuel price,
-markdowns) is additive. So the fact is summed once to
+store-week attribute) or store-version attributes, and every measure it
+sums (sales, fuel price, markdowns) is additive. So the fact is summed once
+to
 
 - ``sales_daily``: fact x date_dim, one row per (store, date), carrying the
   holiday flag and the store-week CPI;
