@@ -16,6 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from weekly_mart.operators import dims, fact, quality, silver
 from weekly_mart.plans import summaries
@@ -157,8 +158,7 @@ class Mart:
         def build():
             inc = dims.date_increment(self.date_dim())
             first = dims.scd1_upsert(
-                self.spark.createDataFrame([], "date_id int, store_date date, is_holiday boolean,"
-                                           " insert_date timestamp_ntz, update_date timestamp_ntz"),
+                self.date_dim().limit(0),  # an empty dimension (JVM-side, no Python workers)
                 inc.where(inc.store_date < fixtures.CHANGE_AT[:10]), as_of=fixtures.FIRST_LOAD_AT,
             )
             return first
@@ -294,7 +294,7 @@ class CsvMart(Mart):
                     dims.run_snapshot(self.ws, target, self.store_dim_source(1), STORE_DIM_KEYS,
                                       STORE_DIM_CHECK, as_of=self.as_of,
                                       initial_valid_from=self.initial_valid_from)
-                    self.ws.write(self.spark.createDataFrame([(self.as_of,)], "as_of string"), marker)
+                    self.ws.write(self.spark.range(1).select(F.lit(self.as_of).alias("as_of")), marker)
                 self._cache["gold.store_dim"] = self.spark.read.parquet(target)
             return self._cache["gold.store_dim"]
 
