@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from weekly_mart.llm.common import table
 from weekly_mart.llm.exact_dedup import exact_dedup
+from weekly_mart.llm.quality_rules import quality
 from weekly_mart.llm.shuffle_shards import shard_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,10 +31,19 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot", F.lit(None).cast("int").alias("grown_shard"),
     )
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality(table(spark, sf_dir, "documents"))
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        failed.alias("base_failed"), (~failed & F.col("kept")).alias("kept"), "posterior",
+    )
+
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op7_sharding": op7_sharding,
+    "op5_quality_rules": op5_quality_rules,
 }
 
 ORACLE: dict[str, str] = {
