@@ -2,3 +2,10 @@
 
 Nothing else in the library imports this subpackage.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Executors need not have this package installed: its functions travel with the tasks.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

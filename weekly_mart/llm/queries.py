@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekly_mart.llm.common import table
 from weekly_mart.llm.exact_dedup import exact_dedup
+from weekly_mart.llm.language_id import identify_language, learn_languages
 from weekly_mart.llm.quality_rules import quality
 from weekly_mart.llm.shuffle_shards import shard_rows
 
@@ -39,11 +40,22 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         failed.alias("base_failed"), (~failed & F.col("kept")).alias("kept"), "posterior",
     )
 
+def _fold() -> Column:
+    """Remainder that says which documents are held out (1) and which may be learned from."""
+    return F.crc32(F.col("doc_id").cast("string")) % 3
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = learn_languages(docs, usable=_fold() != 1)
+    return identify_language(docs, model).withColumn("held_out", F.coalesce(_fold() == 1, F.lit(False)))
+
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op7_sharding": op7_sharding,
     "op5_quality_rules": op5_quality_rules,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLE: dict[str, str] = {
