@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weekly_mart.llm.common import materialise
+
 #: Characters that the second step hashes.
 PREFIX_CHARS = 128
 
@@ -36,8 +38,9 @@ def exact_dedup(
 
     Scale: the first two steps run on one aggregate per (length, prefix hash),
     combined before the shuffle, so a length or a text that a third of all rows
-    share costs one partial row per task. Joins on those keys are sort-merge
-    joins, whose hot keys AQE splits.
+    share costs one partial row per task. The two small tables of surviving
+    groups are written before rows are joined to them, so that the joins are
+    plain ones, whose hot keys AQE splits.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
@@ -49,18 +52,20 @@ def exact_dedup(
     # Step 1: lengths that occur twice. Step 2: of those, prefix hashes that occur twice.
     by_prefix = rows.groupBy("_len", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
     by_length = by_prefix.groupBy("_len").agg(F.sum("_n").alias("_n")).where("_n > 1").select("_len")
-    suspects = (
-        by_prefix.where("_n > 1").join(by_length, "_len", "left_semi").select("_len", "_prefix")
+    suspects = materialise(
+        by_prefix.where("_n > 1").join(by_length, "_len", "left_semi").select("_len", "_prefix"),
+        "dedup-suspects",
     )
     # Step 3: the whole text, of rows in surviving groups only.
     full: Column = F.col("_content") if digest_col else F.sha2(F.col("_content"), 256)
     survivors = rows.join(suspects, ["_len", "_prefix"], "left_semi").select(
         "_id", "_len", full.alias("_sha")
     )
-    groups = (
+    groups = materialise(
         survivors.groupBy("_len", "_sha")
         .agg(F.max("_id").alias("_keep"), F.count(F.lit(1)).alias("_size"))
-        .where("_size > 1")
+        .where("_size > 1"),
+        "dedup-groups",
     )
     if digest_col:
         rows = rows.select("_id", "_len", F.col("_content").alias("_sha"))
