@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from weekly_mart.llm.common import table
 from weekly_mart.llm.exact_dedup import exact_dedup
 from weekly_mart.llm.language_id import identify_language, learn_languages
+from weekly_mart.llm.ngram_join import jaccard_components
 from weekly_mart.llm.quality_rules import quality
 from weekly_mart.llm.shuffle_shards import shard_rows
 
@@ -50,12 +51,16 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = learn_languages(docs, usable=_fold() != 1)
     return identify_language(docs, model).withColumn("held_out", F.coalesce(_fold() == 1, F.lit(False)))
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op7_sharding": op7_sharding,
     "op5_quality_rules": op5_quality_rules,
     "op9_language_id": op9_language_id,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
 }
 
 ORACLE: dict[str, str] = {
