@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from weekly_mart.llm.common import table
 from weekly_mart.llm.exact_dedup import exact_dedup
+from weekly_mart.llm.html_extract import extract_text
 from weekly_mart.llm.language_id import identify_language, learn_languages
+from weekly_mart.llm.license_scan import scan_licenses
 from weekly_mart.llm.ngram_join import jaccard_components
 from weekly_mart.llm.quality_rules import quality
 from weekly_mart.llm.shuffle_shards import shard_rows
@@ -54,6 +56,21 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = scan_licenses(table(spark, sf_dir, "documents"))
+    words = F.transform("places", lambda p: p.word)
+    base = F.array_distinct(F.transform("places", lambda p: p.label))
+    both = F.array_union(base, F.transform("found", lambda d: d.label))
+    return scanned.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min(words).alias("first_word"), F.array_max(words).alias("last_word"),
+        F.array_join(F.array_sort(base), ",").alias("base_labels"),
+        F.array_join(F.array_sort(both), ",").alias("labels"), "score",
+    )
+
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
@@ -61,6 +78,8 @@ QUERIES: dict[str, Query] = {
     "op5_quality_rules": op5_quality_rules,
     "op9_language_id": op9_language_id,
     "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op10_html_extraction": op10_html_extraction,
+    "op2_license_scan": op2_license_scan,
 }
 
 ORACLE: dict[str, str] = {
