@@ -15,6 +15,7 @@ from weekly_mart.llm.license_scan import scan_licenses
 from weekly_mart.llm.ngram_join import jaccard_components
 from weekly_mart.llm.quality_rules import quality
 from weekly_mart.llm.shuffle_shards import shard_rows
+from weekly_mart.llm.toxicity import fit_toxicity, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +72,15 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.array_sort(both), ",").alias("labels"), "score",
     )
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    labelled = docs.where(_fold() != 1).select("doc_id", "text").join(labels.select("doc_id", "toxic"), "doc_id")
+    scored = score_toxicity(docs.select("doc_id", "text"), fit_toxicity(labelled))
+    return scored.select(
+        "doc_id", F.coalesce(_fold() == 1, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
@@ -80,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op10_html_extraction": op10_html_extraction,
     "op2_license_scan": op2_license_scan,
+    "op8_toxicity": op8_toxicity,
 }
 
 ORACLE: dict[str, str] = {
