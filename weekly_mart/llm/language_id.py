@@ -192,6 +192,35 @@ def learn_languages(
     )
 
 
+def _predictor(model: LanguageModel, spark):
+    """A function for tasks: names and scores of the texts of a string column."""
+    shared = spark.sparkContext.broadcast((model.langs, model.lang, model.size, model.gram, model.count))
+
+    def load():
+        learned = LanguageModel(*shared.value)
+        tables = learned.tables() if learned.langs else None
+        langs = np.array(learned.langs, object)
+
+        def predict(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+            names, score = np.full(len(text), UNDETERMINED, object), np.zeros(len(text))
+            for c in chunks(text):
+                has_letter = c.per_text(_ASCII_LETTER[c.data]) > 0
+                for k in np.flatnonzero(~has_letter & (c.per_text(c.data >= 0xC2) > 0)):
+                    own = bytes(c.data[c.bounds[k] : c.bounds[k + 1]]).decode("utf-8", "replace")
+                    has_letter[k] = any(x.isalpha() for x in own)
+                if tables is None:
+                    continue
+                bits = tables.code_lengths(c.data, c.bounds)
+                gap = np.minimum(bits - bits.min(1, keepdims=True), 1000)
+                names[c.first : c.last][has_letter] = langs[bits.argmin(1)[has_letter]]
+                score[c.first : c.last] = np.where(has_letter, 1 / np.exp2(-gap).sum(1), 0.0)
+            return names, score
+
+        return predict
+
+    return load
+
+
 def identify_language(
     docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -201,34 +230,33 @@ def identify_language(
     has no language. Ties go to the language that sorts first. Whole texts are
     coded, in one pass without a shuffle; rows are independent of each other.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (model.langs, model.lang, model.size, model.gram, model.count)
-    )
+    load = _predictor(model, docs.sparkSession)
 
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learned = LanguageModel(*shared.value)
-        tables = learned.tables() if learned.langs else None
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        predict = load()
         for batch in batches:
-            ids, text = batch.columns
-            for c in chunks(text):
-                n = c.last - c.first
-                has_letter = c.per_text(_ASCII_LETTER[c.data]) > 0
-                for k in np.flatnonzero(~has_letter & (c.per_text(c.data >= 0xC2) > 0)):
-                    own = bytes(c.data[c.bounds[k] : c.bounds[k + 1]]).decode("utf-8", "replace")
-                    has_letter[k] = any(x.isalpha() for x in own)
-                names, score = np.full(n, UNDETERMINED, object), np.zeros(n)
-                if tables is not None:
-                    bits = tables.code_lengths(c.data, c.bounds)
-                    best = bits.argmin(1)
-                    gap = np.minimum(bits - bits.min(1, keepdims=True), 1000)
-                    score = np.where(has_letter, 1 / np.exp2(-gap).sum(1), 0.0)
-                    names[has_letter] = np.array(learned.langs, object)[best[has_letter]]
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(c.first, n), pa.array(names, pa.string()), pa.array(score)],
-                    names=["_id", "lang_pred", "score"],
-                )
+            names, score = predict(batch.column(1))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(names, pa.string()), pa.array(score)], names=["_id", "lang_pred", "score"]
+            )
 
     narrow = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     kind = narrow.schema["_id"].dataType.simpleString()
-    out = narrow.mapInArrow(predict, f"_id {kind}, lang_pred string, score double")
+    out = narrow.mapInArrow(run, f"_id {kind}, lang_pred string, score double")
     return out.withColumnRenamed("_id", id_col)
+
+
+def keep_identified(
+    docs: DataFrame, model: LanguageModel, *, text_col: str = "text", least_score: float = 0.5
+) -> DataFrame:
+    """The rows of ``docs`` whose language is determined with at least this score, all columns unchanged."""
+    load = _predictor(model, docs.sparkSession)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        predict = load()
+        for batch in batches:
+            names, score = predict(batch.column(at))
+            yield batch.filter(pa.array((names != UNDETERMINED) & (score >= least_score)))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weekly_mart.llm.best_fit_packing import pack
 from weekly_mart.llm.common import table
 from weekly_mart.llm.exact_dedup import exact_dedup
 from weekly_mart.llm.html_extract import extract_text
@@ -15,6 +16,7 @@ from weekly_mart.llm.license_scan import scan_licenses
 from weekly_mart.llm.ngram_join import jaccard_components
 from weekly_mart.llm.quality_rules import quality
 from weekly_mart.llm.shuffle_shards import shard_rows
+from weekly_mart.llm.temperature_mix import mix_sources
 from weekly_mart.llm.toxicity import fit_toxicity, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +83,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
     )
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"), max_repeats=2.0)
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), capacity=2048)
+
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
@@ -91,6 +99,8 @@ QUERIES: dict[str, Query] = {
     "op10_html_extraction": op10_html_extraction,
     "op2_license_scan": op2_license_scan,
     "op8_toxicity": op8_toxicity,
+    "op4_mixing": op4_mixing,
+    "op3_best_fit_packing": op3_best_fit_packing,
 }
 
 ORACLE: dict[str, str] = {
