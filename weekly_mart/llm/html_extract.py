@@ -27,7 +27,7 @@ RUN_WORDS = 8
 #: Share of a block's words that repeated runs have to cover.
 COVERED = 0.5
 #: Words of one suffix array, on average; larger hosts are dealt over several.
-ARRAY_WORDS = 500_000
+ARRAY_WORDS = 50_000
 
 
 def _hash_words(words: list[str]) -> np.ndarray:
