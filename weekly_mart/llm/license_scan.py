@@ -7,6 +7,8 @@ lies within another of the same or a higher priority is suppressed.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,17 +60,16 @@ def phrase_places(norm: Column, phrase: str) -> Column:
 
 
 def _rule_table(table: list[Rule]) -> Column:
-    """The rules as one array literal; patterns fit the normalised text."""
-    return F.array(
-        *[
-            F.struct(
-                F.lit(k).alias("rule"), F.lit(r.priority).alias("priority"), F.lit(r.label).alias("label"),
-                F.lit(r.keyword).alias("keyword"),
-                F.lit("(?<= )(?:" + r.pattern.replace(" ?", "(?: )?").replace(" ", "  ") + ")(?= )").alias("pattern"),
-            )
-            for k, r in enumerate(table)
-        ]
-    )
+    """The rules as one constant array; patterns fit the normalised text."""
+    rows = [
+        {
+            "rule": k, "priority": r.priority, "label": r.label, "keyword": r.keyword,
+            "pattern": "(?<= )(?:" + r.pattern.replace(" ?", "(?: )?").replace(" ", "  ") + ")(?= )",
+        }
+        for k, r in enumerate(table)
+    ]
+    kind = "array<struct<rule:int,priority:int,label:string,keyword:string,pattern:string>>"
+    return F.from_json(F.lit(json.dumps(rows)), kind)
 
 
 def detections(norm: Column, table: list[Rule]) -> Column:
