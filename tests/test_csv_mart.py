@@ -89,24 +89,33 @@ def test_cli_runs_from_uploaded_files(spark, scratch, tmp_path, capsys):
     assert tests[("positive", "store_weekly_sales")] == 1  # the -60.0 week
 
 
-def test_fingerprint_both_ways_sees_a_rewrite(spark, scratch, tmp_path):
-    import weekly_mart.sources.workspace as wsm
+def test_fingerprint_sees_a_rewrite(spark, scratch, tmp_path):
+    from weekly_mart.sources.landing import upload
 
     landing = scratch.path("fp")
+    upload(spark, {"stores": _local(tmp_path, "s1", STORES)}, landing)
+    a = scratch.fingerprint(f"{landing}/stores")
+    assert a == scratch.fingerprint(f"{landing}/stores")
+    upload(spark, {"stores": _local(tmp_path, "s2", STORES.replace("37392", "400000"))}, landing)
+    assert scratch.fingerprint(f"{landing}/stores") != a
+
+
+def test_a_file_uploaded_again_replaces_its_rows(spark, scratch, tmp_path):
     from weekly_mart.sources.landing import upload
+    from weekly_mart.streaming.uploads import load_uploads, read_uploads
 
+    landing, target = scratch.path("again"), scratch.path("again_raw")
     upload(spark, {"stores": _local(tmp_path, "s1", STORES)}, landing)
-    for limit in (10_000, 0):  # driver listing, then the distributed job
-        old = wsm.LIST_ON_DRIVER
-        wsm.LIST_ON_DRIVER = limit
-        try:
-            a = scratch.fingerprint(f"{landing}/stores")
-            assert a == scratch.fingerprint(f"{landing}/stores")
-            upload(spark, {"stores": _local(tmp_path, f"s2{limit}", STORES.replace("37392", f"4{limit % 10}000"[:5]))},
-                   landing)
-            assert scratch.fingerprint(f"{landing}/stores") != a
-        finally:
-            wsm.LIST_ON_DRIVER = old
+    assert load_uploads(scratch, f"{landing}/stores", "stores", target) == 1
+    assert load_uploads(scratch, f"{landing}/stores", "stores", target) == 0
+    first = sorted(tuple(r) for r in read_uploads(scratch, target).collect())
+    assert first == [("1", "A", "151315"), ("2", "B", "202307"), ("3", "A", "37392")]
+    with open(os.path.join(landing.replace("file:", ""), "stores", "more.csv"), "w") as fh:
+        fh.write("Store,Type,Size\n9,C,1\n")
+    upload(spark, {"stores": _local(tmp_path, "s2", "Store,Type,Size\r\n1,A,7\r\n4,B,8\r\n")}, landing)
+    assert load_uploads(scratch, f"{landing}/stores", "stores", target) == 2
+    assert sorted(tuple(r) for r in read_uploads(scratch, target).collect()) == [
+        ("1", "A", "7"), ("4", "B", "8"), ("9", "C", "1")]
 
 
 def test_cli_expected_counts(spark, scratch, tmp_path, capsys):

@@ -13,10 +13,23 @@ def test_densify_fills_missing_cells(spark):
     assert got == [(1, False, 0), (1, True, 5), (2, False, 7), (2, True, 0)]
 
 
+def test_densify_keeps_null_keys(spark):
+    df = spark.createDataFrame([(1, True, 10), (1, None, 5), (None, True, 3)], "store int, h boolean, v int")
+    got = sorted((tuple(r) for r in shape.densify(df, "store", "h", "v").collect()), key=repr)
+    assert got == sorted([(1, True, 10), (1, None, 5), (None, True, 3), (None, None, 0)], key=repr)
+
+
+def test_number_in_order(spark):
+    rows = [(g, float(v), k) for k, (g, v) in enumerate([("a", -5), ("a", 0), ("a", 1e6), ("a", 3), ("a", 3), ("b", 7), (None, 1)])]
+    df = spark.createDataFrame(rows, "g string, v double, k int")
+    got = {r.k: r.pos for r in shape.number_in_order(df, ["v", "k"], shape.magnitude("v"), "pos", group=["g"]).collect()}
+    assert got == {0: 1, 1: 2, 2: 5, 3: 3, 4: 4, 5: 1, 6: 1}
+
+
 def test_pivot_fill_and_names(spark):
     df = spark.createDataFrame([("a", 2010, Decimal("1.50")), ("b", 2011, Decimal("2.00"))],
                                "k string, year int, v decimal(38,2)")
-    p = shape.pivot_sum(df, ["k"], "year", "v")
+    p = shape.pivot_sum(df, ["k"], "year", [2010, 2011], "v")
     assert p.columns == ["k", "2010", "2011"]
     assert sorted(tuple(r) for r in p.collect()) == [("a", Decimal("1.50"), Decimal("0.00")),
                                                      ("b", Decimal("0.00"), Decimal("2.00"))]

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekly_mart.functions import audit_ts, ts_literal
-from weekly_mart.schemas import MAX_DEPARTMENTS, VALID_FROM, VALID_TO
+from weekly_mart.operators.shape import number_in_order
+from weekly_mart.schemas import VALID_FROM, VALID_TO
+
+# Parts that the department list is dealt over.
+DEPARTMENT_CHUNKS = 64
 
 
 # --------------------------------------------------------------------------
@@ -43,13 +47,15 @@ def scd1_upsert(
     id_col: str = "date_id",
     value_cols: tuple[str, ...] = ("is_holiday",),
     as_of: str | None = None,
+    cut: Column | None = None,
 ) -> DataFrame:
     """Type-1 upsert: overwrite values in place, keep ids and insert_date.
 
     Existing keys keep their id and insert_date; update_date moves only when a
     value changed. New keys get ids after the current maximum, numbered in key
     order. ``incoming`` must hold one row per key. One full outer join on the
-    key; the id offset is a one-row scalar subquery.
+    key; the id offset is a one-row scalar subquery. New keys are numbered by
+    stretches of their order (``cut``; months, where the key is a date).
     """
     ts = audit_ts(as_of)
     one_per_key = (
@@ -76,12 +82,11 @@ def scd1_upsert(
         F.when(is_new, ts).otherwise(F.col("d.insert_date")).alias("insert_date"),
         F.when(is_new | (present & changed), ts).otherwise(F.col("d.update_date")).alias("update_date"),
     ]
-    # Existing rows keep their id with no window at all; only the new keys are
-    # numbered (a dimension's new keys per run are few).
+    # Existing rows keep their id with no window at all; only the new keys are numbered.
     kept = j.where(~is_new).select(F.col(f"d.{id_col}").alias(id_col), *cols)
-    added = j.where(is_new).select(
-        (max_id + F.row_number().over(Window.orderBy(F.col(f"i.{key}")))).cast("int").alias(id_col), *cols
-    )
+    added = number_in_order(j.where(is_new).select(*cols), [key], cut if cut is not None else F.trunc(key, "month"), "_no")
+    added = added.select((max_id + F.col("_no")).cast("int").alias(id_col), key, *value_cols,
+                         "insert_date", "update_date")
     return kept.unionByName(added)
 
 
@@ -93,24 +98,18 @@ def store_dim_source(stg_stores: DataFrame, stg_department: DataFrame) -> DataFr
 
     ``stg_department`` is the sales (or an already distinct department list).
 
-    The department list is a distinct over the sales (partial aggregation),
-    capped at MAX_DEPARTMENTS by a check that fails the job rather than
-    replicating an unbounded list. It is evaluated once as a scalar subquery
-    and exploded per store row: no join operator, no shuffle of the stores.
+    The department list is a distinct over the sales (partial aggregation). It
+    is dealt by hash over a fixed number of chunks, and every store meets every
+    chunk by its number, so no task holds the whole list.
     """
-    depts = (
-        stg_department.select("dept_id")
-        .distinct()
-        .limit(MAX_DEPARTMENTS + 1)
-        .agg(F.array_sort(F.collect_list("dept_id")).alias("ids"))
-        .select(
-            F.when(F.size("ids") <= MAX_DEPARTMENTS, F.col("ids"))
-            .otherwise(F.raise_error(F.lit(f"more than {MAX_DEPARTMENTS} departments")))
-            .alias("ids")
-        )
+    chunks = (
+        stg_department.where("dept_id IS NOT NULL").select("dept_id").distinct()
+        .groupBy(F.pmod(F.xxhash64("dept_id"), F.lit(DEPARTMENT_CHUNKS)).cast("int").alias("chunk"))
+        .agg(F.collect_list("dept_id").alias("ids"))
     )
-    return stg_stores.select(
-        "store_id", F.explode(depts.scalar()).alias("dept_id"), "store_type", "store_size"
+    stores = stg_stores.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(DEPARTMENT_CHUNKS - 1))))
+    return stores.join(chunks, "chunk").select(
+        "store_id", F.explode("ids").alias("dept_id"), "store_type", "store_size"
     )
 
 
@@ -136,7 +135,7 @@ def snapshot(
 
     Open versions meet the source in ONE full outer join on the keys; each
     joined row emits <= 2 versions through explode(filter(array(...))).
-    The caller writes the result to a new folder and swaps it in.
+    The caller writes the result as a new version of the table.
     """
     ts = ts_literal(as_of)
     payload = [c for c in source.columns if c not in keys]
@@ -210,15 +209,13 @@ def run_snapshot(
 ) -> DataFrame:
     """Apply one snapshot run to the dimension stored at ``target``.
 
-    Reads the current dimension (if any), writes the new one to a staging
-    folder and swaps it in, so history survives a failed run and the table
-    being read is never overwritten in place.
+    Reads the newest complete version (if any) and writes a new one beside it,
+    so a run that dies at any point leaves the history as it was.
     """
-    spark = source.sparkSession
-    current = spark.read.parquet(target) if ws.is_complete(target) else None
+    current = ws.read(target) if ws.is_complete(target) else None
     new = snapshot(current, source, keys, check_cols, as_of, invalidate_hard_deletes, initial_valid_from)
     ws.write(new, target)
-    return spark.read.parquet(target)
+    return ws.read(target)
 
 
 def current_versions(dim: DataFrame) -> DataFrame:

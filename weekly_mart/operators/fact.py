@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekly_mart.functions import audit_ts
-from weekly_mart.operators.joins import broadcast_if_small
 from weekly_mart.operators.pit import pit_condition
-from weekly_mart.schemas import MARKDOWNS, STORE_DIM_KEYS, STORE_WEEK_BROADCAST_ROWS, VALID_FROM, VALID_TO
+from weekly_mart.schemas import MARKDOWNS, STORE_DIM_KEYS, VALID_FROM, VALID_TO
 
 FACT_COLUMNS = [
     "store_id", "dept_id", "date_id", "store_weekly_sales", "fuel_price", "store_temperature",
@@ -26,41 +25,39 @@ def build_fact(
 ) -> DataFrame:
     """Inner joins: sales x store version (point in time) x store-week x date.
 
-    Join order puts the small date dimension first (broadcast, no shuffle),
-    then the store version on (store_id, dept_id), then the store-week row on
-    (store_id, store_date). Each of the three is broadcast when its row count
-    is proven small (``broadcast_if_small``); otherwise it joins by sort-merge
-    on its keys, with AQE splitting hot keys. Only the columns the fact keeps
-    are read.
+    The small date dimension comes first, then the store version on (store_id,
+    dept_id), then the store-week row on (store_id, store_date). The dimensions
+    are written tables, so the planner knows their bytes and broadcasts those
+    under ``spark.sql.autoBroadcastJoinThreshold``; the others join by sort-merge
+    on their keys, with AQE splitting hot keys. No job runs to build the plan.
+    Only the columns the fact keeps are read.
     """
     ts = audit_ts(as_of)
-    dept = stg_department.select("store_id", "dept_id", "store_date", "weekly_sales").alias("dept")
-    dd = broadcast_if_small(date_dim.select("date_id", "store_date")).alias("dd")
-    sd = broadcast_if_small(store_dim.select(*STORE_DIM_KEYS, VALID_FROM, VALID_TO)).alias("sd")
-    # The store-week rows grow with stores x weeks, not with sales; they are
-    # wide (11 columns), so their broadcast bound is tighter.
-    f = broadcast_if_small(
-        stg_fact.select("store_id", "store_date", "fuel_price", "temperature", "unemployment", "cpi", *MARKDOWNS),
-        max_rows=STORE_WEEK_BROADCAST_ROWS,
-    ).alias("f")
-
-    j = dept.join(dd, F.col("dept.store_date") == F.col("dd.store_date"))
-    j = j.join(sd, pit_condition("dept", "sd", STORE_DIM_KEYS, F.col("dept.store_date"), boundary))
+    sales = stg_department.select("store_id", "dept_id", "store_date", "weekly_sales").alias("sales")
+    dates = date_dim.select("date_id", "store_date").alias("dates")
+    version = store_dim.select(*STORE_DIM_KEYS, VALID_FROM, VALID_TO).alias("version")
+    week = stg_fact.select(
+        "store_id", "store_date", "fuel_price", "temperature", "unemployment", "cpi", *MARKDOWNS
+    ).alias("week")
+
+    j = sales.join(dates, F.col("sales.store_date") == F.col("dates.store_date"))
+    j = j.join(version, pit_condition("sales", "version", STORE_DIM_KEYS, F.col("sales.store_date"), boundary))
     j = j.join(
-        f, (F.col("dept.store_id") == F.col("f.store_id")) & (F.col("dept.store_date") == F.col("f.store_date"))
+        week,
+        (F.col("sales.store_id") == F.col("week.store_id")) & (F.col("sales.store_date") == F.col("week.store_date")),
     )
     return j.select(
-        F.col("sd.store_id").alias("store_id"),
-        F.col("sd.dept_id").alias("dept_id"),
-        F.col("dd.date_id").alias("date_id"),
-        F.col("dept.weekly_sales").alias("store_weekly_sales"),
-        F.col("f.fuel_price").alias("fuel_price"),
-        F.col("f.temperature").alias("store_temperature"),
-        F.col("f.unemployment").alias("unemployment"),
-        F.col("f.cpi").alias("cpi"),
-        *[F.col(f"f.{m}").alias(m) for m in MARKDOWNS],
-        F.col(f"sd.{VALID_FROM}").alias(VALID_FROM),
-        F.col(f"sd.{VALID_TO}").alias(VALID_TO),
+        F.col("version.store_id").alias("store_id"),
+        F.col("version.dept_id").alias("dept_id"),
+        F.col("dates.date_id").alias("date_id"),
+        F.col("sales.weekly_sales").alias("store_weekly_sales"),
+        F.col("week.fuel_price").alias("fuel_price"),
+        F.col("week.temperature").alias("store_temperature"),
+        F.col("week.unemployment").alias("unemployment"),
+        F.col("week.cpi").alias("cpi"),
+        *[F.col(f"week.{m}").alias(m) for m in MARKDOWNS],
+        F.col(f"version.{VALID_FROM}").alias(VALID_FROM),
+        F.col(f"version.{VALID_TO}").alias(VALID_TO),
         ts.alias("insert_date"),
         ts.alias("update_date"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekly_mart.operators import shape
@@ -20,7 +20,7 @@ def report1_grid(g: Gold) -> DataFrame:
 
 def report2_pivot(g: Gold) -> DataFrame:
     """Temperature bucket x year (one column per year), buckets in display order."""
-    return shape.pivot_sum(reports.r2(g, ordered=False), ["temp_bucket", "bucket_ord"], "year", "weekly_sales").orderBy(
+    return shape.pivot_sum(reports.r2(g, ordered=False), ["temp_bucket", "bucket_ord"], "year", g.years, "weekly_sales").orderBy(
         "bucket_ord"
     )
 
@@ -60,14 +60,13 @@ def report5_long(g: Gold) -> DataFrame:
 def report6_bars(g: Gold) -> DataFrame:
     """Stores ascending by sales within each type, labelled ``type-store``.
 
-    The window is over aggregated store rows per type (one row per store)."""
-    w = Window.partitionBy("type").orderBy("weekly_sales", "store")
-    return (
-        reports.r6_store(g, ordered=False)
-        .withColumn("label", F.concat_ws("-", "type", F.col("store").cast("string")))
-        .withColumn("bar_pos", F.row_number().over(w))
-        .orderBy("type", "bar_pos")
+    A type's stores are numbered by stretches of sales magnitude, not in one task."""
+    bars = reports.r6_store(g, ordered=False).withColumn(
+        "label", F.concat_ws("-", "type", F.col("store").cast("string"))
     )
+    return shape.number_in_order(
+        bars, ["weekly_sales", "store"], shape.magnitude("weekly_sales"), "bar_pos", group=["type"]
+    ).orderBy("type", "bar_pos")
 
 
 def report6_share(g: Gold) -> DataFrame:
@@ -76,9 +75,8 @@ def report6_share(g: Gold) -> DataFrame:
 
 def report7_top15(g: Gold) -> DataFrame:
     """Store x year fuel pivot; the 15 stores highest in the latest year (ties by store)."""
-    wide = shape.pivot_sum(reports.r7_store(g, ordered=False), ["store"], "year", "fuel_price")
-    years = [c for c in wide.columns if c != "store"]
-    order = ([F.desc(f"`{max(years, key=int)}`")] if years else []) + [F.asc("store")]
+    wide = shape.pivot_sum(reports.r7_store(g, ordered=False), ["store"], "year", g.years, "fuel_price")
+    order = ([F.desc(f"`{g.years[-1]}`")] if g.years else []) + [F.asc("store")]
     return shape.top_k(wide, 15, order, "rank")
 
 

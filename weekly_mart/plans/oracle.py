@@ -8,6 +8,8 @@ are pinned (INTEGER years, DECIMAL(38,s) sums) so both engines agree.
 
 from __future__ import annotations
 
+import re
+
 from weekly_mart.sources.fixtures import BUILD_AT, CHANGE_AT, FIRST_LOAD_AT
 
 T0, T1, TB = f"TIMESTAMP '{FIRST_LOAD_AT}'", f"TIMESTAMP '{CHANGE_AT}'", f"TIMESTAMP '{BUILD_AT}'"
@@ -45,17 +47,40 @@ def _src(stores: str) -> str:
 _CHANGED = "a.store_type is distinct from b.store_type or a.store_size is distinct from b.store_size"
 
 
-def _fact(cmp: str) -> str:
-    return (
-        "select sd.store_id, sd.dept_id, dd.date_id, dept.weekly_sales store_weekly_sales, f.fuel_price,"
-        " f.temperature store_temperature, f.unemployment, f.cpi, f.markdown1, f.markdown2, f.markdown3,"
-        " f.markdown4, f.markdown5, sd.vrsn_start_date, sd.vrsn_end_date,"
-        f" {TB} insert_date, {TB} update_date"
-        " from stg_department dept join store_dim sd on dept.store_id=sd.store_id and dept.dept_id=sd.dept_id"
-        f" and (case when {cmp} then 1 else 0 end) = 1"
-        " join stg_fact f on dept.store_id=f.store_id and dept.store_date=f.store_date"
-        " join date_dim dd on dept.store_date=dd.store_date"
+def _fact(boundary: str) -> str:
+    """Sales with the store lists as they were uploaded, not with the dimension.
+
+    A store of the first list is valid from the first load up to the change, or
+    for good where the second list has it unchanged; a new or changed store of
+    the second list is valid from the change. On the change day itself both
+    rules apply under the closed boundary.
+    """
+    last_old = "<=" if boundary == "closed" else "<"
+    change = f"date '{CHANGE_AT[:10]}'"
+    columns = (
+        "s.store_id, s.dept_id, x.date_id, s.weekly_sales store_weekly_sales, w.fuel_price,"
+        " w.temperature store_temperature, w.unemployment, w.cpi, w.markdown1, w.markdown2, w.markdown3,"
+        " w.markdown4, w.markdown5"
+    )
+    tables = (
+        " from stg_department s join date_dim x using (store_date)"
+        " join stg_fact w on w.store_id = s.store_id and w.store_date = s.store_date"
     )
+    same = "(select a.* from stg_stores0 a semi join stg_stores1 b using (store_id, store_type, store_size))"
+    old = "(select a.* from stg_stores0 a anti join stg_stores1 b using (store_id, store_type, store_size))"
+    new = "(select b.* from stg_stores1 b anti join stg_stores0 a using (store_id, store_type, store_size))"
+
+    def part(stores: str, start: str, end: str, where: str) -> str:
+        return (
+            f"select {columns}, {start} vrsn_start_date, {end} vrsn_end_date, {TB} insert_date, {TB} update_date"
+            f"{tables} semi join {stores} l on l.store_id = s.store_id where {where}"
+        )
+
+    return " union all ".join([
+        part(same, T0, "cast(null as timestamp)", f"s.store_date >= date '{FIRST_LOAD_AT[:10]}'"),
+        part(old, T0, T1, f"s.store_date {last_old} {change}"),
+        part(new, T1, "cast(null as timestamp)", f"s.store_date >= {change}"),
+    ])
 
 
 CHAIN: list[tuple[str, str]] = [
@@ -114,14 +139,19 @@ CHAIN: list[tuple[str, str]] = [
      f" union all select b.store_id, b.dept_id, b.store_type, b.store_size, {T1}, cast(null as timestamp),"
      f" {T1}, {T1} from src1 b left join src0 a on a.store_id=b.store_id and a.dept_id=b.dept_id"
      f" where a.store_id is null or {_CHANGED}"),
-    ("fact_closed", _fact(f"dept.store_date between sd.vrsn_start_date and coalesce(sd.vrsn_end_date, {FAR})")),
-    ("fact_half", _fact(f"dept.store_date >= sd.vrsn_start_date and dept.store_date <"
-                        f" coalesce(sd.vrsn_end_date, {FAR})")),
+    ("fact_closed", _fact("closed")),
+    ("fact_half", _fact("half_open")),
 ]
 
 
 def with_chain(body: str, extra: list[tuple[str, str]] | None = None) -> str:
-    """Prefix ``body`` with the CTE chain plus ``extra`` CTEs (DuckDB skips
-    CTEs it does not use)."""
-    ctes = ",\n".join(f"{name} AS ({sql})" for name, sql in CHAIN + (extra or []))
-    return f"WITH {ctes}\n{body}"
+    """Prefix ``body`` with the CTEs it needs, directly or through others, each
+    computed once."""
+    chain = CHAIN + (extra or [])
+    needed, text = [], body
+    for name, sql in reversed(chain):
+        if re.search(rf"\b{name}\b", text):
+            needed.append((name, sql))
+            text += " " + sql
+    ctes = ",\n".join(f"{name} AS MATERIALIZED ({sql})" for name, sql in reversed(needed))
+    return f"WITH {ctes}\n{body}" if needed else body

@@ -22,7 +22,7 @@ from weekly_mart.operators import dims, fact, quality, silver
 from weekly_mart.plans import summaries
 from weekly_mart.schemas import STORE_DIM_CHECK, STORE_DIM_KEYS
 from weekly_mart.sources import fixtures
-from weekly_mart.sources.landing import read_raw, write_csv
+from weekly_mart.sources.landing import csv_reader, read_raw, write_csv
 from weekly_mart.sources.workspace import Workspace
 
 LANDING_TABLES = {"department": "department", "fact": "fact", "stores": "stores", "stores_v0": "stores"}
@@ -35,6 +35,11 @@ class Gold:
     store_dim: DataFrame
     daily: DataFrame       # sales_daily summary
     versioned: DataFrame   # sales_versioned summary
+    years: tuple[int, ...] = ()  # calendar years of the date dimension, ascending
+
+
+def input_key(ws: Workspace, sf_dir: str) -> str:
+    return ws.fingerprint(f"{sf_dir}/lineitem.parquet", f"{sf_dir}/supplier.parquet")
 
 
 class Mart:
@@ -42,8 +47,8 @@ class Mart:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.ws = workspace or Workspace(spark)
-        key = self.ws.fingerprint(f"{self.sf_dir}/lineitem.parquet", f"{self.sf_dir}/supplier.parquet")
-        self.base = self.ws.path("weekly_mart", key)
+        self.input_key = input_key(self.ws, self.sf_dir)
+        self.base = self.ws.path("weekly_mart", self.input_key)
         self._cache: dict[str, DataFrame] = {}
         self._lock = threading.Lock()
         self._locks: dict[str, threading.Lock] = {}
@@ -79,6 +84,10 @@ class Mart:
             self._cache["landing"] = None
         return path
 
+    def landing_files(self, name: str) -> str:
+        """Folder with the current files of one landing table."""
+        return self.ws.current(f"{self.landing}/{name}")
+
     # -- Bronze ------------------------------------------------------------
     def bronze(self, name: str) -> DataFrame:
         """Raw table loaded from its landing folder (``department``, ``fact``,
@@ -86,7 +95,7 @@ class Mart:
         return self._keep(
             f"bronze.{name}",
             f"{self.base}/bronze/{name}_raw",
-            lambda: read_raw(self.spark, self.landing, LANDING_TABLES[name], folder=name),
+            lambda: csv_reader(self.spark, LANDING_TABLES[name]).csv(self.landing_files(name)),
         )
 
     # -- Silver (lazy) -------------------------------------------------------
@@ -150,18 +159,31 @@ class Mart:
             ),
         )
 
+    def years(self) -> tuple[int, ...]:
+        """Calendar years of the date dimension: what pivots name their columns by."""
+        with self._lock_for("years"):
+            if "years" not in self._cache:
+                found = self.date_dim().select(F.year("store_date").alias("y")).distinct().collect()
+                self._cache["years"] = tuple(sorted(r["y"] for r in found))
+            return self._cache["years"]
+
     def date_dim_scd1(self) -> DataFrame:
-        """Date dimension kept by SCD1 upserts: first the dates before the store
-        change, then all dates (new dates get ids after the current maximum)."""
+        """Date dimension kept by SCD1 upserts of two increments.
+
+        The first holds the dates before the store change without the first
+        quarter of each year, and calls every April day a holiday; the second
+        holds all dates with their true flags. So earlier dates come late and get
+        ids after the current maximum, and flags change in place."""
         # The increment comes from the written date dimension: its distinct
         # (date, flag) pairs give the same per-date flag as the store-week rows.
         def build():
             inc = dims.date_increment(self.date_dim())
-            first = dims.scd1_upsert(
+            first = inc.where((inc.store_date < fixtures.CHANGE_AT[:10]) & (F.quarter(inc.store_date) > 1))
+            first = first.withColumn("is_holiday", inc.is_holiday | (F.month(inc.store_date) == 4))
+            return dims.scd1_upsert(
                 self.date_dim().limit(0),  # an empty dimension (JVM-side, no Python workers)
-                inc.where(inc.store_date < fixtures.CHANGE_AT[:10]), as_of=fixtures.FIRST_LOAD_AT,
+                first, as_of=fixtures.FIRST_LOAD_AT,
             )
-            return first
         run1 = self._keep("gold.date_dim_scd1_run1", f"{self.base}/gold/date_dim_scd1_run1", build)
         return self._keep(
             "gold.date_dim_scd1",
@@ -197,12 +219,15 @@ class Mart:
         }, expected)
 
     def bronze_incremental(self, name: str = "department") -> DataFrame:
-        """Bronze table kept by the availableNow file stream (see streaming/)."""
-        from weekly_mart.streaming import load_new_files
-        target = f"{self.base}/bronze_stream/{name}_raw"
-        load_new_files(self.spark, self.landing, LANDING_TABLES[name], target,
-                       f"{self.base}/_checkpoints/bronze_stream_{name}", folder=name)
-        return self.spark.read.parquet(target)
+        """Bronze table kept by incremental loads that replace the rows of a file
+        uploaded again (see streaming/uploads). Two loads run; the second finds
+        nothing new."""
+        from weekly_mart.streaming.uploads import load_uploads, read_uploads
+        target = f"{self.base}/bronze_uploads/{name}_raw"
+        with self._lock_for(target):
+            for _ in range(2):
+                load_uploads(self.ws, self.landing_files(name), LANDING_TABLES[name], target)
+        return read_uploads(self.ws, target)
 
     def sales_daily(self, boundary: str = "closed") -> DataFrame:
         return self._keep(
@@ -213,7 +238,7 @@ class Mart:
     def sales_versioned(self, boundary: str = "closed") -> DataFrame:
         return self._keep(
             f"gold.sales_versioned.{boundary}", f"{self.base}/gold/sales_versioned_{boundary}",
-            lambda: summaries.sales_versioned(self.fact(boundary), self.date_dim(), self.store_dim()),
+            lambda: summaries.sales_versioned(self.fact(boundary), self.date_dim(), self.store_dim(), boundary),
         )
 
     def gold(self, boundary: str = "closed") -> Gold:
@@ -221,7 +246,7 @@ class Mart:
             self.build()
         return Gold(
             self.fact(boundary), self.date_dim(), self.store_dim(),
-            self.sales_daily(boundary), self.sales_versioned(boundary),
+            self.sales_daily(boundary), self.sales_versioned(boundary), self.years(),
         )
 
     def build(self) -> None:
@@ -240,10 +265,11 @@ _MARTS: dict[tuple[str, str], Mart] = {}
 
 
 def mart(spark: SparkSession, sf_dir: str) -> Mart:
-    """One Mart per (session, input folder)."""
+    """One Mart per (session, input folder), made anew when the input files have changed."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _MARTS:
-        _MARTS[key] = Mart(spark, sf_dir)
+    known = _MARTS.get(key)
+    if known is None or known.input_key != input_key(known.ws, known.sf_dir):
+        _MARTS[key] = Mart(spark, sf_dir, known.ws if known else None)
     return _MARTS[key]
 
 
@@ -295,7 +321,7 @@ class CsvMart(Mart):
                                       STORE_DIM_CHECK, as_of=self.as_of,
                                       initial_valid_from=self.initial_valid_from)
                     self.ws.write(self.spark.range(1).select(F.lit(self.as_of).alias("as_of")), marker)
-                self._cache["gold.store_dim"] = self.spark.read.parquet(target)
+                self._cache["gold.store_dim"] = self.ws.read(target)
             return self._cache["gold.store_dim"]
 
     def fact(self, boundary: str = "closed") -> DataFrame:

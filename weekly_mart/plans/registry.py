@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from weekly_mart.plans import datasets, reports
 from weekly_mart.plans.oracle import FAR, with_chain
 from weekly_mart.plans.pipeline import Mart, mart
-from weekly_mart.schemas import TEMP_BUCKET_ELSE, TEMP_BUCKETS
 
 Builder = Callable[[Mart], DataFrame]
 _REGISTRY: dict[str, tuple[Builder, str | None]] = {}
@@ -38,11 +37,16 @@ FDS = (
 SALES = "CAST(SUM(f.store_weekly_sales) AS DECIMAL(38,2)) AS weekly_sales"
 YEAR = "CAST(YEAR(d.store_date) AS INTEGER) AS year"
 MONTH = "CAST(MONTH(d.store_date) AS INTEGER) AS month, MONTHNAME(d.store_date) AS month_name"
+# Ten-degree buckets written out on their own: by division, not by the engine's list of bounds.
+_T = "CAST(floor(f.store_temperature / 10) AS INTEGER)"
+BUCKET_ORD = (
+    "CASE WHEN f.store_temperature IS NULL OR f.store_temperature >= 90 THEN 10"
+    f" WHEN f.store_temperature < 0 THEN 0 ELSE {_T} + 1 END"
+)
 BUCKET = (
-    "CASE " + " ".join(f"WHEN f.store_temperature < {b} THEN '{lbl}'" for b, lbl in TEMP_BUCKETS)
-    + f" ELSE '{TEMP_BUCKET_ELSE}' END AS temp_bucket, CASE "
-    + " ".join(f"WHEN f.store_temperature < {b} THEN {i}" for i, (b, _) in enumerate(TEMP_BUCKETS))
-    + f" ELSE {len(TEMP_BUCKETS)} END AS bucket_ord"
+    "CASE WHEN f.store_temperature IS NULL OR f.store_temperature >= 90 THEN '> 90'"
+    f" WHEN f.store_temperature < 0 THEN '< 0' ELSE concat({_T} * 10, '-', {_T} * 10 + 10) END AS temp_bucket,"
+    f" CAST({BUCKET_ORD} AS INTEGER) AS bucket_ord"
 )
 FUEL = "CAST(SUM(f.fuel_price) AS DECIMAL(38,4)) AS fuel_price"
 MDS = ", ".join(f"CAST(SUM(f.markdown{i}) AS DECIMAL(38,2)) AS markdown{i}" for i in range(1, 6))
@@ -87,17 +91,26 @@ register("store_dim_scd2", "SELECT * FROM store_dim")(lambda m: m.store_dim())
 register("store_dim_current", "SELECT * FROM store_dim WHERE vrsn_end_date IS NULL")(
     lambda m: m.store_dim().where("vrsn_end_date IS NULL")
 )
+# Dates of the first increment come before the store change and after the first quarter; its April
+# days are called holidays. The second increment holds all dates with their true flags.
+_FIRST = "store_date < DATE '1998-07-03' AND quarter(store_date) > 1"
 register(
     "date_dim_scd1",
-    "SELECT CAST(row_number() OVER (ORDER BY store_date) AS INTEGER) AS date_id, store_date, is_holiday,"
-    " CASE WHEN store_date < DATE '1998-07-03' THEN TIMESTAMP '1990-01-01 00:00:00'"
+    f"SELECT CAST(row_number() OVER (ORDER BY CASE WHEN {_FIRST} THEN 0 ELSE 1 END, store_date) AS INTEGER) AS date_id,"
+    f" store_date, is_holiday, CASE WHEN {_FIRST} THEN TIMESTAMP '1990-01-01 00:00:00'"
     " ELSE TIMESTAMP '1998-07-03 00:00:00' END AS insert_date,"
-    " CASE WHEN store_date < DATE '1998-07-03' THEN TIMESTAMP '1990-01-01 00:00:00'"
+    f" CASE WHEN {_FIRST} AND (month(store_date) <> 4 OR is_holiday) THEN TIMESTAMP '1990-01-01 00:00:00'"
     " ELSE TIMESTAMP '1998-07-03 00:00:00' END AS update_date"
     " FROM (SELECT store_date, max(is_holiday) AS is_holiday FROM stg_fact GROUP BY 1) x",
 )(lambda m: m.date_dim_scd1())
 register("fact_closed", "SELECT * FROM fact_closed")(lambda m: m.fact("closed"))
 register("fact_half_open", "SELECT * FROM fact_half")(lambda m: m.fact("half_open"))
+register(
+    "r3_half_open",
+    f"SELECT s.store_id AS store, s.store_size AS size, {SALES} FROM fact_half f JOIN date_dim d ON f.date_id = d.date_id"
+    " JOIN store_dim s ON f.store_id = s.store_id AND f.dept_id = s.dept_id AND (CASE WHEN d.store_date >="
+    f" s.vrsn_start_date AND d.store_date < COALESCE(s.vrsn_end_date, {FAR}) THEN 1 ELSE 0 END) = 1 GROUP BY 1, 2",
+)(lambda m: reports.r3(m.gold("half_open")))
 
 
 # -- report data sets ---------------------------------------------------------
@@ -120,10 +133,13 @@ def _share(src: str, key: str, value: str) -> str:
     )
 
 
-def _pivot(inner_body: str, extra, value: str, dtype: str, group: str) -> str:
-    return (
-        f"SELECT * FROM (PIVOT ({with_chain(inner_body, extra)}) ON year"
-        f" USING CAST(COALESCE(SUM({value}), 0) AS {dtype}) GROUP BY {group})"
+# Years of the derived sale dates (ship dates of the line items).
+YEARS = range(1995, 2002)
+
+
+def _by_year(value: str, dtype: str) -> str:
+    return ", ".join(
+        f"CAST(COALESCE(SUM(CASE WHEN year = {y} THEN {value} END), 0) AS {dtype}) AS \"{y}\"" for y in YEARS
     )
 
 
@@ -132,14 +148,13 @@ register(
     "report1_grid",
     "SELECT st.store, fl.is_holiday, COALESCE(r.weekly_sales, CAST(0 AS DECIMAL(38,2))) AS weekly_sales"
     " FROM (SELECT DISTINCT store FROM x_r1_store) st CROSS JOIN (SELECT DISTINCT is_holiday FROM x_r1_store) fl"
-    " LEFT JOIN x_r1_store r ON r.store = st.store AND r.is_holiday = fl.is_holiday",
+    " LEFT JOIN x_r1_store r ON r.store = st.store AND r.is_holiday IS NOT DISTINCT FROM fl.is_holiday",
     [R["r1_store"]],
 )(_ds("report1_grid"))
 register(
     "report2_pivot",
-    _pivot("SELECT temp_bucket, bucket_ord, year, weekly_sales FROM x_r2", [R["r2"]], "weekly_sales",
-           "DECIMAL(38,2)", "temp_bucket, bucket_ord"),
-    raw=True,
+    f"SELECT temp_bucket, bucket_ord, {_by_year('weekly_sales', 'DECIMAL(38,2)')} FROM x_r2 GROUP BY 1, 2",
+    [R["r2"]],
 )(_ds("report2_pivot"))
 register(
     "report2_earliest",
@@ -170,16 +185,9 @@ register(
 register("report6_share", _share("x_r6_type", "type", "weekly_sales"), [R["r6_type"]])(_ds("report6_share"))
 register(
     "report7_top15",
-    "SELECT * FROM ("
-    + _pivot(
-        "SELECT r.store, k.rank, r.year, r.fuel_price FROM x_r7_store r JOIN ranked k ON r.store = k.store",
-        [R["r7_store"], ("ranked",
-         "SELECT store, CAST(row_number() OVER (ORDER BY COALESCE(SUM(CASE WHEN year = (SELECT MAX(year)"
-         " FROM x_r7_store) THEN fuel_price END), 0) DESC, store) AS INTEGER) AS rank FROM x_r7_store"
-         " GROUP BY store")],
-        "fuel_price", "DECIMAL(38,4)", "store, rank")
-    + ") p WHERE rank <= 15",
-    raw=True,
+    "SELECT * FROM (SELECT *, CAST(row_number() OVER (ORDER BY \"2001\" DESC, store) AS INTEGER) AS rank FROM"
+    f" (SELECT store, {_by_year('fuel_price', 'DECIMAL(38,4)')} FROM x_r7_store GROUP BY 1) w) t WHERE rank <= 15",
+    [R["r7_store"]],
 )(_ds("report7_top15"))
 register("report7_share", _share("x_r7_year", "year", "fuel_price"), [R["r7_year"]])(_ds("report7_share"))
 register(

@@ -7,8 +7,8 @@ to
 
 - ``sales_daily``: fact x date_dim, one row per (store, date), carrying the
   holiday flag and the store-week CPI;
-- ``sales_versioned``: fact x date_dim x store_dim live at the date (closed
-  interval, as the reports join it), one row per (store version, date,
+- ``sales_versioned``: fact x date_dim x store_dim live at the date (the
+  fact's own interval rule), one row per (store version, date,
   temperature bucket);
 
 each about (number of departments) times smaller than the fact. Fifteen
@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekly_mart.functions import bucket_ord, temp_bucket
-from weekly_mart.operators.joins import broadcast_if_small
 from weekly_mart.operators.pit import pit_condition
 from weekly_mart.schemas import (
     MARKDOWNS, STORE_DIM_CHECK, STORE_DIM_KEYS, SUM_MEASURE, SUM_MONEY, VALID_FROM, VALID_TO,
@@ -31,7 +30,7 @@ from weekly_mart.schemas import (
 
 
 def _fact_date(fact: DataFrame, date_dim: DataFrame) -> DataFrame:
-    dd = broadcast_if_small(date_dim.select("date_id", "store_date", "is_holiday"))
+    dd = date_dim.select("date_id", "store_date", "is_holiday")
     return fact.alias("f").join(dd.alias("d"), F.col("f.date_id") == F.col("d.date_id"))
 
 
@@ -52,13 +51,15 @@ def sales_daily(fact: DataFrame, date_dim: DataFrame) -> DataFrame:
     )
 
 
-def sales_versioned(fact: DataFrame, date_dim: DataFrame, store_dim: DataFrame) -> DataFrame:
+def sales_versioned(
+    fact: DataFrame, date_dim: DataFrame, store_dim: DataFrame, boundary: str = "closed"
+) -> DataFrame:
     t = F.col("f.store_temperature")
     return (
         _fact_date(fact, date_dim)
         .join(
-            broadcast_if_small(store_dim.select(*STORE_DIM_KEYS, *STORE_DIM_CHECK, VALID_FROM, VALID_TO)).alias("s"),
-            pit_condition("f", "s", STORE_DIM_KEYS, F.col("d.store_date"), "closed"),
+            store_dim.select(*STORE_DIM_KEYS, *STORE_DIM_CHECK, VALID_FROM, VALID_TO).alias("s"),
+            pit_condition("f", "s", STORE_DIM_KEYS, F.col("d.store_date"), boundary),
         )
         .groupBy(
             F.col("s.store_id").alias("store_id"),

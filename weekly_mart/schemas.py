@@ -50,11 +50,3 @@ STORE_DIM_CHECK = ["store_type", "store_size"]
 # Validity columns of SCD2 dimensions.
 VALID_FROM = "vrsn_start_date"
 VALID_TO = "vrsn_end_date"
-
-# Upper bound on distinct departments that the store x department
-# snapshot source may replicate to every store.
-MAX_DEPARTMENTS = 10_000
-# Upper bound on rows of a narrow dimension we allow to be broadcast explicitly.
-MAX_BROADCAST_ROWS = 1_000_000
-# Same for the wide store-week table (about 100 bytes a row).
-STORE_WEEK_BROADCAST_ROWS = 250_000

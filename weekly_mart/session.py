@@ -14,6 +14,8 @@ import math
 from pyspark.sql import SparkSession
 
 MB = 1024 * 1024
+#: A join side of at most this many bytes, by file or shuffle statistics, is broadcast.
+BROADCAST_BYTES = 64 * MB
 
 
 def input_bytes(spark: SparkSession, *paths: str) -> int:
@@ -42,6 +44,8 @@ def size_for_input(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
         "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(BROADCAST_BYTES),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(BROADCAST_BYTES),
     }
     applied = {k: v for k, v in settings.items() if not _explicit(spark, k)}
     for k, v in applied.items():

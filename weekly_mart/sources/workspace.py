@@ -1,50 +1,47 @@
 """Shared-storage workspace: where written layers live.
 
 The root is the folder the cluster names in ``spark.checkpoint.dir`` (a
-shared, fault-tolerant file system on a cluster). Only when it is unset --
-local tests -- do we create one. Every table is written by Spark's commit
-protocol to a staging folder and then swapped in with a file-system rename,
-so a failed or retried job never leaves a half-written table behind, and a
-table is never overwritten while it is being read.
+shared, fault-tolerant file system), or a folder of the warehouse where that
+is unset. A table is a folder of versions: every write makes a new one,
+``target/v-<number>-<id>``, through Spark's commit protocol, and the newest
+version with a ``_SUCCESS`` file is the table. That file is the only switch:
+data is never moved, a job that dies leaves the version before it in place,
+and a DataFrame opened earlier goes on reading its own version.
 """
 
 from __future__ import annotations
 
 import hashlib
-import tempfile
+import re
+import time
 import uuid
 from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+
 def _code_version() -> str:
     """Hash of this package's source: a code change never reuses old tables."""
     root = Path(__file__).resolve().parents[1]
     h = hashlib.sha1()
     for f in sorted(root.rglob("*.py")):
+        if "llm" in f.relative_to(root).parts:  # no table of this workspace comes from there
+            continue
         h.update(f.relative_to(root).as_posix().encode())
         h.update(f.read_bytes())
     return h.hexdigest()[:12]
 
 
 CODE_VERSION = _code_version()
-# Input folders with more files than this are fingerprinted by a Spark job.
-LIST_ON_DRIVER = 10_000
+#: Replaced versions stay this long for readers that opened them earlier.
+KEEP_SECONDS = 7 * 24 * 3600
+_VERSION = re.compile(r"v-(\d{8})-[0-9a-f]{8}")
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        # local runs / tests only: nothing configured, make a private folder
-        root = tempfile.mkdtemp(prefix="weekly_mart-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (root or spark.conf.get("spark.sql.warehouse.dir") + "/_workspace").rstrip("/")
 
 
 class Workspace:
@@ -62,11 +59,6 @@ class Workspace:
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *[p.strip("/") for p in parts]])
 
-    def is_complete(self, path: str) -> bool:
-        fs, jpath = self._fs(path)
-        jvm = self.spark.sparkContext._jvm
-        return bool(fs.exists(jvm.org.apache.hadoop.fs.Path(jpath, "_SUCCESS")))
-
     def exists(self, path: str) -> bool:
         fs, jpath = self._fs(path)
         return bool(fs.exists(jpath))
@@ -77,63 +69,74 @@ class Workspace:
             fs.delete(jpath, True)
 
     def fingerprint(self, *paths: str) -> str:
-        """Hash of this code and of every input file's name, size and time.
+        """Hash of this code and of every input file's path, size and time.
 
-        Folders of up to LIST_ON_DRIVER files are listed here; bigger ones by
-        one distributed job over the files' metadata (``binaryFile`` with the
-        content column pruned, so no data is read), folded on the executors
-        into one order-independent hash."""
+        Files are listed one by one and folded into one number, so the order and
+        the count of files don't matter."""
         h = hashlib.sha1(CODE_VERSION.encode())
         for p in paths:
             fs, jpath = self._fs(p)
             h.update(p.encode())
-            if fs.getContentSummary(jpath).getFileCount() <= LIST_ON_DRIVER:
-                it = fs.listFiles(jpath, True)
-                entries = []
-                while it.hasNext():
-                    st = it.next()
-                    entries.append(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}")
-                h.update("|".join(sorted(entries)).encode())
-            else:
-                from pyspark.sql import functions as F
-
-                row = (
-                    self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(p)
-                    .agg(F.bit_xor(F.xxhash64("path", "modificationTime", "length")).alias("x"),
-                         F.count(F.lit(1)).alias("n"))
-                    .first()
-                )
-                h.update(f"{row.x}:{row.n}".encode())
+            files, folded = fs.listFiles(jpath, True), 0
+            while files.hasNext():
+                st = files.next()
+                entry = f"{st.getPath().toString()}:{st.getLen()}:{st.getModificationTime()}"
+                folded = (folded + int.from_bytes(hashlib.sha1(entry.encode()).digest())) % (1 << 160)
+            h.update(folded.to_bytes(20))
         return h.hexdigest()[:16]
 
-    # -- writes ---------------------------------------------------------------
-    def swap_in(self, staging: str, target: str) -> None:
+    # -- versions -------------------------------------------------------------
+    def _versions(self, target: str) -> list[tuple[str, int, bool]]:
+        """(path, time, complete) of every version, oldest first."""
         fs, jtarget = self._fs(target)
-        _, jstaging = self._fs(staging)
-        old = None
-        if fs.exists(jtarget):
-            old = f"{target}.__old-{uuid.uuid4().hex[:8]}"
-            fs.rename(jtarget, self._fs(old)[1])
-        fs.mkdirs(jtarget.getParent())
-        if not fs.rename(jstaging, jtarget):
-            if old:  # put the previous table back
-                fs.rename(self._fs(old)[1], jtarget)
-            raise RuntimeError(f"could not move {staging} to {target}")
-        if old:
-            self.delete(old)
-
-    def write(self, df: DataFrame, target: str, fmt: str = "parquet", **options) -> None:
+        if not fs.exists(jtarget):
+            return []
+        jvm = self.spark.sparkContext._jvm
+        found = [st for st in fs.listStatus(jtarget) if _VERSION.fullmatch(st.getPath().getName())]
+        return [
+            (
+                st.getPath().toString(),
+                st.getModificationTime(),
+                bool(fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))),
+            )
+            for st in sorted(found, key=lambda st: st.getPath().getName())
+        ]
+
+    def current(self, target: str) -> str | None:
+        """Folder of the newest complete version."""
+        return next((path for path, _, done in reversed(self._versions(target)) if done), None)
+
+    def is_complete(self, target: str) -> bool:
+        return self.current(target) is not None
+
+    def read(self, target: str) -> DataFrame:
+        path = self.current(target)
+        if path is None:
+            raise FileNotFoundError(f"no complete version of {target}")
+        return self.spark.read.parquet(path)
+
+    # -- writes ---------------------------------------------------------------
+    def write(self, df: DataFrame, target: str, fmt: str = "parquet", **options) -> str:
+        """Write a new version of ``target``; returns its folder."""
         partition_by = options.pop("partition_by", None)
-        staging = f"{target}.__staging-{uuid.uuid4().hex[:8]}"
+        before = self._versions(target)
+        number = 1 + max((int(_VERSION.search(path)[1]) for path, _, _ in before), default=0)
+        path = f"{target}/v-{number:08d}-{uuid.uuid4().hex[:8]}"
         w = df.write.format(fmt).mode("errorifexists").options(**options)
         if partition_by:
             w = w.partitionBy(*partition_by)
         try:
-            w.save(staging)
+            w.save(path)
         except Exception:
-            self.delete(staging)  # a failed job leaves no partial folder behind
+            self.delete(path)  # a failed job leaves no partial folder behind
             raise
-        self.swap_in(staging, target)
+        self._expire(before)
+        return path
+
+    def _expire(self, replaced: list[tuple[str, int, bool]]) -> None:
+        for path, changed, _ in replaced:
+            if changed < (time.time() - KEEP_SECONDS) * 1000:
+                self.delete(path)
 
     def materialize(
         self, target: str, build: Callable[[], DataFrame], fmt: str = "parquet", **options
@@ -141,4 +144,4 @@ class Workspace:
         """Write ``build()`` to ``target`` unless a complete copy is there; read it back."""
         if not self.is_complete(target):
             self.write(build(), target, fmt=fmt, **options)
-        return self.spark.read.parquet(target) if fmt == "parquet" else None
+        return self.read(target) if fmt == "parquet" else None

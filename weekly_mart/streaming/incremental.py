@@ -19,7 +19,12 @@ def load_new_files(
     spark: SparkSession, landing: str, table: str, bronze_path: str, checkpoint: str,
     folder: str | None = None, max_files_per_trigger: int | None = None,
 ) -> int:
-    """Run one availableNow pass; returns the number of micro-batches run."""
+    """Run one availableNow pass; returns the number of micro-batches run.
+
+    Reads ``{landing}/{folder or table}/``, or ``landing`` itself where
+    ``folder`` is empty. For files that are uploaded again under their name, use
+    `weekly_mart.streaming.uploads`.
+    """
     reader = (
         spark.readStream.schema(RAW_SCHEMAS[table])
         .option("header", "true")
@@ -29,7 +34,8 @@ def load_new_files(
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.csv(f"{landing.rstrip('/')}/{folder or table}/")
+    source = landing.rstrip("/") if folder == "" else f"{landing.rstrip('/')}/{folder or table}/"
+    stream = reader.csv(source)
     query = (
         stream.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
