@@ -70,6 +70,49 @@ def test_second_upload_adds_versions_once(spark, scratch, tmp_path):
     assert [r for r in rows if r[1] == 1] == [(3, 1, 37392, "2012-01-01 00:00:00"), (3, 1, 40000, "None")]
 
 
+def test_one_new_week_rewrites_one_year(spark, scratch, tmp_path):
+    import contextlib
+    import glob
+    import io
+
+    from weekly_mart.operators import fact as facts
+    from weekly_mart.plans.pipeline import CsvMart
+    from weekly_mart.sources.landing import upload
+
+    landing = scratch.path("landing3")
+    more_weeks = FACT + "1,2011-03-04,50,2.6,NA,NA,NA,NA,NA,212,8,FALSE\n"
+    more_sales = DEPT.rstrip() + "\n1,1,2011-03-04,100.5,FALSE\n"
+    files = {"stores": _local(tmp_path, "stores", STORES), "fact": _local(tmp_path, "fact", more_weeks),
+             "department": _local(tmp_path, "department", more_sales)}
+    upload(spark, files, landing)
+    first = CsvMart(spark, landing, as_of="2013-01-01 00:00:00")
+    ids = {r.store_date: r.date_id for r in first.date_dim().collect()}
+    first.fact()
+    home = first.home.replace("file:", "")
+    builds = lambda: {os.path.relpath(p, home) for p in glob.glob(f"{home}/gold/fact_closed/*/build=*")}
+    before = builds()
+    assert len(before) == 2
+
+    # one more week of 2011, and a date before all others
+    files["fact"] = _local(tmp_path, "fact2", more_weeks + "1,2011-03-11,50,2.6,NA,NA,NA,NA,NA,212,8,FALSE\n")
+    files["department"] = _local(tmp_path, "department2", more_sales + "1,1,2011-03-11,7.5,FALSE\n")
+    upload(spark, files, landing)
+    second = CsvMart(spark, landing, as_of="2014-01-01 00:00:00")
+    got = second.fact()
+    new = builds() - before
+    assert len(new) == 1 and "sale_year=2011" in new.pop()
+    later = {r.store_date: r.date_id for r in second.date_dim().collect()}
+    assert {d: later[d] for d in ids} == ids and len(later) == len(ids) + 1
+
+    full = facts.build_fact(second.stg_department(), second.store_dim(), second.stg_fact(), second.date_dim())
+    kept = [c for c in facts.FACT_COLUMNS if c not in ("insert_date", "update_date")]
+    assert sorted(map(str, got.select(kept).collect())) == sorted(map(str, full.select(kept).collect()))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        second.fact_by_year().where("sale_year = 2011").explain()
+    assert "PartitionFilters: [isnotnull(sale_year" in buf.getvalue()
+
+
 def test_cli_runs_from_uploaded_files(spark, scratch, tmp_path, capsys):
     import json
 

@@ -3,8 +3,6 @@ from weekly_mart.functions.exprs import (  # noqa: F401
     bucket_ord,
     far_future,
     month_name,
-    null_if,
-    sum_as,
     temp_bucket,
     ts_literal,
 )

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from weekly_mart.schemas import FAR_FUTURE, TEMP_BUCKET_ELSE, TEMP_BUCKETS
@@ -44,15 +42,3 @@ def bucket_ord(col: str | Column) -> Column:
 def month_name(col: str | Column) -> Column:
     """Full month name ('February'), the order the charts use."""
     return F.date_format(col, "MMMM")
-
-
-def sum_as(col: str, dtype: str, alias: str | None = None) -> Column:
-    return F.sum(col).cast(dtype).alias(alias or col)
-
-
-def null_if(df: DataFrame, token: str, columns: list[str] | None = None) -> DataFrame:
-    """Turn an exact text token (e.g. 'NA') into NULL, as a loader's NULL_IF does."""
-    cols = columns or [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-    return reduce(
-        lambda d, c: d.withColumn(c, F.when(F.col(c) == token, None).otherwise(F.col(c))), cols, df
-    )
