@@ -11,6 +11,7 @@ import io
 import os
 import re
 import sys
+import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -33,6 +34,8 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "16")
              .config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false")
+             .config("spark.ui.enabled", "false")
+             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-plans-"))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     from weekly_mart.operators import dims, fact

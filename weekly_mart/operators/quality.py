@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weekly_mart.operators.pit import pit_condition
 from weekly_mart.schemas import VALID_FROM, VALID_TO
 
 OUT = ["test", "table_name", "column_name", "failures"]
@@ -89,6 +90,28 @@ def row_counts(tables: dict[str, DataFrame], expected: dict[str, int] | None = N
     return out
 
 
+def dropped_sales(
+    raw_department: DataFrame, stg_department: DataFrame, store_dim: DataFrame, stg_fact: DataFrame,
+    date_dim: DataFrame, boundary: str = "closed",
+) -> DataFrame:
+    """(reason, rows): sales rows that are in no fact row, under the first reason that holds."""
+    sales = stg_department.select("store_id", "dept_id", "store_date").alias("s")
+    dated = date_dim.select(F.col("store_date").alias("_date")).distinct()
+    weeks = stg_fact.select(F.col("store_id").alias("_store"), F.col("store_date").alias("_week")).distinct()
+    on_date = F.col("s.store_date") == F.col("_date")
+    live = pit_condition("s", "v", ["store_id", "dept_id"], F.col("s.store_date"), boundary)
+    in_week = (F.col("s.store_id") == F.col("_store")) & (F.col("s.store_date") == F.col("_week"))
+    known = sales.join(dated, on_date, "left_semi").alias("s")
+    versions = store_dim.alias("v")
+    counted = {
+        "no_amount": raw_department.where(F.col("weekly_sales").isNull()),
+        "no_date": sales.join(dated, on_date, "left_anti"),
+        "no_store_version": known.join(versions, live, "left_anti"),
+        "no_store_week": known.join(versions, live, "left_semi").alias("s").join(weeks, in_week, "left_anti"),
+    }
+    return row_counts(counted).withColumnRenamed("table_name", "reason")
+
+
 def assert_clean(results: DataFrame, allow: tuple[str, ...] = ("positive",)) -> None:
     """Fail if any test outside ``allow`` has failures (one small action)."""
     bad = results.where((F.col("failures") > 0) & ~F.col("test").isin(*allow)).collect()

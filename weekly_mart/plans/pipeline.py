@@ -209,6 +209,11 @@ class Mart:
     def dq_results(self) -> DataFrame:
         return quality.run_all(self.date_dim(), self.store_dim(), self.fact())
 
+    def dropped_sales(self, boundary: str = "closed") -> DataFrame:
+        return quality.dropped_sales(
+            self.bronze("department"), self.stg_department(), self.store_dim(), self.stg_fact(), self.date_dim(), boundary
+        )
+
     def row_counts(self, expected: dict[str, int] | None = None) -> DataFrame:
         return quality.row_counts({
             "department_raw": self.bronze("department"), "fact_raw": self.bronze("fact"),

@@ -243,6 +243,21 @@ register(
                      ("store_dim_live", "store_dim WHERE vrsn_end_date IS NULL"), ("fact", "fact_closed")]
     ),
 )(lambda m: m.row_counts())
+_LISTED = (
+    "(EXISTS (SELECT 1 FROM stg_stores0 o WHERE o.store_id = s.store_id AND (s.store_date <= DATE '1998-07-03' OR"
+    " EXISTS (SELECT 1 FROM stg_stores1 n WHERE n.store_id = o.store_id AND n.store_type = o.store_type AND"
+    " n.store_size = o.store_size))) OR EXISTS (SELECT 1 FROM stg_stores1 n WHERE n.store_id = s.store_id AND"
+    " s.store_date >= DATE '1998-07-03'))"
+)
+register(
+    "dropped_sales",
+    "SELECT 'no_amount' AS reason, CAST(COUNT(*) AS BIGINT) AS rows FROM department_raw WHERE weekly_sales IS NULL"
+    " UNION ALL SELECT 'no_date', CAST(COUNT(*) AS BIGINT) FROM stg_department s WHERE s.store_date NOT IN"
+    " (SELECT store_date FROM date_dim)"
+    f" UNION ALL SELECT 'no_store_version', CAST(COUNT(*) AS BIGINT) FROM stg_department s WHERE NOT {_LISTED}"
+    f" UNION ALL SELECT 'no_store_week', CAST(COUNT(*) AS BIGINT) FROM stg_department s WHERE {_LISTED} AND NOT EXISTS"
+    " (SELECT 1 FROM stg_fact w WHERE w.store_id = s.store_id AND w.store_date = s.store_date)",
+)(lambda m: m.dropped_sales())
 register("department_raw_incremental", "SELECT * FROM department_raw")(
     lambda m: m.bronze_incremental("department"))
 
