@@ -1,5 +1,8 @@
 from collections import Counter
 
+import duckdb
+import pytest
+
 import corpus_pipeline
 from weekly_mart.llm.queries import oracle_sql, queries
 
@@ -37,3 +40,17 @@ def test_run_and_registry(spark):
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries())
     assert numbers == list(range(1, 11))
     assert set(oracle_sql()) <= set(queries())
+
+
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
+def test_query_matches_duckdb(spark, name):
+    found = queries()[name](spark, SF)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    con.execute(f"CREATE VIEW o0 AS {oracle_sql()[name]}")
+    twin = con.sql("SELECT * FROM o0")
+    columns = sorted(found.columns)
+    assert columns == sorted(twin.columns)
+    order = [twin.columns.index(c) for c in columns]
+    expected = sorted(tuple(r[k] for k in order) for r in twin.fetchall())
+    assert sorted(tuple(r) for r in found.select(columns).collect()) == expected

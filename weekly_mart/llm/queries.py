@@ -110,6 +110,26 @@ ORACLE: dict[str, str] = {
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
+    "op6_ngram_jaccard": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+        ), s AS MATERIALIZED (
+            SELECT DISTINCT doc_id, hash(sh) AS sh FROM (
+                SELECT doc_id, unnest(CASE WHEN len(ws) >= 5
+                    THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+                    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh FROM w)
+        ), n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+        l AS MATERIALIZED (
+            SELECT x, y FROM (
+                SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id
+                GROUP BY 1, 2) p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+            WHERE 100 * i >= 80 * (nx.n + ny.n - i)
+        ), e AS MATERIALIZED (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+        r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.y, r.c FROM r JOIN e ON e.x = r.doc_id)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id FROM documents d
+        LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY 1) m ON m.doc_id = d.doc_id
+    """,
 }
 
 

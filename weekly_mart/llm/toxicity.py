@@ -43,7 +43,9 @@ NEAR = 4
 #: Digits and signs that stand for letters inside words.
 _LEET = str.maketrans("013457@$!", "oieastasi")
 _WORD = re.compile(r"[^\W_]+(?:[@$!*'][^\W_]+)*", re.U)
-_OBFUSCATED = re.compile(r"(?:[^\W\d_]+[@$!*\d]+[^\W_]+)|(?:\b(?:[^\W\d_][ .\-_]){3,}[^\W\d_]\b)", re.U)
+_MASKED = re.compile(r"[^\W\d_]+[@$!*\d]+[^\W_]")
+_CAPITAL = re.compile(r"[A-ZÀ-ÖØ-Þ]")
+_STRETCHED = re.compile(r"(\w)\1{3}")
 
 NAMES = [
     *[f"d_{k}" for k in LEXICON], "d_learned", "any_lexicon", "distinct_lexicon", "near_you",
@@ -68,8 +70,17 @@ def features(text: str, learned: frozenset[str]) -> list[float]:
     if not n:
         return [0.0] * len(NAMES)
     count, kinds, at = Counter(), set(), []
+    masked = single = 0  # words with signs inside, and letters that stand alone, four in a row or more
     for k, w in enumerate(words):
-        plain = w if w.isalpha() else w.translate(_LEET)
+        plain = w
+        if len(w) == 1:
+            single += 1
+            masked += single == 4
+        else:
+            single = 0
+            if not w.isalpha():
+                plain = w.translate(_LEET)
+                masked += _MASKED.match(w) is not None
         kind = _KIND.get(plain)
         if kind or plain in learned:
             count[kind or "learned"] += 1
@@ -78,17 +89,16 @@ def features(text: str, learned: frozenset[str]) -> list[float]:
             kinds.add(plain)
             at.append(k)
     near = sum(any(v in SECOND_PERSON for v in words[max(0, k - NEAR) : k + NEAR + 1]) for k in at)
-    letters = sum(map(str.isalpha, text)) or 1
     marks = sum(text.count(x) for x in "!?.,;:")
     return [
         *[count[k] / n for k in LEXICON], count["learned"] / n, float(len(at)), float(len(kinds)), near / n,
         sum(w in SECOND_PERSON for w in words) / n,
-        sum(map(str.isupper, text)) / letters,
+        len(_CAPITAL.findall(text)) / sum(map(len, raw)),
         sum(len(w) > 2 and w.isupper() for w in raw) / n,
         (text.count("!") + text.count("?")) / n,
         marks / n,
-        len(_OBFUSCATED.findall(text)) / n,
-        len(re.findall(r"(\w)\1{3,}", text)) / n,
+        masked / n,
+        len(_STRETCHED.findall(text)) / n,
         float(np.log1p(n)),
     ]
 
