@@ -20,7 +20,7 @@ def labelled(n, seed):
 
 
 def test_features():
-    f = dict(zip(NAMES, features("You IDIOT!! 1d1ot and grumblix are sooooo bad", frozenset({"grumblix"})), strict=True))
+    f = dict(zip(NAMES, features("You IDIOT!! id1ot and grumblix are sooooo bad", frozenset({"grumblix"})), strict=True))
     assert f["any_lexicon"] == 3 and f["distinct_lexicon"] == 2
     assert f["d_insult"] > 0 and f["d_learned"] > 0 and f["near_you"] > 0 and f["obfuscated"] > 0
     assert f["stretched"] > 0 and f["shouted"] > 0 and f["exclamations"] > 0

@@ -225,7 +225,8 @@ def score_toxicity(
     if model.trees is None:
         return docs.select(F.col(id_col), F.lit(model.fallback).alias("score"))
     found = text_features(
-        docs.withColumnRenamed(id_col, "_id"), model.learned, text_col=text_col, keep=["_id"]
+        docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_body")), model.learned,
+        text_col="_body", keep=["_id"],
     )
     vectors = VectorAssembler(inputCols=NAMES, outputCol="_features").transform(found)
     steps = model.calibration.transform(_margin(model.trees, vectors))
