@@ -76,3 +76,11 @@ def test_scd1_rejects_duplicate_keys(spark):
     inc = _stg(spark, [(D(2012, 1, 13), True), (D(2012, 1, 13), False)])
     with pytest.raises(Exception, match="duplicate"):
         dims.scd1_upsert(dim, inc).collect()
+
+
+def test_store_dim_source_has_no_cap_on_departments(spark):
+    stores = spark.createDataFrame([(s, "A", 10) for s in range(3)], "store_id int, store_type string, store_size int")
+    sales = spark.range(20_000).selectExpr("cast(id as int) as dept_id")
+    source = dims.store_dim_source(stores, sales)
+    assert source.count() == 60_000
+    assert source.select("store_id", "dept_id").distinct().count() == 60_000
