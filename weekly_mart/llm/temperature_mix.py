@@ -27,7 +27,7 @@ MAX_REPEATS = 2.0
 #: Tokens of one block of the mixture.
 BLOCK_TOKENS = 1_000_000
 #: Rows that one range of a source's permutation holds on average while it is numbered.
-ROWS_PER_RANGE = 20_000
+ROWS_PER_RANGE = 4_000
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
