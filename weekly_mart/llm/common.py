@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: ``spark.checkpoint.dir``, or a
     folder of the warehouse where that is unset (local tests)."""
@@ -20,11 +23,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new folder of the shared scratch space and read it back.
 
     Cuts lineage: a lost executor recomputes from the written files, never from
-    the plan above them.
+    the plan above them. So the shuffle files of the write are of no further use
+    and Spark is told to remove them with the end of the job.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
