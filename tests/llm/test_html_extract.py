@@ -89,3 +89,19 @@ def test_odd_rows(spark):
         [(1, ""), (1, ""), (2, ""), (None, EXPECTED), (4, ""), (5, "x" * 100_000), (6, EXPECTED), (6, EXPECTED)], key=repr
     )
     assert extract_text(pages(spark, [])).collect() == []
+
+
+def test_copies_and_shared_passages_stay_on_open_pages(spark):
+    # body in plain divs: copies count as one page, a passage of two pages is no boilerplate
+    # and the unique half of a block that holds the notice of all pages stays
+    passage = "a passage that two pages of this host quote word for word in full"
+    notice = "this notice stands on every single page of the host"
+    own = [f"own{i} text{i} of{i} page{i} number{i} with{i} its{i} words{i}" for i in range(8)]
+    rows = [(i, "https://a.example/x", f"<div>{own[i]} {notice}</div>") for i in range(6)]
+    rows += [(i, "https://a.example/x", f"<div>{own[i]}</div><div>{passage}</div>") for i in (6, 7)]
+    rows += [(i, "https://c.example/x", "<p>the same page with the same words as a copy of it</p>") for i in range(10, 16)]
+    for words in (50_000, 40):
+        got = {r["page_id"]: r["text"] for r in extract_text(pages(spark, rows), array_words=words).collect()}
+        assert [got[i] for i in range(6)] == own[:6]
+        assert [got[i] for i in (6, 7)] == [f"{own[i]}\n\n{passage}" for i in (6, 7)]
+        assert all(got[i] == "the same page with the same words as a copy of it" for i in range(10, 16))

@@ -2,10 +2,10 @@
 
 Markup says for most blocks where they stand: in the page's article, or in its
 furniture (menus, footers, adverts, forms, comments). What it leaves open is
-decided by repetition: the token streams of a host's pages, articles left out,
-are concatenated and sorted as a suffix array; word runs that distinct pages
-share are boilerplate, and open blocks that such runs cover are removed, so
-that unique runs stay.
+decided by repetition: the token streams of a host's distinct pages, articles
+left out, are concatenated and sorted as a suffix array; word runs that a share
+of these pages have are boilerplate. Their words are removed from open blocks,
+the unique runs of a block stay. Copies (pages with equal streams) are one page.
 """
 
 from __future__ import annotations
@@ -20,24 +20,16 @@ from pyspark.sql import functions as F
 
 from weekly_mart.llm.common import materialise
 from weekly_mart.llm.html_blocks import ARTICLE, OPEN, blocks
-from weekly_mart.llm.textscan import mix
+from weekly_mart.llm.textscan import chunks, mix
 
 #: Words of the shortest repeated run that counts; a shorter block counts as a whole.
 RUN_WORDS = 8
-#: Share of a block's words that repeated runs have to cover.
-COVERED = 0.5
+#: A run is boilerplate of open blocks where this share of the host's distinct pages has it, and so many at least.
+PAGE_SHARE, LEAST_PAGES = 0.5, 3
 #: Words of one suffix array, on average; larger hosts are dealt over several.
 ARRAY_WORDS = 50_000
 
 
-def _hash_words(words: list[str]) -> np.ndarray:
-    """64-bit hash of each word, the same on every machine."""
-    table: dict[str, int] = {}
-    index = np.array([table.setdefault(w, len(table)) for w in words], np.int64)
-    own = b"".join(blake2b(w.encode(), digest_size=8).digest() for w in table)
-    return np.frombuffer(own, np.uint64)[index]
-
-
 def suffix_groups(stream: np.ndarray, depth: int) -> np.ndarray:
     """Suffix array rank of every position by its first ``depth`` (a power of two) tokens.
 
@@ -54,124 +46,182 @@ def suffix_groups(stream: np.ndarray, depth: int) -> np.ndarray:
     return rank
 
 
+def _digest(items: list) -> int:
+    return int.from_bytes(blake2b(repr(items).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every page: key, host, digest of its blocks, and its words in streams."""
+    for batch in batches:
+        keys, hosts, pages = batch.columns
+        found = [blocks(page or "") for page in pages.to_pylist()]
+        words = [sum(text.count(" ") + 1 for where, text in page if where != ARTICLE) for page in found]
+        yield pa.RecordBatch.from_arrays(
+            [keys, hosts, pa.array(map(_digest, found), pa.int64()), pa.array(words, pa.int64())],
+            names=["key", "host", "content", "words"],
+        )
+
+
 def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every block outside articles: page key, number, whether it is open, its words."""
+    """Every block of the streams: host, part, page class, number of the block and its text."""
     for batch in batches:
-        keys, hosts, pages = (c.to_pylist() for c in batch.columns)
         rows = [
-            (key, host, number, where == OPEN, text.split(" "))
-            for key, host, page in zip(keys, hosts, pages, strict=True)
+            (host, part, content, number, text)
+            for host, part, content, page in zip(*(c.to_pylist() for c in batch.columns), strict=True)
             for number, (where, text) in enumerate(blocks(page or ""))
             if where != ARTICLE
         ]
         columns = list(zip(*rows, strict=True)) or [[], [], [], [], []]
-        kinds = [pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.list_(pa.string())]
+        kinds = [pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.string()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-            names=["key", "host", "block", "open", "words"],
+            names=["host", "part", "content", "block", "text"],
         )
 
 
-def _runs(depth: int):
+def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word of the texts, the same on every machine, and the words of each text."""
+    hashes, lengths = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for c in chunks(texts):
+        starts, ends = c.words()
+        hashes.append(c.hashes(starts, ends))
+        lengths.append(np.diff(np.searchsorted(starts, c.bounds)))
+    return np.concatenate(hashes), np.concatenate(lengths).astype(np.int64)
+
+
+def _run_digests(own: np.ndarray, lengths: np.ndarray, depth: int) -> tuple[np.ndarray, ...]:
+    """Runs of ``depth`` words, or a whole shorter text: text, first word in it, words, and digest."""
+    text = np.repeat(np.arange(len(lengths)), lengths)
+    inside = np.arange(len(own)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    first = np.flatnonzero((lengths[text] - inside >= depth) | (inside == 0))
+    size = np.minimum(lengths[text[first]], depth)
+    digest = np.where(size < depth, np.uint64(1), np.uint64(0))
+    for k in range(depth):
+        nxt = mix(digest * np.uint64(0x2545F4914F6CDD1D) + own[np.minimum(first + k, len(own) - 1)])
+        digest = np.where(size > k, nxt, digest)
+    return text[first], inside[first], size, digest
+
+
+def _candidates(depth: int, share: float):
     def run(cell: pa.Table) -> pa.Table:
-        """Distinct runs of the cell with the first and last page that has them, and where open blocks have them."""
+        """Runs that at least the share of the cell's pages have, by the cell's suffix array."""
         host = cell["host"][0].as_py()
-        words = [w for c in cell["words"].to_pylist() for w in c]
-        lengths = np.array([len(c) for c in cell["words"].to_pylist()], np.int64)
-        page = cell["key"].to_numpy()
+        own, lengths = _words(cell["text"].combine_chunks())
         # each block ends in tokens of its own, so no run crosses it
         starts = np.cumsum(lengths + depth) - lengths - depth
         stream = np.arange(int((lengths + depth).sum()), dtype=np.uint64)
-        at = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(len(words))
-        own = _hash_words(words)
+        at = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(len(own))
         stream[at] = own | np.uint64(1 << 63)
-        rank = suffix_groups(stream, depth)
-        inside = at - np.repeat(starts, lengths)
-        left = np.repeat(lengths, lengths) - inside
-        size = np.minimum(np.repeat(lengths, lengths), depth)
-        first_word = np.flatnonzero((left >= depth) | (inside == 0))
-        # digest of the run, the same in every cell of the host
-        digest = np.zeros(len(first_word), np.uint64)
-        for k in range(depth):
-            here = size[first_word] > k
-            nxt = mix(digest * np.uint64(0x2545F4914F6CDD1D) + own[np.minimum(first_word + k, len(own) - 1)])
-            digest = np.where(here, nxt, digest)
-        whole = size[first_word] < depth
-        group = np.where(whole, -1, rank[at[first_word]])
-        blk = np.repeat(np.arange(len(lengths)), lengths)[first_word]
-        order = np.lexsort((page[blk], digest, group))
-        if not len(order):
-            return pa.table({n: pa.array([], k) for n, k in _RUN_FIELDS})
-        g, d = group[order], digest[order]
+        text, inside, size, digest = _run_digests(own, lengths, depth)
+        group = np.where(size < depth, -1, suffix_groups(stream, depth)[starts[text] + inside])
+        content = cell["content"].to_numpy()
+        page = content[text]
+        order = np.lexsort((page, digest, group))
+        g, d, p = group[order], digest[order], page[order]
         new = np.concatenate(([True], (g[1:] != g[:-1]) | (d[1:] != d[:-1])))
         heads = np.flatnonzero(new)
-        tails = np.append(heads[1:], len(order)) - 1
-        repeated = pa.table({
-            "host": pa.array([host] * len(heads), pa.string()), "digest": d[heads].view(np.int64),
-            "lo": page[blk[order[heads]]], "hi": page[blk[order[tails]]],
-            "block": pa.nulls(len(heads), pa.int32()), "start": pa.nulls(len(heads), pa.int64()),
-            "size": pa.nulls(len(heads), pa.int64()), "words": pa.nulls(len(heads), pa.int64()),
-        })
-        is_open = cell["open"].to_numpy(zero_copy_only=False)[blk]
-        o = first_word[is_open]
-        places = pa.table({
-            "host": pa.array([host] * len(o), pa.string()), "digest": digest[is_open].view(np.int64),
-            "lo": page[blk[is_open]], "hi": pa.nulls(len(o), pa.int64()),
-            "block": cell["block"].to_numpy()[blk[is_open]].astype(np.int32), "start": inside[o],
-            "size": size[o], "words": lengths[blk[is_open]],
-        })
-        return pa.concat_tables([repeated.cast(_RUN_SCHEMA), places.cast(_RUN_SCHEMA)])
+        other = new | np.concatenate(([True], p[1:] != p[:-1]))
+        n = np.add.reduceat(other.astype(np.int64), heads)
+        often = heads[n >= share * len(np.unique(content))]
+        return pa.table({"host": pa.array([host] * len(often), pa.string()), "digest": d[often].view(np.int64)})
 
     return run
 
 
-_RUN_FIELDS = [
-    ("host", pa.string()), ("digest", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()),
-    ("block", pa.int32()), ("start", pa.int64()), ("size", pa.int64()), ("words", pa.int64()),
-]
-_RUN_SCHEMA = pa.schema(_RUN_FIELDS)
+def _places(depth: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Where the streams of a page have candidate runs of its host."""
+        for batch in batches:
+            hosts, contents, pages, known = batch.columns
+            for k, page in enumerate(pages.to_pylist()):
+                found = [(b, w, t) for b, (w, t) in enumerate(blocks(page or "")) if w != ARTICLE]
+                if not found:
+                    continue
+                own, lengths = _words(pa.array([t for _, _, t in found], pa.string()))
+                text, inside, size, digest = _run_digests(own, lengths, depth)
+                hit = np.isin(digest.view(np.int64), known[k].values.to_numpy())
+                text, n = text[hit], int(hit.sum())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([hosts[k].as_py()] * n, pa.string()), pa.array([contents[k].as_py()] * n, pa.int64()),
+                        pa.array(digest[hit].view(np.int64)), pa.array(np.array([w for _, w, _ in found], np.int32)[text]),
+                        pa.array(np.array([b for b, _, _ in found], np.int32)[text]), pa.array(lengths[text]),
+                        pa.array(inside[hit]), pa.array(size[hit]),
+                    ],
+                    names=["host", "content", "digest", "place", "block", "words", "start", "size"],
+                )
 
+    return run
 
-def boilerplate_blocks(
-    pages: DataFrame, *, run_words: int = RUN_WORDS, covered: float = COVERED, array_words: int = ARRAY_WORDS
+
+def boilerplate_runs(
+    pages: DataFrame, *, run_words: int = RUN_WORDS, array_words: int = ARRAY_WORDS,
+    share: float = PAGE_SHARE, least: int = LEAST_PAGES,
 ) -> DataFrame:
-    """(key, blocks): numbers of the open blocks of each page that repeated runs cover.
+    """(key, runs): places in the open blocks of each page of the runs that its host repeats.
 
-    ``pages`` has key, host and html. A host of any size is dealt over as many
-    suffix arrays as it needs; each hands on one row per distinct run with its
-    first and last page, and a run is repeated when these differ over all arrays
-    of the host.
+    ``pages`` has key, host and html. A run is repeated when ``share`` of the
+    host's distinct pages have it, and ``least`` of them; pages with equal blocks
+    are one. A host of any size is dealt over as many suffix arrays as it needs.
+    What has the share in the host has it in at least one of these, so each hands
+    on the runs that have it there; these candidates are then counted in all
+    pages of the host.
     """
-    streams = materialise(
-        pages.mapInArrow(_streams, "key long, host string, block int, open boolean, words array<string>"),
-        "page-streams",
+    classes = materialise(
+        pages.select("key", "host", "html").mapInArrow(_classes, "key long, host string, content long, words long"),
+        "page-classes",
     )
-    parts = materialise(
-        streams.groupBy("host").agg(F.ceil(F.sum(F.size("words")) / array_words).cast("int").alias("parts")),
-        "host-parts",
-    ).withColumnRenamed("host", "_host")
-    cells = streams.join(parts, F.col("host") == F.col("_host")).withColumn(
-        "part", F.pmod(F.xxhash64("key"), F.greatest("parts", F.lit(1)))
+    distinct = classes.groupBy("host", "content").agg(F.min("key").alias("key"), F.max("words").alias("words"))
+    hosts = materialise(
+        distinct.groupBy("host").agg(F.count(F.lit(1)).alias("pages"), F.sum("words").alias("all_words"))
+        .where((F.col("pages") >= least) & (F.col("all_words") > 0)),
+        "page-hosts",
     )
-    runs = materialise(
-        cells.select("host", "part", "key", "block", "open", "words")
+    parts = F.ceil(F.col("all_words") / array_words)
+    chosen = materialise(
+        distinct.join(hosts, "host").select(
+            "key", "host", "content", F.pmod(F.xxhash64("content"), parts).cast("int").alias("part")
+        ),
+        "page-parts",
+    )
+    whole = pages.select("key", "html").join(chosen, "key")
+    candidates = materialise(
+        whole.select("host", "part", "content", "html")
+        .mapInArrow(_streams, "host string, part int, content long, block int, text string")
         .groupBy("host", "part")
-        .applyInArrow(
-            _runs(run_words),
-            "host string, digest long, lo long, hi long, block int, start long, size long, words long",
+        .applyInArrow(_candidates(run_words, share), "host string, digest long")
+        .groupBy("host").agg(F.collect_set("digest").alias("known")),
+        "page-candidates",
+    )
+    places = materialise(
+        whole.join(candidates, "host").select("host", "content", "html", "known").mapInArrow(
+            _places(run_words),
+            "host string, content long, digest long, place int, block int, words long, start long, size long",
         ),
         "page-runs",
     )
     repeated = (
-        runs.where("hi IS NOT NULL").groupBy("host", "digest")
-        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi").select("host", "digest")
+        places.groupBy("host", "digest").agg(F.countDistinct("content").alias("n"))
+        .join(hosts, "host").where((F.col("n") >= least) & (F.col("n") >= F.col("pages") * share))
+        .select("host", "digest")
     )
-    words = (
-        runs.where("hi IS NULL").join(repeated, ["host", "digest"])
-        .select(F.col("lo").alias("key"), "block", "words",
-                F.explode(F.sequence(F.col("start"), F.col("start") + F.col("size") - 1)).alias("word"))
-        .distinct()
+    runs = materialise(
+        places.where(F.col("place") == OPEN).join(repeated, ["host", "digest"])
+        .groupBy("host", "content").agg(F.collect_set(F.struct("block", "words", "start", "size")).alias("runs")),
+        "page-repeats",
     )
+    return classes.select("key", "host", "content").distinct().join(runs, ["host", "content"]).select("key", "runs")
+
+
+def boilerplate_blocks(
+    pages: DataFrame, *, run_words: int = RUN_WORDS, covered: float = 0.5, array_words: int = ARRAY_WORDS
+) -> DataFrame:
+    """(key, blocks): numbers of the open blocks of each page of which runs of two distinct pages cover a share."""
+    runs = boilerplate_runs(pages, run_words=run_words, array_words=array_words, share=0.0, least=2)
+    words = runs.select("key", F.explode("runs").alias("run")).select(
+        "key", "run.block", "run.words",
+        F.explode(F.sequence(F.col("run.start"), F.col("run.start") + F.col("run.size") - 1)).alias("word"),
+    ).distinct()
     return (
         words.groupBy("key", "block", "words").agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") >= F.col("words") * covered)
@@ -179,32 +229,27 @@ def boilerplate_blocks(
     )
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, urls, keys, pages = batch.columns
-        texts, undecided = [], []
-        for page in pages.to_pylist():
-            found = blocks(page or "")
-            kept = [text for where, text in found if where == ARTICLE]
-            # without an article, the open blocks stand for it
-            is_open = not kept and any(where == OPEN for where, _ in found)
-            texts.append("\n\n".join(kept))
-            undecided.append(is_open)
-        yield pa.RecordBatch.from_arrays(
-            [ids, urls, keys, pa.array(texts, pa.string()), pa.array(undecided, pa.bool_())],
-            names=["_id", "_url", "key", "text", "undecided"],
-        )
+def _left(text: str, runs: list[dict]) -> str:
+    """The words of a block that no run covers."""
+    words = text.split(" ")
+    for run in runs:
+        words[run["start"] : run["start"] + run["size"]] = [""] * run["size"]
+    return " ".join(w for w in words if w)
 
 
-def _open_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, urls, dropped, pages = batch.columns
+        ids, urls, pages, repeats = batch.columns
         texts = []
-        for gone, page in zip(dropped.to_pylist(), pages.to_pylist(), strict=True):
-            out = set(gone or ())
-            texts.append("\n\n".join(
-                text for k, (where, text) in enumerate(blocks(page or "")) if where == OPEN and k not in out
-            ))
+        for page, runs in zip(pages.to_pylist(), repeats.to_pylist(), strict=True):
+            found = blocks(page or "")
+            # without an article, the open blocks stand for it
+            take = ARTICLE if any(where == ARTICLE for where, _ in found) else OPEN
+            gone: dict[int, list] = {}
+            for run in (runs or []) if take == OPEN else []:
+                gone.setdefault(run["block"], []).append(run)
+            kept = [_left(t, gone[k]) if k in gone else t for k, (where, t) in enumerate(found) if where == take]
+            texts.append("\n\n".join(t for t in kept if t))
         yield pa.RecordBatch.from_arrays([ids, urls, pa.array(texts, pa.string())], names=["_id", "_url", "text"])
 
 
@@ -215,14 +260,12 @@ def extract_text(
     """Per row: id, url, ``text`` and ``n_chars`` (code points).
 
     Pages with an article (an article or main element outside furniture) give
-    its blocks without furniture. Other pages give their open blocks that are
-    not covered by runs their host repeats. Blocks are joined by two newlines.
-    Null and empty pages give an empty text; a null url is a host of its own.
-    Equal rows give equal texts and count as one page. An empty table gives an
-    empty result. Only the three named columns are read.
-
-    Pages that have their article marked never shuffle; only undecided pages
-    are joined to the outcome of the suffix arrays.
+    its blocks without furniture. Other pages give their open blocks without the
+    runs that half of their host's distinct pages have, and three at least.
+    Blocks are joined by two newlines. Null and empty pages give an empty text;
+    a null url is a host of its own. Pages with equal blocks give equal texts
+    and count as one page. An empty table gives an empty result. Only the three
+    named columns are read.
     """
     narrow = pages.select(
         F.col(id_col).alias("_id"),
@@ -231,20 +274,16 @@ def extract_text(
         F.col(html_col).cast("string").alias("html"),
     )
     host = F.lower(F.regexp_extract(F.coalesce("_url", F.lit("")), r"^[A-Za-z][^:/]*://([^/?#]*)", 1))
-    dropped = materialise(
-        boilerplate_blocks(
+    repeats = materialise(
+        boilerplate_runs(
             narrow.select("key", host.alias("host"), "html"), run_words=run_words, array_words=array_words
         ),
         "boilerplate",
     )
     kind = narrow.schema["_id"].dataType.simpleString()
-    marked = narrow.mapInArrow(_texts, f"_id {kind}, _url string, key long, text string, undecided boolean")
-    open_keys = materialise(marked.where("undecided").select("key").distinct(), "open-pages")
-    left = narrow.join(open_keys, "key", "left_semi").join(dropped, "key", "left")
-    rest = left.select("_id", "_url", "blocks", "html").mapInArrow(
-        _open_texts, f"_id {kind}, _url string, text string"
+    texts = narrow.join(repeats, "key", "left").select("_id", "_url", "html", "runs").mapInArrow(
+        _texts, f"_id {kind}, _url string, text string"
     )
-    texts = marked.where("NOT undecided").select("_id", "_url", "text").unionByName(rest)
     return texts.select(
         F.col("_id").alias(id_col), F.col("_url").alias(url_col), "text",
         F.length("text").cast("long").alias("n_chars"),
