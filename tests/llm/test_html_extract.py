@@ -105,3 +105,24 @@ def test_copies_and_shared_passages_stay_on_open_pages(spark):
         assert [got[i] for i in range(6)] == own[:6]
         assert [got[i] for i in (6, 7)] == [f"{own[i]}\n\n{passage}" for i in (6, 7)]
         assert all(got[i] == "the same page with the same words as a copy of it" for i in range(10, 16))
+
+
+def test_arrays_decide_beside_and_inside_articles(spark):
+    menu = "<div>home products about us contact our team and find us here</div>"
+    notice = "this unclassed notice stands inside every article of the host"
+    own = [f"own{i} text{i} of{i} page{i} number{i} with{i} its{i} words{i}" for i in range(12)]
+    passage = "a passage that most but not all articles of this host hold in full"
+    rows = [
+        (i, "https://a.example/x", f"{menu}<div>lead {i}</div><article><p>{own[i]}</p><p>{notice}</p>"
+         + (f"<p>{passage}</p>" if i < 10 else "") + "</article>")
+        for i in range(11)
+    ]
+    rows += [(20 + i, "https://a.example/x", rows[0][2]) for i in range(30)]
+    rows += [(60 + i, "https://b.example/x", f"<article><p>{own[i]}</p><p>{passage}</p></article>") for i in range(9)]
+    rows += [(70 + i, "https://c.example/x", f"<article><p>{own[i]}</p>" + (f"<p>{passage}</p>" if i < 8 else "") + "</article>")
+             for i in range(12)]
+    for words in (50_000, 60):
+        got = {r["page_id"]: r["text"] for r in extract_text(pages(spark, rows), array_words=words).collect()}
+        assert got[10] == f"lead 10\n\n{own[10]}"
+        assert all(got[20 + i] == got[0] for i in range(30)) and got[0].startswith(f"lead 0\n\n{own[0]}") and notice not in got[0]
+        assert got[60] == f"{own[0]}\n\n{passage}" and got[70] == f"{own[0]}\n\n{passage}"

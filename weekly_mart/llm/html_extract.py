@@ -1,11 +1,12 @@
 """Operator 10: main text of web pages by a host suffix array.
 
-Markup says for most blocks where they stand: in the page's article, or in its
-furniture (menus, footers, adverts, forms, comments). What it leaves open is
-decided by repetition: the token streams of a host's distinct pages, articles
-left out, are concatenated and sorted as a suffix array; word runs that a share
-of these pages have are boilerplate. Their words are removed from open blocks,
-the unique runs of a block stay. Copies (pages with equal streams) are one page.
+Markup says for most blocks where they stand: in the page's article, in its
+furniture (menus, footers, adverts, forms, comments), or neither (open). What
+is not furniture is decided by repetition, on every page: the token streams of
+a host's distinct pages are concatenated and sorted as a suffix array; word runs
+that a share of these pages have are boilerplate. Their words are removed, the
+unique runs of a block stay. Copies (pages with equal streams) are one page.
+Documents share passages, so in articles nearly all pages have to have a run.
 """
 
 from __future__ import annotations
@@ -19,13 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekly_mart.llm.common import materialise
-from weekly_mart.llm.html_blocks import ARTICLE, OPEN, blocks
+from weekly_mart.llm.html_blocks import ARTICLE, FURNITURE, OPEN, blocks
 from weekly_mart.llm.textscan import chunks, mix
 
 #: Words of the shortest repeated run that counts; a shorter block counts as a whole.
 RUN_WORDS = 8
 #: A run is boilerplate of open blocks where this share of the host's distinct pages has it, and so many at least.
 PAGE_SHARE, LEAST_PAGES = 0.5, 3
+#: The same in articles.
+ARTICLE_SHARE, ARTICLE_PAGES = 0.9, 10
 #: Words of one suffix array, on average; larger hosts are dealt over several.
 ARRAY_WORDS = 50_000
 
@@ -55,7 +58,7 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys, hosts, pages = batch.columns
         found = [blocks(page or "") for page in pages.to_pylist()]
-        words = [sum(text.count(" ") + 1 for where, text in page if where != ARTICLE) for page in found]
+        words = [sum(text.count(" ") + 1 for _, text in page) for page in found]
         yield pa.RecordBatch.from_arrays(
             [keys, hosts, pa.array(map(_digest, found), pa.int64()), pa.array(words, pa.int64())],
             names=["key", "host", "content", "words"],
@@ -68,8 +71,7 @@ def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [
             (host, part, content, number, text)
             for host, part, content, page in zip(*(c.to_pylist() for c in batch.columns), strict=True)
-            for number, (where, text) in enumerate(blocks(page or ""))
-            if where != ARTICLE
+            for number, (_, text) in enumerate(blocks(page or ""))
         ]
         columns = list(zip(*rows, strict=True)) or [[], [], [], [], []]
         kinds = [pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.string()]
@@ -134,18 +136,18 @@ def _places(depth: int):
         for batch in batches:
             hosts, contents, pages, known = batch.columns
             for k, page in enumerate(pages.to_pylist()):
-                found = [(b, w, t) for b, (w, t) in enumerate(blocks(page or "")) if w != ARTICLE]
+                found = blocks(page or "")
                 if not found:
                     continue
-                own, lengths = _words(pa.array([t for _, _, t in found], pa.string()))
+                own, lengths = _words(pa.array([t for _, t in found], pa.string()))
                 text, inside, size, digest = _run_digests(own, lengths, depth)
                 hit = np.isin(digest.view(np.int64), known[k].values.to_numpy())
                 text, n = text[hit], int(hit.sum())
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([hosts[k].as_py()] * n, pa.string()), pa.array([contents[k].as_py()] * n, pa.int64()),
-                        pa.array(digest[hit].view(np.int64)), pa.array(np.array([w for _, w, _ in found], np.int32)[text]),
-                        pa.array(np.array([b for b, _, _ in found], np.int32)[text]), pa.array(lengths[text]),
+                        pa.array(digest[hit].view(np.int64)), pa.array(np.array([w for w, _ in found], np.int32)[text]),
+                        pa.array(text.astype(np.int32)), pa.array(lengths[text]),
                         pa.array(inside[hit]), pa.array(size[hit]),
                     ],
                     names=["host", "content", "digest", "place", "block", "words", "start", "size"],
@@ -158,11 +160,12 @@ def boilerplate_runs(
     pages: DataFrame, *, run_words: int = RUN_WORDS, array_words: int = ARRAY_WORDS,
     share: float = PAGE_SHARE, least: int = LEAST_PAGES,
 ) -> DataFrame:
-    """(key, runs): places in the open blocks of each page of the runs that its host repeats.
+    """(key, runs): places outside furniture of each page of the runs that its host repeats.
 
-    ``pages`` has key, host and html. A run is repeated when ``share`` of the
-    host's distinct pages have it, and ``least`` of them; pages with equal blocks
-    are one. A host of any size is dealt over as many suffix arrays as it needs.
+    ``pages`` has key, host and html. A run is repeated in open blocks when
+    ``share`` of the host's distinct pages have it, and ``least`` of them; in
+    articles by `ARTICLE_SHARE` and `ARTICLE_PAGES`. Pages with equal blocks are
+    one. A host of any size is dealt over as many suffix arrays as it needs.
     What has the share in the host has it in at least one of these, so each hands
     on the runs that have it there; these candidates are then counted in all
     pages of the host.
@@ -203,10 +206,14 @@ def boilerplate_runs(
     repeated = (
         places.groupBy("host", "digest").agg(F.countDistinct("content").alias("n"))
         .join(hosts, "host").where((F.col("n") >= least) & (F.col("n") >= F.col("pages") * share))
-        .select("host", "digest")
+        .select(
+            "host", "digest",
+            ((F.col("n") >= ARTICLE_PAGES) & (F.col("n") >= F.col("pages") * ARTICLE_SHARE)).alias("everywhere"),
+        )
     )
     runs = materialise(
-        places.where(F.col("place") == OPEN).join(repeated, ["host", "digest"])
+        places.where(F.col("place") != FURNITURE).join(repeated, ["host", "digest"])
+        .where((F.col("place") == OPEN) | F.col("everywhere"))
         .groupBy("host", "content").agg(F.collect_set(F.struct("block", "words", "start", "size")).alias("runs")),
         "page-repeats",
     )
@@ -243,12 +250,10 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = []
         for page, runs in zip(pages.to_pylist(), repeats.to_pylist(), strict=True):
             found = blocks(page or "")
-            # without an article, the open blocks stand for it
-            take = ARTICLE if any(where == ARTICLE for where, _ in found) else OPEN
             gone: dict[int, list] = {}
-            for run in (runs or []) if take == OPEN else []:
+            for run in runs or []:
                 gone.setdefault(run["block"], []).append(run)
-            kept = [_left(t, gone[k]) if k in gone else t for k, (where, t) in enumerate(found) if where == take]
+            kept = [_left(t, gone[k]) if k in gone else t for k, (where, t) in enumerate(found) if where != FURNITURE]
             texts.append("\n\n".join(t for t in kept if t))
         yield pa.RecordBatch.from_arrays([ids, urls, pa.array(texts, pa.string())], names=["_id", "_url", "text"])
 
@@ -259,10 +264,10 @@ def extract_text(
 ) -> DataFrame:
     """Per row: id, url, ``text`` and ``n_chars`` (code points).
 
-    Pages with an article (an article or main element outside furniture) give
-    its blocks without furniture. Other pages give their open blocks without the
-    runs that half of their host's distinct pages have, and three at least.
-    Blocks are joined by two newlines. Null and empty pages give an empty text;
+    A page gives its blocks outside furniture: those of an article (an article or
+    main element) without the runs that nine tenths of its host's distinct pages
+    have, and ten at least; open ones, beside an article or without any, without
+    the runs that half of these pages have, and three at least. Blocks are joined by two newlines. Null and empty pages give an empty text;
     a null url is a host of its own. Pages with equal blocks give equal texts
     and count as one page. An empty table gives an empty result. Only the three
     named columns are read.
