@@ -126,3 +126,21 @@ def test_arrays_decide_beside_and_inside_articles(spark):
         assert got[10] == f"lead 10\n\n{own[10]}"
         assert all(got[20 + i] == got[0] for i in range(30)) and got[0].startswith(f"lead 0\n\n{own[0]}") and notice not in got[0]
         assert got[60] == f"{own[0]}\n\n{passage}" and got[70] == f"{own[0]}\n\n{passage}"
+
+
+def test_modifier_classes_and_marked_wrappers_keep_the_article():
+    kept = lambda page: [t for where, t in blocks(page) if where == ARTICLE]
+    assert kept("<div class='layout has-sidebar'><article><p>body</p></article></div>") == ["body"]
+    for name in ("post category-social", "post ad-free", "post social", "tag-sponsored"):
+        assert kept(f"<article class='{name}'><p>body</p></article>") == ["body"]
+        assert kept(f"<main id='x' class='{name}'><p>body</p></main>") == ["body"]
+    # a wrapper with a whole furniture name opens for the article where the page has no other
+    assert kept("<div class='widget'><p>w</p><article><p>body</p></article><p>x</p></div>") == ["body"]
+    page = "<article><p>body</p></article><div class='related'><article><p>teaser</p></article></div>"
+    assert kept(page) == ["body"]
+    assert kept("<div>text</div><section id='comments'><article class='comment'>no</article></section>") == []
+    assert kept("<aside><article><p>side</p></article></aside>") == []
+    for name in ("ad", "top-ad", "ad-slot-3", "cookie-notice", "site-footer", "main-nav", "comment-list", "x share-buttons y"):
+        assert blocks(f"<div class='{name}'>x</div>") == [(FURNITURE, "x")]
+    for name in ("has-sidebar", "no-comments", "ad-free", "category-social", "post-with-footer", "menuhin", "content"):
+        assert blocks(f"<div class='{name}'>x</div>") == [(OPEN, "x")]

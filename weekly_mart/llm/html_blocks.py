@@ -17,11 +17,19 @@ _SPACED = {"br", "td", "th"}
 _VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
 _RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "object", "math"}
 _FURNITURE = {"nav", "aside", "footer", "form", "head", "menu", "dialog", "button", "select"}
-_FURNITURE_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side-bar|comments?|replies|"
+_NAME = (
+    r"(?:ads?|advert[a-z]*|banners?|sponsor[a-z]*|promo[a-z]*|sidebar|side-bar|comments?|replies|"
     r"cookies?|notice|consent|gdpr|popup|modal|menu|nav|navbar|navigation|breadcrumbs?|footer|"
-    r"masthead|share|social|related|newsletter|subscribe|widget|toolbar|pagination)(?:$|[\s_-])",
-    re.I,
+    r"masthead|share|social|related|newsletter|subscribe|widgets?|toolbar|pagination)"
+)
+#: Parts that say which one of its kind an element is, or that it holds them.
+_PLACE = (
+    r"(?:site|page|main|primary|secondary|global|top|bottom|left|right|header|container|wrapper|wrap|box|block|"
+    r"bar|list|section|area|slot|unit|items?|links?|buttons?|icons?|form|thread|signup|\d+)"
+)
+#: A whole class or id that names furniture; a modifier as in has-sidebar or category-social does not.
+_FURNITURE_NAME = re.compile(
+    rf"(?:^|\s)(?:{_PLACE}[_-]+)*{_NAME}(?:[_-]+(?:{_NAME}|{_PLACE}))*(?:$|\s)", re.I
 )
 _FURNITURE_ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form"}
 _ATTRIBUTE = re.compile(r"""([^\s=/"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
@@ -32,30 +40,49 @@ _MARKUP = re.compile(
 )
 
 
-def _is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
+#: What marks an element as furniture.
+_BY_CLASS, _BY_TAG = 1, 2
+
+
+def _is_furniture(tag: str, attributes: str, in_article: bool) -> int:
+    """0, or what marks the element. A class never marks an article or main, but one inside another."""
     if tag in _FURNITURE or (tag == "header" and not in_article):
-        return True
+        return _BY_TAG
     if not attributes or tag in ("html", "body", "article", "main") and "class" not in attributes and "id" not in attributes:
-        return False
+        return 0
+    named = tag not in ("html", "body") and (in_article or tag not in ("article", "main"))
+    mark = 0
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
-        if name in ("class", "id") and tag not in ("html", "body") and _FURNITURE_NAME.search(value):
-            return True
+        if name in ("class", "id") and named and _FURNITURE_NAME.search(value):
+            mark = _BY_CLASS
         if name == "role" and value.lower() in _FURNITURE_ROLE or name == "hidden":
-            return True
-    return False
+            return _BY_TAG
+    return mark
 
 
 def blocks(page: str) -> list[tuple[int, str]]:
     """(where, text) of every block with text, in page order.
 
     Unclosed elements end with their parent; an article inside an unclosed menu
-    or page header ends that. Character references are decoded and white space
-    becomes one space.
+    or page header ends that. Where all articles of a page stand in elements that
+    only their class marks as furniture, they are read all the same, unless their
+    own class names furniture (a comment). Character references are decoded and
+    white space becomes one space.
     """
+    out, shut = _blocks(page, False)
+    if shut and all(where != ARTICLE for where, _ in out):
+        out, _ = _blocks(page, True)
+    return out
+
+
+def _blocks(page: str, reopen: bool) -> tuple[list[tuple[int, str]], bool]:
+    """The blocks, and whether an article stands in an element that its class alone marks;
+    ``reopen`` takes such an article out of it."""
+    shut = False
     out: list[tuple[int, str]] = []
     parts: list[str] = []
-    stack: list[tuple[str, int]] = []  # open block elements and where text in them stands
+    stack: list[tuple[str, int, int]] = []  # open block elements, where text in them stands, and their mark
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
@@ -91,16 +118,19 @@ def blocks(page: str) -> list[tuple[int, str]]:
                     del stack[k:]
                     break
             continue
-        furniture = where != FURNITURE and _is_furniture(tag, m[3], where == ARTICLE)
+        furniture = _is_furniture(tag, m[3], where == ARTICLE) if where != FURNITURE else 0
         if tag in _BLOCK or furniture:
             flush()
             if tag in ("article", "main") and where == FURNITURE:
-                for k, (name, _) in enumerate(stack):
+                for k, (name, _, _) in enumerate(stack):
                     if name in ("nav", "header", "head"):
                         del stack[k:]
                         break
                 where = stack[-1][1] if stack else OPEN
-                furniture = where != FURNITURE and _is_furniture(tag, m[3], where == ARTICLE)
+                if where == FURNITURE and all(mark != _BY_TAG for _, _, mark in stack) and not _is_furniture(tag, m[3], True):
+                    shut = True
+                    where = OPEN if reopen else FURNITURE
+                furniture = _is_furniture(tag, m[3], where == ARTICLE) if where != FURNITURE else 0
             if furniture:
                 where = FURNITURE
             elif tag in ("article", "main") and where == OPEN:
@@ -113,6 +143,6 @@ def blocks(page: str) -> list[tuple[int, str]]:
                             break
                         if stack[k][0] in _BLOCK:
                             break
-                stack.append((tag, where))
+                stack.append((tag, where, furniture))
     flush()
-    return out
+    return out, shut
