@@ -2,7 +2,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from weekly_mart.llm.license_rules import rules
+from weekly_mart.llm.license_rules import GATES, rules
 from weekly_mart.llm.license_scan import BASE, scan_licenses
 
 UP, LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -70,3 +70,53 @@ def test_odd_rows(make_docs, clashing, odd_rows):
     many = make_docs([(1, "the mit license " * 3000)])
     r = scan_licenses(many).select(F.size("places"), F.size("found")).first()
     assert r[0] == 3000 and r[1] == 3000
+
+
+def sentences(pattern):
+    """Texts a pattern matches, in which every alternative of it is taken once."""
+    from re import _parser
+
+    def series(items):
+        parts = [one(*i) for i in items]
+        out = ["".join(p[0] for p in parts)]
+        for k, p in enumerate(parts):
+            out += ["".join(q[0] for q in parts[:k]) + v + "".join(q[0] for q in parts[k + 1 :]) for v in p[1:]]
+        return out
+
+    def one(op, arg):
+        name = str(op)
+        if name == "LITERAL":
+            return [chr(arg)]
+        if name == "IN":
+            return [chr(c) for _, c in arg]
+        if name == "BRANCH":
+            return [v for b in arg[1] for v in series(b)]
+        if name == "SUBPATTERN":
+            return series(arg[3])
+        assert name == "MAX_REPEAT" and arg[:2] == (0, 1)
+        return ["", *series(arg[2])]
+
+    return series(_parser.parse(pattern))
+
+
+def test_every_alternative_of_a_rule_holds_a_keyword_and_a_gate():
+    for r in rules():
+        for text in sentences(r.pattern):
+            assert re.fullmatch(r.pattern, text)
+            norm = f" {text.replace(' ', '  ')} "
+            assert any(k in norm for k in r.keywords), (r, text)
+            assert any(g.split(" ")[0] in text for g in GATES), (r, text)
+
+
+def test_labels_do_not_depend_on_other_words(make_docs):
+    texts = {
+        "This work is licensed under a Creative Commons Attribution 4.0 International License": "cc-by-4.0",
+        "under a Creative Commons Attribution-NonCommercial-ShareAlike 3.0 Unported License": "cc-by-nc-sa-3.0",
+        "licensed under the Expat license": "mit", "CDDL license": "cddl-1.0", "EUPL licensed": "eupl-1.2",
+        "licensed under the PSF license": "python-2.0", "licensed under the WTFPL": "wtfpl",
+        "released under the ODbL": "odbl-1.0", "released under Creative Commons Zero": "cc0-1.0", "provided as is": "no-warranty",
+    }
+    got = scan_licenses(make_docs(list(enumerate(texts)))).collect()
+    for r in got:
+        text, label = list(texts.items())[r["doc_id"]]
+        assert label in {d["label"] for d in r["found"]}, text

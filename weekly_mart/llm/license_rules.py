@@ -1,8 +1,9 @@
 """Signature rules for license texts, over words joined by one space.
 
-A rule has a priority (1 goes first), the label it gives, a keyword that has to
-occur in the text before the pattern is tried, and the pattern. Patterns are
-written with single spaces between words, punctuation left out.
+A rule has a priority (1 goes first), the label it gives, keywords of which one
+has to occur in the text before the pattern is tried, and the pattern. Every
+text that the pattern matches holds one of the keywords. Patterns are written
+with single spaces between words, punctuation left out.
 """
 
 from __future__ import annotations
@@ -13,13 +14,14 @@ from typing import NamedTuple
 class Rule(NamedTuple):
     priority: int
     label: str
-    keyword: str
+    keywords: tuple[str, ...]
     pattern: str
 
 
-#: label, pattern of the license's name, words of its SPDX identifier, a word of the name to look for first
+#: label, pattern of the license's name, words of its SPDX identifier, words to look for first, "|" between them:
+#: every alternative of the name holds one
 LICENSES = [
-    ("mit", r"(?:mit|expat)(?: x11)?(?: style)? licen[cs]e|mit", "mit", "mit"),
+    ("mit", r"(?:mit|expat)(?: x11)?(?: style)? licen[cs]e|mit", "mit", "mit|expat"),
     ("mit-0", r"mit no attribution(?: licen[cs]e)?", "mit 0", "attribution"),
     ("apache-2.0", r"apache(?: software)?(?: licen[cs]e)?(?: v| version)? ?2(?: 0)?", "apache 2 0", "apache"),
     ("apache-1.1", r"apache(?: software)? licen[cs]e(?: v| version)? ?1 1", "apache 1 1", "apache"),
@@ -42,9 +44,9 @@ LICENSES = [
     ("mpl-1.1", r"(?:mozilla public licen[cs]e|mpl)(?: v| version)? ?1 1", "mpl 1 1", "1"),
     ("epl-2.0", r"(?:eclipse public licen[cs]e|epl)(?: v| version)? ?2(?: 0)?", "epl 2 0", "2"),
     ("epl-1.0", r"(?:eclipse public licen[cs]e|epl)(?: v| version)? ?1(?: 0)?", "epl 1 0", "1"),
-    ("cddl-1.0", r"(?:common development and distribution licen[cs]e|cddl)(?:(?: v| version)? ?1 0)?", "cddl 1 0", "distribution"),
+    ("cddl-1.0", r"(?:common development and distribution licen[cs]e|cddl)(?:(?: v| version)? ?1 0)?", "cddl 1 0", "distribution|cddl"),
     ("cpl-1.0", r"common public licen[cs]e(?:(?: v| version)? ?1 0)?", "cpl 1 0", "common"),
-    ("eupl-1.2", r"(?:european union public licen[cs]e|eupl)(?:(?: v| version)? ?1 2)?", "eupl 1 2", "union"),
+    ("eupl-1.2", r"(?:european union public licen[cs]e|eupl)(?:(?: v| version)? ?1 2)?", "eupl 1 2", "union|eupl"),
     ("osl-3.0", r"open software licen[cs]e(?:(?: v| version)? ?3 0)?", "osl 3 0", "open"),
     ("afl-3.0", r"academic free licen[cs]e(?:(?: v| version)? ?3 0)?", "afl 3 0", "academic"),
     ("artistic-2.0", r"artistic licen[cs]e(?:(?: v| version)? ?2 0)?", "artistic 2 0", "artistic"),
@@ -52,19 +54,19 @@ LICENSES = [
     ("bsl-1.0", r"boost software licen[cs]e(?:(?: v| version)? ?1 0)?", "bsl 1 0", "boost"),
     ("ms-pl", r"microsoft public licen[cs]e", "ms pl", "microsoft"),
     ("ms-rl", r"microsoft reciprocal licen[cs]e", "ms rl", "microsoft"),
-    ("python-2.0", r"(?:python software foundation|psf) licen[cs]e(?:(?: v| version)? ?2)?", "python 2 0", "python"),
+    ("python-2.0", r"(?:python software foundation|psf) licen[cs]e(?:(?: v| version)? ?2)?", "python 2 0", "python|psf"),
     ("php-3.01", r"php licen[cs]e(?:(?: v| version)? ?3 01)?", "php 3 01", "php"),
     ("ruby", r"ruby licen[cs]e", "ruby", "ruby"),
     ("postgresql", r"postgresql licen[cs]e", "postgresql", "postgresql"),
     ("unlicense", r"unlicense", "unlicense", "unlicense"),
-    ("wtfpl", r"(?:do what the fuck you want to public licen[cs]e|wtfpl)", "wtfpl", "want"),
+    ("wtfpl", r"(?:do what the fuck you want to public licen[cs]e|wtfpl)", "wtfpl", "want|wtfpl"),
     ("ofl-1.1", r"sil open font licen[cs]e(?:(?: v| version)? ?1 1)?", "ofl 1 1", "font"),
-    ("odbl-1.0", r"(?:open database licen[cs]e|odbl)(?:(?: v| version)? ?1 0)?", "odbl 1 0", "database"),
-    ("cc0-1.0", r"(?:cc0|creative commons zero|cc zero)(?:(?: v| version)? ?1 0)?(?: universal)?", "cc0 1 0", "cc0"),
+    ("odbl-1.0", r"(?:open database licen[cs]e|odbl)(?:(?: v| version)? ?1 0)?", "odbl 1 0", "database|odbl"),
+    ("cc0-1.0", r"(?:cc0|creative commons zero|cc zero)(?:(?: v| version)? ?1 0)?(?: universal)?", "cc0 1 0", "cc0|zero"),
 ] + [
     (f"cc-by{clause}-{version}",
      f"(?:cc by|creative commons attribution){words} (?:v|version )?{version[0]} {version[2]}(?: international| unported| generic)?",
-     f"cc by{clause.replace('-', ' ')} {version[0]} {version[2]}", "cc" if not words else "by")
+     f"cc by{clause.replace('-', ' ')} {version[0]} {version[2]}", " cc |commons")
     for version in ("4.0", "3.0", "2.5", "2.0")
     for clause, words in (
         ("", ""),
@@ -83,39 +85,40 @@ _GRANT = (
 
 #: Statements that name no particular license.
 STATEMENTS = [
-    Rule(1, "mit", "permission", r"permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    Rule(1, "isc", "permission", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
-    Rule(1, "bsd", "redistribution", r"redistribution and use in source and binary forms with or without modification are permitted"),
-    Rule(1, "unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
-    Rule(1, "boost", "permission", r"permission is hereby granted free of charge to any person or organization obtaining a copy"),
-    Rule(1, "zlib", "warranty", r"provided as is without any express or implied warranty in no event will the authors be held liable"),
-    Rule(1, "gpl", "free", r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public licen[cs]e"),
-    Rule(1, "lgpl", "free", r"this library is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public licen[cs]e"),
-    Rule(2, "public-domain", "domain", r"(?:released (?:in|into|to)|dedicated to|placed in|is in) the public domain"),
-    Rule(2, "proprietary", "rights", r"all rights reserved"),
-    Rule(2, "proprietary", "confidential", r"proprietary and confidential"),
-    Rule(2, "no-warranty", "warranty", r"(?:without (?:any )?warranty|with absolutely no warranty|provided as is)"),
-    Rule(3, "mit", "mit", r"mit licen[cs]e"),
-    Rule(3, "apache", "apache", r"apache licen[cs]e"),
-    Rule(3, "gpl", "public", r"general public licen[cs]e"),
-    Rule(3, "bsd", "bsd", r"bsd licen[cs]e"),
-    Rule(3, "lgpl", "lesser", r"lesser general public licen[cs]e"),
-    Rule(3, "agpl", "affero", r"affero general public licen[cs]e"),
-    Rule(3, "cc", "commons", r"creative commons(?: licen[cs]e)?"),
-    Rule(3, "mpl", "mozilla", r"mozilla public licen[cs]e"),
-    Rule(3, "epl", "eclipse", r"eclipse public licen[cs]e"),
+    Rule(1, "mit", ("permission",), r"permission is hereby granted free of charge to any person obtaining a copy of this software"),
+    Rule(1, "isc", ("permission",), r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    Rule(1, "bsd", ("redistribution",), r"redistribution and use in source and binary forms with or without modification are permitted"),
+    Rule(1, "unlicense", ("unencumbered",), r"this is free and unencumbered software released into the public domain"),
+    Rule(1, "boost", ("permission",), r"permission is hereby granted free of charge to any person or organization obtaining a copy"),
+    Rule(1, "zlib", ("warranty",), r"provided as is without any express or implied warranty in no event will the authors be held liable"),
+    Rule(1, "gpl", ("free",), r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public licen[cs]e"),
+    Rule(1, "lgpl", ("free",), r"this library is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public licen[cs]e"),
+    Rule(2, "public-domain", ("domain",), r"(?:released (?:in|into|to)|dedicated to|placed in|is in) the public domain"),
+    Rule(2, "proprietary", ("rights",), r"all rights reserved"),
+    Rule(2, "proprietary", ("confidential",), r"proprietary and confidential"),
+    Rule(2, "no-warranty", ("warranty", "provided"), r"(?:without (?:any )?warranty|with absolutely no warranty|provided as is)"),
+    Rule(3, "mit", ("mit",), r"mit licen[cs]e"),
+    Rule(3, "apache", ("apache",), r"apache licen[cs]e"),
+    Rule(3, "gpl", ("public",), r"general public licen[cs]e"),
+    Rule(3, "bsd", ("bsd",), r"bsd licen[cs]e"),
+    Rule(3, "lgpl", ("lesser",), r"lesser general public licen[cs]e"),
+    Rule(3, "agpl", ("affero",), r"affero general public licen[cs]e"),
+    Rule(3, "cc", ("commons",), r"creative commons(?: licen[cs]e)?"),
+    Rule(3, "mpl", ("mozilla",), r"mozilla public licen[cs]e"),
+    Rule(3, "epl", ("eclipse",), r"eclipse public licen[cs]e"),
 ]
 
 
 def rules() -> list[Rule]:
     """All rules: four forms for each license, then the statements, in order of trial."""
     found = []
-    for label, name, spdx, keyword in LICENSES:
+    for label, name, spdx, first in LICENSES:
+        keywords = tuple(first.split("|"))
         found += [
-            Rule(1, label, "spdx", rf"spdx licen[cs]e identifier {spdx}"),
-            Rule(1, label, keyword, rf"{_GRANT} (?:{name})"),
-            Rule(2, label, keyword, rf"(?:licen[cs]e|licen[cs]ing)(?: is| type| name)? (?:{name})"),
-            Rule(2, label, keyword, rf"(?:{name})(?: licen[cs]e(?: agreement| terms)?| licensed)"),
+            Rule(1, label, ("spdx",), rf"spdx licen[cs]e identifier {spdx}"),
+            Rule(1, label, keywords, rf"{_GRANT} (?:{name})"),
+            Rule(2, label, keywords, rf"(?:licen[cs]e|licen[cs]ing)(?: is| type| name)? (?:{name})"),
+            Rule(2, label, keywords, rf"(?:{name})(?: licen[cs]e(?: agreement| terms)?| licensed)"),
         ]
     return found + STATEMENTS
 

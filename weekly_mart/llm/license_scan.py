@@ -1,7 +1,7 @@
 """Operator 2: license scan by ordered signature rules. DataFrame functions only.
 
 Words are lower-cased (A-Z) runs of digits, letters and non-ASCII characters.
-A rule is tried where its keyword occurs; of overlapping detections, one that
+A rule is tried where one of its keywords occurs; of overlapping detections, one that
 lies within another of the same or a higher priority is suppressed.
 """
 
@@ -63,12 +63,12 @@ def _rule_table(table: list[Rule]) -> Column:
     """The rules as one constant array; patterns fit the normalised text."""
     rows = [
         {
-            "rule": k, "priority": r.priority, "label": r.label, "keyword": r.keyword,
+            "rule": k, "priority": r.priority, "label": r.label, "keywords": r.keywords,
             "pattern": "(?<= )(?:" + r.pattern.replace(" ?", "(?: )?").replace(" ", "  ") + ")(?= )",
         }
         for k, r in enumerate(table)
     ]
-    kind = "array<struct<rule:int,priority:int,label:string,keyword:string,pattern:string>>"
+    kind = "array<struct<rule:int,priority:int,label:string,keywords:array<string>,pattern:string>>"
     return F.from_json(F.lit(json.dumps(rows)), kind)
 
 
@@ -78,7 +78,7 @@ def detections(norm: Column, table: list[Rule]) -> Column:
     Start and end are character offsets of the normalised text.
     """
     keywords = F.filter(
-        F.array(*[F.lit(k) for k in sorted({r.keyword for r in table})]), lambda k: F.contains(norm, k)
+        F.array(*[F.lit(k) for k in sorted({k for r in table for k in r.keywords})]), lambda k: F.contains(norm, k)
     )
 
     def matches(r: Column) -> Column:
@@ -110,7 +110,7 @@ def detections(norm: Column, table: list[Rule]) -> Column:
         return _let(found, places)
 
     def scan(present: Column) -> Column:
-        tried = F.filter(_rule_table(table), lambda r: F.array_contains(present, r.keyword))
+        tried = F.filter(_rule_table(table), lambda r: F.arrays_overlap(present, r.keywords))
         ordered = F.array_sort(
             F.flatten(F.transform(tried, matches)),
             lambda a, b: F.coalesce(
