@@ -66,18 +66,24 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every block of the streams: host, part, page class, number of the block and its text."""
+    """The stream of every page: host, arrays of the host, the one it goes to, page class, and a line for each block.
+
+    A task hands on one page of a class, so that copies do not pile up in an array.
+    """
+    seen = set()
     for batch in batches:
-        rows = [
-            (host, part, content, number, text)
-            for host, part, content, page in zip(*(c.to_pylist() for c in batch.columns), strict=True)
-            for number, (_, text) in enumerate(blocks(page or ""))
-        ]
+        rows = []
+        for host, parts, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            found = blocks(page or "")
+            content = _digest(found)
+            if found and (host, content) not in seen:
+                seen.add((host, content))
+                rows.append((host, parts, content % parts, content, "\n".join(text for _, text in found)))
         columns = list(zip(*rows, strict=True)) or [[], [], [], [], []]
-        kinds = [pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.string()]
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-            names=["host", "part", "content", "block", "text"],
+            names=["host", "parts", "part", "content", "text"],
         )
 
 
@@ -104,11 +110,16 @@ def _run_digests(own: np.ndarray, lengths: np.ndarray, depth: int) -> tuple[np.n
     return text[first], inside[first], size, digest
 
 
-def _candidates(depth: int, share: float):
+def _candidates(depth: int, share: float, least: int):
     def run(cell: pa.Table) -> pa.Table:
         """Runs that at least the share of the cell's pages have, by the cell's suffix array."""
-        host = cell["host"][0].as_py()
-        own, lengths = _words(cell["text"].combine_chunks())
+        host, alone = cell["host"][0].as_py(), cell["parts"][0].as_py() == 1
+        pages = dict(zip(cell["content"].to_pylist(), cell["text"].to_pylist(), strict=True))
+        if alone and len(pages) < least:
+            return pa.table({"host": pa.array([], pa.string()), "digest": pa.array([], pa.int64())})
+        texts = [page.split("\n") for page in pages.values()]
+        content = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+        own, lengths = _words(pa.array([block for t in texts for block in t], pa.string()))
         # each block ends in tokens of its own, so no run crosses it
         starts = np.cumsum(lengths + depth) - lengths - depth
         stream = np.arange(int((lengths + depth).sum()), dtype=np.uint64)
@@ -116,7 +127,6 @@ def _candidates(depth: int, share: float):
         stream[at] = own | np.uint64(1 << 63)
         text, inside, size, digest = _run_digests(own, lengths, depth)
         group = np.where(size < depth, -1, suffix_groups(stream, depth)[starts[text] + inside])
-        content = cell["content"].to_numpy()
         page = content[text]
         order = np.lexsort((page, digest, group))
         g, d, p = group[order], digest[order], page[order]
@@ -124,7 +134,7 @@ def _candidates(depth: int, share: float):
         heads = np.flatnonzero(new)
         other = new | np.concatenate(([True], p[1:] != p[:-1]))
         n = np.add.reduceat(other.astype(np.int64), heads)
-        often = heads[n >= share * len(np.unique(content))]
+        often = heads[n >= share * len(texts)]
         return pa.table({"host": pa.array([host] * len(often), pa.string()), "digest": d[often].view(np.int64)})
 
     return run
@@ -134,7 +144,7 @@ def _places(depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Where the streams of a page have candidate runs of its host."""
         for batch in batches:
-            hosts, contents, pages, known = batch.columns
+            hosts, pages, known = batch.columns
             for k, page in enumerate(pages.to_pylist()):
                 found = blocks(page or "")
                 if not found:
@@ -145,7 +155,7 @@ def _places(depth: int):
                 text, n = text[hit], int(hit.sum())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([hosts[k].as_py()] * n, pa.string()), pa.array([contents[k].as_py()] * n, pa.int64()),
+                        pa.array([hosts[k].as_py()] * n, pa.string()), pa.array([_digest(found)] * n, pa.int64()),
                         pa.array(digest[hit].view(np.int64)), pa.array(np.array([w for w, _ in found], np.int32)[text]),
                         pa.array(text.astype(np.int32)), pa.array(lengths[text]),
                         pa.array(inside[hit]), pa.array(size[hit]),
@@ -174,30 +184,26 @@ def boilerplate_runs(
         pages.select("key", "host", "html").mapInArrow(_classes, "key long, host string, content long, words long"),
         "page-classes",
     )
-    distinct = classes.groupBy("host", "content").agg(F.min("key").alias("key"), F.max("words").alias("words"))
+    distinct = classes.groupBy("host", "content").agg(F.max("words").alias("words"))
     hosts = materialise(
         distinct.groupBy("host").agg(F.count(F.lit(1)).alias("pages"), F.sum("words").alias("all_words"))
         .where((F.col("pages") >= least) & (F.col("all_words") > 0)),
         "page-hosts",
     )
-    parts = F.ceil(F.col("all_words") / array_words)
-    chosen = materialise(
-        distinct.join(hosts, "host").select(
-            "key", "host", "content", F.pmod(F.xxhash64("content"), parts).cast("int").alias("part")
-        ),
-        "page-parts",
-    )
-    whole = pages.select("key", "html").join(chosen, "key")
+    # hosts of more than one array: as few as there are arrays, whatever the number of hosts
+    parts = F.ceil(F.col("all_words") / array_words).cast("long")
+    large = hosts.select("host", parts.alias("parts")).where("parts > 1")
     candidates = materialise(
-        whole.select("host", "part", "content", "html")
-        .mapInArrow(_streams, "host string, part int, content long, block int, text string")
+        pages.select("host", "html").join(F.broadcast(large), "host", "left")
+        .select("host", F.coalesce("parts", F.lit(1).cast("long")).alias("parts"), "html")
+        .mapInArrow(_streams, "host string, parts long, part long, content long, text string")
         .groupBy("host", "part")
-        .applyInArrow(_candidates(run_words, share), "host string, digest long")
+        .applyInArrow(_candidates(run_words, share, least), "host string, digest long")
         .groupBy("host").agg(F.collect_set("digest").alias("known")),
         "page-candidates",
     )
     places = materialise(
-        whole.join(candidates, "host").select("host", "content", "html", "known").mapInArrow(
+        pages.select("host", "html").join(candidates, "host").select("host", "html", "known").mapInArrow(
             _places(run_words),
             "host string, content long, digest long, place int, block int, words long, start long, size long",
         ),
