@@ -146,3 +146,13 @@ def test_packing_odd_rows(make_docs, clashing, odd_rows):
     assert Counter(r["doc_id"] for r in got if r["piece"] == 0) == Counter(i for i, *_ in odd_rows)
     assert sum(r["size"] for r in got) == sum(len((t or "").split()) for _, t, *_ in odd_rows)
     assert pack(make_docs([])).collect() == []
+
+
+def test_entropy_below_that_of_the_natural_shares(make_docs):
+    rows = sources()
+    counted = with_tokens(make_docs(rows).select("doc_id", "source", "text"), "text")
+    natural = mixture(counted, max_repeats=1.0).entropy
+    mix = mixture(counted, target_entropy=natural / 2, max_repeats=None)
+    assert mix.alpha > 1 and abs(mix.entropy - natural / 2) < 1e-6
+    with pytest.warns(UserWarning, match="not met"):
+        mixture(counted, target_entropy=natural / 2, max_repeats=1.01)

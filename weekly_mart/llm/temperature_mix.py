@@ -11,6 +11,7 @@ source's share from that run.
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -61,11 +62,14 @@ class Mixture:
 def fit_exponent(
     totals: DataFrame, *, target_entropy: float | None, max_repeats: float | None, ways: int = 32, rounds: int = 7
 ) -> float:
-    """Smallest exponent in [0, 1] that meets the limits, for a table (tokens) of sources.
+    """Smallest exponent that meets the limits, for a table (tokens) of sources.
 
     Entropy (in bits) and repetition fall as the exponent grows, so the interval
     that holds the answer can be cut; every round cuts it into ``ways`` parts
-    with one aggregate over the sources, however many there are.
+    with one aggregate over the sources, however many there are. A target below
+    the entropy of the natural shares takes an exponent above 1, where the large
+    sources are repeated; if the repetition limit or equal sources forbid it,
+    the nearest exponent is returned with a warning.
     """
     top, bottom = totals.agg(F.max("tokens"), F.min("tokens")).first()
     if not top:
@@ -73,14 +77,29 @@ def fit_exponent(
     spread = math.log(top / bottom)
     low, high = 0.0, 1.0
 
+    def entropy(alpha: float, z: float, zl: float) -> float:
+        return (math.log(z) - alpha * zl / z) / math.log(2)
+
     def met(alpha: float, z: float, zl: float) -> bool:
-        entropy = (math.log(z) - alpha * zl / z) / math.log(2)
-        repeats = math.exp(spread * (1 - alpha))
-        return (target_entropy is None or entropy <= target_entropy + 1e-12) and (
+        repeats = math.exp(spread * abs(1 - alpha))
+        return (target_entropy is None or entropy(alpha, z, zl) <= target_entropy + 1e-12) and (
             max_repeats is None or repeats <= max_repeats * (1 + 1e-12)
         )
 
     log = F.log(F.col("tokens") / F.lit(float(top)))
+
+    def entropy_at(alpha: float) -> float:
+        return entropy(alpha, *totals.agg(F.sum(F.exp(log * alpha)), F.sum(F.exp(log * alpha) * log)).first())
+
+    if target_entropy is not None and (seen := entropy_at(1.0)) > target_entropy + 1e-12:
+        limit = 1 + max(0.0, math.log(max_repeats)) * (1 - 1e-12) / spread if max_repeats and spread else math.inf
+        low = high = 1.0
+        while seen > target_entropy + 1e-12:
+            low, high, before = high, min(2 * high, limit), seen
+            seen = entropy_at(high)
+            if seen > target_entropy + 1e-12 and (high >= limit or before - seen < 1e-12):
+                warnings.warn(f"target entropy {target_entropy} not met: {seen} at exponent {high}", stacklevel=2)
+                return high
     for _ in range(rounds):
         tried = [low + (high - low) * k / ways for k in range(ways)]
         sums = totals.agg(
