@@ -38,7 +38,7 @@ def test_stages_against_simple_rules(spark):
 def test_run_and_registry(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(oracle_sql()) <= set(queries())
 
 
@@ -46,7 +46,8 @@ def test_run_and_registry(spark):
 def test_query_matches_duckdb(spark, name):
     found = queries()[name](spark, SF)
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for view in ("documents", "benchmark", "conversations"):
+        con.execute(f"CREATE VIEW {view} AS SELECT * FROM read_parquet('{SF}/{view}.parquet')")
     con.execute(f"CREATE VIEW o0 AS {oracle_sql()[name]}")
     twin = con.sql("SELECT * FROM o0")
     columns = sorted(found.columns)

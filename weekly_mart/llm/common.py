@@ -44,6 +44,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def unit(*cols: Column | str, seed: int) -> Column:
     """Uniform number in [0, 1) that depends on the seed and the columns only."""
     bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 11)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from weekly_mart.llm.best_fit_packing import pack
 from weekly_mart.llm.common import table
+from weekly_mart.llm.decontaminate import shared_passages
 from weekly_mart.llm.exact_dedup import exact_dedup
 from weekly_mart.llm.html_extract import extract_text
 from weekly_mart.llm.language_id import identify_language, learn_languages
@@ -89,6 +90,14 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), capacity=2048)
 
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared = shared_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    covered = F.aggregate("spans", F.lit(0).cast("long"), lambda n, p: n + p.end - p.start)
+    return shared.select(
+        "doc_id", "n_words", covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
+    )
+
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
@@ -101,6 +110,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op4_mixing": op4_mixing,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op13_decontamination": op13_decontamination,
 }
 
 ORACLE: dict[str, str] = {
@@ -130,6 +140,31 @@ ORACLE: dict[str, str] = {
         SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id FROM documents d
         LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY 1) m ON m.doc_id = d.doc_id
     """,
+    "op13_decontamination": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+            FROM documents
+        ), b AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+            FROM benchmark
+        ), bw AS (
+            SELECT DISTINCT item_id, span, array_to_string(ws[k:k + span - 1], ' ') AS win
+            FROM (SELECT *, unnest(range(1, len(ws) - span + 2)) AS k
+                  FROM (SELECT *, least(10, len(ws)) AS span FROM b WHERE len(ws) > 0))
+        ), dw AS (
+            SELECT rid, span, k, array_to_string(ws[k:k + span - 1], ' ') AS win
+            FROM (SELECT d.*, s.span, unnest(range(1, len(ws) - s.span + 2)) AS k
+                  FROM d, (SELECT DISTINCT span FROM bw) s WHERE len(ws) >= s.span)
+        ), h AS MATERIALIZED (SELECT rid, k, span, item_id FROM dw JOIN bw USING (span, win)),
+        c AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(k, k + span)) AS p FROM h) GROUP BY 1),
+        i AS (SELECT rid, count(*) AS n, string_agg(item, ',' ORDER BY item) AS list
+              FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM h WHERE item_id IS NOT NULL) GROUP BY 1)
+        SELECT d.doc_id, len(d.ws) AS n_words, coalesce(c.n, 0) AS n_hit, coalesce(i.n, 0) AS n_items,
+               sha256(coalesce(i.list, '')) AS items_sha256, c.n IS NOT NULL AS contaminated
+        FROM d LEFT JOIN c USING (rid) LEFT JOIN i USING (rid)
+    """,
 }
 
 
