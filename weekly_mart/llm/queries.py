@@ -15,6 +15,7 @@ from weekly_mart.llm.html_extract import extract_text
 from weekly_mart.llm.language_id import identify_language, learn_languages
 from weekly_mart.llm.license_scan import scan_licenses
 from weekly_mart.llm.ngram_join import jaccard_components
+from weekly_mart.llm.prefix_trie import prefix_trie
 from weekly_mart.llm.quality_rules import quality
 from weekly_mart.llm.shuffle_shards import shard_rows
 from weekly_mart.llm.temperature_mix import mix_sources
@@ -99,6 +100,10 @@ def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op7_sharding": op7_sharding,
@@ -110,6 +115,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op4_mixing": op4_mixing,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_decontamination": op13_decontamination,
 }
 
@@ -140,6 +146,46 @@ ORACLE: dict[str, str] = {
         SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id FROM documents d
         LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY 1) m ON m.doc_id = d.doc_id
     """,
+    "op11_prefix_trie": r"""
+        WITH t AS (
+            SELECT conv_id AS c, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+            WHERE conv_id IS NOT NULL
+        ), s AS (
+            SELECT c, turn, sha256(length(r) || ':' || r || x) AS id,
+                   len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS w FROM t
+        ), o AS (
+            SELECT c, list(struct_pack(id := id, w := w) ORDER BY turn NULLS FIRST, id) AS ts,
+                   CAST(xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+                       list_transform(range(1, length(CAST(c AS VARCHAR)) + 1), lambda i: CAST(ascii(CAST(c AS VARCHAR)[i]) AS BIGINT))),
+                       lambda a, b: list_reduce(list_concat([xor(a, b)], list_transform(range(8), lambda z: CAST(0 AS BIGINT))),
+                           lambda y, z: CASE WHEN y % 2 = 1 THEN xor(y >> 1, CAST(3988292384 AS BIGINT)) ELSE y >> 1 END)),
+                       CAST(4294967295 AS BIGINT)) % 4 AS BIGINT) AS h
+            FROM s GROUP BY c
+        ), p AS (
+            SELECT o.c, list_concat(coalesce(b.ts[1:o.h], []), o.ts[o.h + 1:]) AS ts
+            FROM o LEFT JOIN o b ON b.c = o.c - o.c % 20
+        ), m AS MATERIALIZED (
+            SELECT c, d, sha256(array_to_string(list_transform(ts[1:d], lambda u: u.id), '|')) AS k,
+                   sha256(array_to_string(list_transform(ts[1:d - 1], lambda u: u.id), '|')) AS pk,
+                   CASE WHEN d > 0 THEN ts[d].w ELSE 0 END AS w, d = len(ts) AS ends
+            FROM (SELECT *, unnest(range(0, len(ts) + 1)) AS d FROM p)
+        ), n AS MATERIALIZED (
+            SELECT d, k, min(pk) AS pk, min(c) AS c, count(*) AS n, max(w) AS w,
+                   sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends
+            FROM m GROUP BY d, k
+        ), f AS (
+            SELECT n.*, (SELECT count(*) FROM n q WHERE q.d = n.d + 1 AND q.pk = n.k) AS n_children FROM n
+        ), g AS MATERIALIZED (SELECT * FROM f),
+        below AS (
+            SELECT DISTINCT a.d, a.k, b.d AS bd, b.k AS bk FROM m a JOIN m b ON a.c = b.c AND b.d >= a.d
+        ), sums AS (
+            SELECT below.d, below.k, sum((u.n - 1) * u.w) AS saved, count(*) FILTER (u.n_children = 0) AS leaves
+            FROM below JOIN g u ON u.d = below.bd AND u.k = below.bk GROUP BY below.d, below.k
+        )
+        SELECT g.c AS conv_id, g.d AS depth, up.c AS parent_conv_id, g.n AS n_convs, g.n_children,
+               sums.leaves AS n_leaves, CAST(sums.saved AS BIGINT) AS saved_tokens, g.ends AS ends_sha256
+        FROM g JOIN sums USING (d, k) LEFT JOIN g up ON up.d = g.d - 1 AND up.k = g.pk
+    """,
     "op13_decontamination": r"""
         WITH d AS (
             SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
