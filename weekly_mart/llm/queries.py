@@ -20,6 +20,7 @@ from weekly_mart.llm.quality_rules import quality
 from weekly_mart.llm.shuffle_shards import shard_rows
 from weekly_mart.llm.temperature_mix import mix_sources
 from weekly_mart.llm.toxicity import fit_toxicity, score_toxicity
+from weekly_mart.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,6 +101,16 @@ def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    by_component = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c")
+    return whiten(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "n", "deviation", "identity_error", by_component
+    ).select(
+        "vec_id", (F.col("at") + 1).cast("int").alias("component"), "n", "deviation", "c.whitened", "c.explained",
+        "identity_error",
+    )
+
+
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -116,6 +127,7 @@ QUERIES: dict[str, Query] = {
     "op4_mixing": op4_mixing,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_embedding_whitening": op12_embedding_whitening,
     "op13_decontamination": op13_decontamination,
 }
 
