@@ -120,3 +120,16 @@ def test_labels_do_not_depend_on_other_words(make_docs):
     for r in got:
         text, label = list(texts.items())[r["doc_id"]]
         assert label in {d["label"] for d in r["found"]}, text
+
+
+def test_many_hits_in_one_text(spark):
+    """Offsets over many blocks of hits, and a time that does not grow with their square."""
+    n = 9_000
+    text = F.repeat(F.lit("mit license and the Apache License x "), n)
+    (r,) = scan_licenses(spark.range(1).select(F.lit(1).alias("doc_id"), text.alias("text"))).collect()
+    assert r["n_words"] == 7 * n
+    words = {label: [p["word"] for p in r["places"] if p["label"] == label] for label in BASE.values()}
+    assert words == {"mit": list(range(0, 7 * n, 7)), "apache": list(range(4, 7 * n, 7)), "gpl": []}
+    assert sorted((d["first_word"], d["last_word"], d["label"]) for d in r["found"]) == sorted(
+        [(7 * k, 7 * k + 1, "mit") for k in range(n)] + [(7 * k + 4, 7 * k + 5, "apache") for k in range(n)]
+    )

@@ -49,6 +49,33 @@ def let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def running(values: Column, zero: Column, join, block: int = 64) -> Column:
+    """Array whose entry i joins entries 0 to i of ``values``; ``join`` has to be associative, ``zero`` neutral.
+
+    Totals of blocks, and of blocks of blocks, stand in for what lies before an
+    entry's own block, so no list is built entry by entry.
+    """
+
+    def total(c: Column, first: Column, end: Column) -> Column:
+        return F.aggregate(F.slice(c, first + 1, end - first), zero, join)
+
+    def totals(c: Column) -> Column:
+        blocks = F.floor((F.size(c) + block - 1) / block).cast("int")
+        numbers = F.when(blocks > 0, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(numbers, lambda k: total(c, k * block, F.least((k + 1) * block, F.size(c))))
+
+    def entries(c: Column, one: Column, two: Column) -> Column:
+        def entry(x: Column, i: Column) -> Column:
+            low = F.floor(i / block).cast("int")
+            high = F.floor(i / block**2).cast("int")
+            near = join(total(one, high * block, low), total(c, low * block, i + 1))
+            return F.when(high == 0, near).otherwise(join(total(two, F.lit(0), high), near))
+
+        return F.transform(c, entry)
+
+    return let(values, lambda c: let(totals(c), lambda one: let(totals(one), lambda two: entries(c, one, two))))
+
+
 def unit(*cols: Column | str, seed: int) -> Column:
     """Uniform number in [0, 1) that depends on the seed and the columns only."""
     bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 11)

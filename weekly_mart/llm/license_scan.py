@@ -12,6 +12,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weekly_mart.llm.common import let, running
 from weekly_mart.llm.license_rules import GATES, Rule, rules
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -23,40 +24,34 @@ BASE = {"mit license": "mit", "apache license": "apache", "general public licens
 CONFIDENCE = {1: 0.9, 2: 0.7, 3: 0.5}
 
 
-def _let(value: Column, use) -> Column:
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def normalised(text: Column) -> Column:
     """Words with a space on both sides of each: ' free  software '."""
     lowered = F.translate(text, UPPER, LOWER)
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(lowered, SEPARATORS, "  ")), F.lit(" "))
 
 
-def _gaps(part: Column) -> Column:
-    """Pairs of spaces in a piece of the normalised text."""
-    return F.floor((F.length(part) - F.length(F.replace(part, F.lit(" "), F.lit("")))) / 2)
-
+def _spaces(part: Column) -> Column:
+    return F.length(part) - F.length(F.replace(part, F.lit(" "), F.lit("")))
 
-def _word_at(norm: Column, offset: Column) -> Column:
-    """Index of the word that starts at a character offset of the normalised text."""
-    return _gaps(F.substring(norm, F.lit(1), offset))
 
+def phrase_places(norm: Column, phrases: dict[str, str]) -> Column:
+    """Label and word index of every place of each phrase, phrase after phrase, ascending."""
+    table = F.array(*[
+        F.struct(
+            F.lit(f" {p.replace(' ', '  ')} ".replace(" ", "[ ]")).alias("key"), F.lit(len(p.split())).alias("words"),
+            F.lit(label).alias("label"),
+        )
+        for p, label in phrases.items()
+    ])
 
-def phrase_places(norm: Column, phrase: str) -> Column:
-    """Word index of every place of a phrase, ascending."""
-    key = f" {phrase.replace(' ', '  ')} "
-    parts = F.split(norm, key.replace(" ", "[ ]"), -1)
-    words = len(phrase.split())
+    def places(p: Column) -> Column:
+        # words up to the end of each place: those of the part before it, and its own
+        counts = F.transform(F.split(norm, p.key, -1), lambda part: F.floor(_spaces(part) / 2) + p.words)
+        ends = running(counts, F.lit(0).cast("long"), lambda x, y: x + y)
+        placed = F.transform(ends, lambda n: F.struct((n - p.words).alias("word"), p.label.alias("label")))
+        return F.slice(placed, F.lit(1), F.size(placed) - 1)
 
-    counts = F.transform(F.slice(parts, F.lit(1), F.size(parts) - 1), _gaps)
-    # words in the parts before a place, and the phrase itself at the places before it
-    return F.aggregate(
-        counts,
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("out")),
-        lambda s, n: F.struct((s.at + n + words).alias("at"), F.concat(s.out, F.array(s.at + n)).alias("out")),
-        lambda s: s.out,
-    )
+    return F.flatten(F.transform(table, places))
 
 
 def _rule_table(table: list[Rule]) -> Column:
@@ -73,77 +68,63 @@ def _rule_table(table: list[Rule]) -> Column:
 
 
 def detections(norm: Column, table: list[Rule]) -> Column:
-    """All detections of a text, suppressed ones left out, by position.
+    """All detections of a text, suppressed ones left out, by position: structs of start, negative end (character
+    offsets of the normalised text), priority, rule, label, first and last word.
 
-    Start and end are character offsets of the normalised text.
+    Offsets are running sums over the pieces that the matches cut the text into.
     """
     keywords = F.filter(
         F.array(*[F.lit(k) for k in sorted({k for r in table for k in r.keywords})]), lambda k: F.contains(norm, k)
     )
 
     def matches(r: Column) -> Column:
-        found = F.regexp_extract_all(norm, r.pattern, F.lit(0))
-        parts = F.split(norm, r.pattern, -1)
-
         def places(hits: Column) -> Column:
-            return F.aggregate(
-                F.arrays_zip(hits.alias("hit"), F.transform(F.slice(parts, F.lit(1), F.size(hits)), F.length).alias("gap")),
-                F.struct(
-                    F.lit(0).alias("at"),
-                    F.array().cast("array<struct<start:int,end:int,priority:int,rule:int,label:string>>").alias("out"),
+            sizes = F.zip_with(
+                F.slice(F.split(norm, r.pattern, -1), F.lit(1), F.size(hits)), hits,
+                lambda p, h: F.struct(
+                    (F.length(p) + F.length(h)).alias("chars"), (_spaces(p) + _spaces(h)).alias("spaces")
                 ),
-                lambda s, x: F.struct(
-                    (s.at + x.gap + F.length(x.hit)).alias("at"),
-                    F.concat(
-                        s.out,
-                        F.array(
-                            F.struct(
-                                (s.at + x.gap).alias("start"), (s.at + x.gap + F.length(x.hit)).alias("end"),
-                                r.priority.alias("priority"), r.rule.alias("rule"), r.label.alias("label"),
-                            )
-                        ),
-                    ).alias("out"),
+            )
+            add = lambda x, y: F.struct((x.chars + y.chars).alias("chars"), (x.spaces + y.spaces).alias("spaces"))
+            return F.zip_with(
+                hits, running(sizes, F.struct(F.lit(0).alias("chars"), F.lit(0).alias("spaces")), add),
+                lambda h, t: F.struct(
+                    (t.chars - F.length(h)).alias("start"), (-t.chars).alias("neg_end"), r.priority.alias("priority"),
+                    r.rule.alias("rule"), r.label.alias("label"),
+                    F.floor((t.spaces - _spaces(h)) / 2).alias("first_word"), F.floor(t.spaces / 2).alias("last_word"),
                 ),
-                lambda s: s.out,
             )
 
-        return _let(found, places)
+        return let(F.regexp_extract_all(norm, r.pattern, F.lit(0)), places)
 
     def scan(present: Column) -> Column:
         tried = F.filter(_rule_table(table), lambda r: F.arrays_overlap(present, r.keywords))
-        ordered = F.array_sort(
-            F.flatten(F.transform(tried, matches)),
-            lambda a, b: F.coalesce(
-                F.nullif(F.signum(a.start - b.start), F.lit(0.0)),
-                F.nullif(F.signum(b.end - a.end), F.lit(0.0)),
-                F.nullif(F.signum(a.priority - b.priority), F.lit(0.0)),
-                F.signum(a.rule - b.rule),
-            ).cast("int"),
-        )
-        return _suppressed(ordered)
+        return let(F.array_sort(F.flatten(F.transform(tried, matches))), _suppressed)
 
-    return _let(keywords, scan)
+    return let(keywords, scan)
 
 
 def _suppressed(ordered: Column) -> Column:
-    """Detections by start and falling end; keeps those that no earlier one of the same or a
-    higher priority reaches beyond, by the furthest end of each priority so far."""
-    levels = len(CONFIDENCE)
-    start = F.struct(
-        F.array(*[F.lit(-1)] * levels).alias("ends"),
-        F.array().cast("array<struct<start:int,end:int,priority:int,rule:int,label:string>>").alias("out"),
+    """Of detections by start and falling end, those that no earlier one of the same or a higher priority
+    reaches beyond, by the furthest end so far of each priority and the ones above it."""
+    levels = sorted(CONFIDENCE)
+    reach = F.transform(
+        ordered, lambda d: F.struct(*[F.when(d.priority <= k, -d.neg_end).otherwise(F.lit(-1)).alias(f"p{k}") for k in levels])
     )
+    further = lambda x, y: F.struct(*[F.greatest(x[f"p{k}"], y[f"p{k}"]).alias(f"p{k}") for k in levels])
 
-    def step(s: Column, d: Column) -> Column:
-        hidden = F.array_max(F.slice(s.ends, F.lit(1), d.priority)) >= d.end
-        ends = F.transform(s.ends, lambda e, k: F.when(k + 1 == d.priority, F.greatest(e, d.end)).otherwise(e))
-        return F.struct(ends.alias("ends"), F.when(hidden, s.out).otherwise(F.concat(s.out, F.array(d))).alias("out"))
+    def shown(furthest: Column) -> Column:
+        def beyond(d: Column, i: Column) -> Column:
+            before = F.get(furthest, i - 1)
+            ends = F.lit(None).cast("int")
+            for k in levels:
+                ends = F.when(d.priority == k, before[f"p{k}"]).otherwise(ends)
+            return F.coalesce(ends, F.lit(-1)) < -d.neg_end
 
-    return F.aggregate(ordered, start, step, lambda s: s.out)
+        return F.filter(ordered, beyond)
 
-
-def _labelled(label: str):
-    return lambda w: F.struct(w.alias("word"), F.lit(label).alias("label"))
+    none = F.struct(*[F.lit(-1).alias(f"p{k}") for k in levels])
+    return let(running(reach, none, further), shown)
 
 
 def scan_licenses(
@@ -154,7 +135,8 @@ def scan_licenses(
 
     Null and empty texts have no words and no detections. Rows are independent
     of each other; equal rows give equal results. Only the id and the text are
-    read. One pass without a shuffle; texts that hold no gate word are only
+    read. One pass without a shuffle, whose time grows with the length of a text
+    and, nearly in proportion, with its hits; texts that hold no gate word are only
     counted. ``score`` is one minus the product of the chances that each rule
     that fired is wrong.
     """
@@ -170,20 +152,11 @@ def scan_licenses(
     )
     norm = F.col("_norm")
     no_places = F.array().cast("array<struct<word:bigint,label:string>>")
-    places = F.concat(
-        no_places,
-        *[
-            F.transform(phrase_places(norm, phrase), _labelled(label)) for phrase, label in BASE.items()
-        ],
-    )
+    places = phrase_places(norm, BASE)
     kind = "array<struct<label:string,rule:int,priority:int,first_word:bigint,last_word:bigint>>"
     found = F.transform(
         detections(norm, table),
-        lambda d: F.struct(
-            d.label.alias("label"), d.rule.alias("rule"), d.priority.alias("priority"),
-            _word_at(norm, d.start).alias("first_word"),
-            (_word_at(norm, d.start) + _gaps(F.substring(norm, d.start + 1, d.end - d.start))).alias("last_word"),
-        ),
+        lambda d: F.struct(*[d[c].alias(c) for c in ("label", "rule", "priority", "first_word", "last_word")]),
     )
     scanned = gated.select(
         id_col,
