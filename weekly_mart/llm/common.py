@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,25 +20,68 @@ def scratch_root(spark: SparkSession) -> str:
     return (root or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoint").rstrip("/")
 
 
+_folders: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new folder of the shared scratch space and read it back.
 
     Cuts lineage: a lost executor recomputes from the written files, never from
-    the plan above them. So the shuffle files of the write are of no further use
-    and Spark is told to remove them with the end of the job.
+    the plan above them. So the shuffle files of a finished job are of no further
+    use, and Spark is told, for the session, to remove them with the job.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(SHUFFLE_CLEANUP)
-        else:
-            spark.conf.set(SHUFFLE_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    if spark.conf.get(SHUFFLE_CLEANUP, None) != "true":
+        spark.conf.set(SHUFFLE_CLEANUP, "true")
+    df.write.parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    _folders[written] = path
+    return written
+
+
+def forget(*written: DataFrame) -> None:
+    """Remove the folders of tables that `materialise` wrote and nothing reads any more."""
+    for df in written:
+        jvm, path = df.sparkSession._jvm, _folders.pop(df)
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+#: Rows and bits of a membership filter, whatever the number of its keys.
+FILTER_ROWS, FILTER_WORD = 1 << 17, 64
+
+
+def _filter_place(cols: tuple[str, ...]) -> tuple[Column, Column]:
+    h = F.xxhash64(F.lit("filter"), *cols)
+    return F.pmod(h, F.lit(FILTER_ROWS)), F.pmod(F.shiftright(h, 32), F.lit(FILTER_WORD)).cast("int")
+
+
+def membership(keys: DataFrame, *cols: str) -> DataFrame:
+    """A filter that holds the keys: at most ``FILTER_ROWS`` rows of 64 bits, so it can be sent to all executors."""
+    row, bit = _filter_place(cols)
+    marked = keys.select(row.alias("_row"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("_bit"))
+    return materialise(marked.groupBy("_row").agg(F.bit_or("_bit").alias("_bits")), "filter")
+
+
+def maybe_in(df: DataFrame, held: DataFrame, *cols: str, flag: str) -> DataFrame:
+    """``df`` with a flag that is false only where the key is surely none of the filter's.
+
+    The more keys the filter holds, the more other rows it flags; what is done
+    with flagged rows has to be right for them too.
+    """
+    row, bit = _filter_place(cols)
+    hit = F.coalesce(F.getbit("_bits", bit) == 1, F.lit(False))
+    return df.join(F.broadcast(held), row == F.col("_row"), "left").select(*df.columns, hit.alias(flag))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """``docs`` with all its columns in one, ``row``, so that no helper column can clash with them."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
+def unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in columns])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -10,12 +10,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekly_mart.llm.common import materialise
+from weekly_mart.llm.common import forget, materialise, maybe_in, membership, packed, unpacked
 
 #: Characters that the second step hashes.
 PREFIX_CHARS = 128
 
 
+def _suspects(rows: DataFrame) -> DataFrame:
+    """(_len, _prefix) that two rows have. Step 1: lengths that occur twice. Step 2: of those, prefix hashes that do."""
+    by_prefix = rows.groupBy("_len", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
+    by_length = by_prefix.groupBy("_len").agg(F.sum("_n").alias("_n")).where("_n > 1").select("_len")
+    return materialise(
+        by_prefix.where("_n > 1").join(by_length, "_len", "left_semi").select("_len", "_prefix"),
+        "dedup-suspects",
+    )
+
+
 def exact_dedup(
     docs: DataFrame,
     *,
@@ -49,13 +59,7 @@ def exact_dedup(
         F.xxhash64(F.substring(text, 1, prefix_chars)).alias("_prefix"),
         (F.sha2(text, 256) if digest_col else text).alias("_content"),
     )
-    # Step 1: lengths that occur twice. Step 2: of those, prefix hashes that occur twice.
-    by_prefix = rows.groupBy("_len", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
-    by_length = by_prefix.groupBy("_len").agg(F.sum("_n").alias("_n")).where("_n > 1").select("_len")
-    suspects = materialise(
-        by_prefix.where("_n > 1").join(by_length, "_len", "left_semi").select("_len", "_prefix"),
-        "dedup-suspects",
-    )
+    suspects = _suspects(rows)
     # Step 3: the whole text, of rows in surviving groups only.
     full: Column = F.col("_content") if digest_col else F.sha2(F.col("_content"), 256)
     survivors = rows.join(suspects, ["_len", "_prefix"], "left_semi").select(
@@ -86,24 +90,39 @@ def exact_dedup(
     return joined.select(*out, *([F.col("_sha").alias(digest_col)] if digest_col else []))
 
 
-def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that `exact_dedup` keeps, with all their columns.
+def drop_copies(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = PREFIX_CHARS
+) -> DataFrame:
+    """The rows of ``docs`` that `exact_dedup` keeps, with all their columns, whatever their names.
+
+    Null texts count as empty. Repeated rows with the same id and text leave one
+    row, as does a group whose ids are all null. An empty table stays empty.
 
-    Only (id, digest) of rows to drop are matched against the table: rows that
-    have no copy pass without waiting for a partner. Repeated rows with the
-    same id and text leave one row, as does a group whose ids are all null.
+    Scale: rows whose length and prefix hash no other row has pass as they are
+    read, without a shuffle; a filter of fixed size (`membership`) tells them
+    apart. Only the others are hashed whole and written, and of those only rows
+    that a second filter takes for the one that stays meet their group again, so
+    the texts of dropped copies are never shuffled, however many they are.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    verdict = exact_dedup(docs, id_col=id_col, text_col=text_col, digest_col="_sha")
-    groups = (
-        verdict.where("group_size > 1")
-        .groupBy("_sha")
-        .agg(F.max("keep_id").alias("_keep"), F.sum(F.col("kept").cast("long")).alias("_stay"))
+    rows = packed(docs)
+    text = F.coalesce(F.col("row").getField(text_col).cast("string"), F.lit(""))
+    keyed = rows.select(
+        "row", F.octet_length(text).alias("_len"), F.xxhash64(F.substring(text, 1, prefix_chars)).alias("_prefix")
+    )
+    suspects = _suspects(keyed.drop("row"))
+    tagged = maybe_in(keyed, membership(suspects, "_len", "_prefix"), "_len", "_prefix", flag="seen")
+    forget(suspects)
+    hashed = materialise(
+        tagged.where("seen").select(
+            "row", F.col("row").getField(id_col).alias("_id"), "_len", F.sha2(text, 256).alias("_sha")
+        ),
+        "dedup-rows",
     )
-    keyed = docs.withColumn("_sha", F.sha2(text, 256))
-    tagged = keyed.join(groups, "_sha", "left").where(
-        F.col("_stay").isNull() | F.col(id_col).eqNullSafe(F.col("_keep"))
+    groups = materialise(hashed.groupBy("_len", "_sha").agg(F.max("_id").alias("_id")), "dedup-groups")
+    likely = maybe_in(hashed, membership(groups, "_sha", "_id"), "_sha", "_id", flag="stays").where("stays")
+    named = groups.select(F.col("_len").alias("_n"), F.col("_sha").alias("_s"), F.col("_id").alias("_keep"))
+    kept = (
+        likely.join(named, (F.col("_len") == F.col("_n")) & (F.col("_sha") == F.col("_s")) & F.col("_id").eqNullSafe(F.col("_keep")))
+        .groupBy("_len", "_sha").agg(F.first("row").alias("row"))
     )
-    single = tagged.where(F.coalesce("_stay", F.lit(1)) == 1)
-    repeated = tagged.where(F.col("_stay") > 1).dropDuplicates(["_sha"])
-    return single.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return unpacked(tagged.where("NOT seen").select("row").unionByName(kept.select("row")), docs.columns)
