@@ -51,3 +51,38 @@ def test_shipped_store_file_shape(spark, scratch):
     stg = silver.stg_stores(read_raw(spark, landing, "stores"))
     assert stg.count() == 45
     assert dict(stg.dtypes) == {"store_id": "int", "store_type": "string", "store_size": "int"}
+
+
+def test_na_between_spaces_is_null(spark, scratch):
+    landing = _write(scratch, "stores", "store,type,size\n1, NA ,\" NA\"\n2,NAN, N A\n")
+    assert sorted(read_raw(spark, landing, "stores").collect()) == [("1", None, None), ("2", "NAN", " N A")]
+
+
+def test_bad_rows_are_named_with_file_and_line(spark, scratch, monkeypatch):
+    import os
+
+    from weekly_mart.plans.pipeline import CsvMart
+    from weekly_mart.sources import landing as module
+    from weekly_mart.sources.landing import LoadError, bad_rows
+
+    lines = ["store,type,size"] + [f"{k},A,{k}" for k in range(40)]
+    lines[7], lines[33] = "7,A", "33,A,1,extra"
+    landing = _write(scratch, "stores", "\r\n".join(lines) + "\r\n")
+    with open(os.path.join(landing.replace("file:", ""), "stores", "more.csv"), "w") as fh:
+        fh.write("store,type,size\n\n1,A,1\n2\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")  # several blocks a file
+    try:
+        found = [(os.path.basename(r.file), r.line, r.record) for r in bad_rows(spark, "stores", f"{landing}/stores").collect()]
+        assert sorted(found) == [("more.csv", 4, "2"), ("part-0.csv", 8, "7,A"), ("part-0.csv", 34, "33,A,1,extra")]
+        for table in ("fact", "department"):
+            _write(scratch, table, ",".join(f.name for f in module.RAW_SCHEMAS[table]) + "\n")
+        mart = CsvMart(spark, landing, scratch)
+        with pytest.raises(LoadError) as error:
+            mart.bronze("stores")
+        assert "part-0.csv:8: 7,A" in str(error.value) and "more.csv:4: 2" in str(error.value)
+        assert not scratch.is_complete(f"{mart.base}/bronze/stores_raw")
+        monkeypatch.setattr(module, "NAMED_ROWS", 1)
+        assert "3 in all" in str(LoadError("stores", bad_rows(spark, "stores", f"{landing}/stores")))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

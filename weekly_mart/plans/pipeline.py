@@ -22,7 +22,7 @@ from weekly_mart.operators import dims, fact, quality, silver
 from weekly_mart.plans import summaries
 from weekly_mart.schemas import STORE_DIM_CHECK, STORE_DIM_KEYS
 from weekly_mart.sources import fixtures
-from weekly_mart.sources.landing import csv_reader, read_raw, write_csv
+from weekly_mart.sources.landing import checked_load, read_files, write_csv
 from weekly_mart.sources.workspace import Workspace
 
 LANDING_TABLES = {"department": "department", "fact": "fact", "stores": "stores", "stores_v0": "stores"}
@@ -95,7 +95,7 @@ class Mart:
         return self._keep(
             f"bronze.{name}",
             f"{self.base}/bronze/{name}_raw",
-            lambda: csv_reader(self.spark, LANDING_TABLES[name]).csv(self.landing_files(name)),
+            lambda: read_files(self.spark, LANDING_TABLES[name], self.landing_files(name)),
         )
 
     # -- Silver (lazy) -------------------------------------------------------
@@ -225,14 +225,12 @@ class Mart:
 
     def bronze_incremental(self, name: str = "department") -> DataFrame:
         """Bronze table kept by incremental loads that replace the rows of a file
-        uploaded again (see streaming/uploads). Two loads run; the second finds
-        nothing new."""
+        uploaded again (see streaming/uploads)."""
         from weekly_mart.streaming.uploads import load_uploads, read_uploads
         target = f"{self.base}/bronze_uploads/{name}_raw"
         with self._lock_for(target):
-            for _ in range(2):
-                load_uploads(self.ws, self.landing_files(name), LANDING_TABLES[name], target)
-        return read_uploads(self.ws, target)
+            load_uploads(self.ws, self.landing_files(name), LANDING_TABLES[name], target)
+        return read_uploads(self.ws, target, LANDING_TABLES[name])
 
     def sales_daily(self, boundary: str = "closed") -> DataFrame:
         return self._keep(
@@ -312,8 +310,10 @@ class CsvMart(Mart):
         return self.sf_dir
 
     def bronze(self, name: str) -> DataFrame:
-        return self._keep(f"bronze.{name}", f"{self.base}/bronze/{name}_raw",
-                          lambda: read_raw(self.spark, self.landing, name))
+        target = f"{self.base}/bronze/{name}_raw"
+        return checked_load(
+            self.spark, name, f"{self.landing}/{name}/", lambda rows: self._keep(f"bronze.{name}", target, lambda: rows)
+        )
 
     def _run_once(self, name: str, apply) -> DataFrame:
         """Apply this landing content to the dimension ``name`` once, then read it."""

@@ -68,6 +68,10 @@ class Workspace:
         if fs.exists(jpath):
             fs.delete(jpath, True)
 
+    def make_folder(self, path: str) -> None:
+        fs, jpath = self._fs(path)
+        fs.mkdirs(jpath)
+
     def fingerprint(self, *paths: str) -> str:
         """Hash of this code and of every input file's path, size and time.
 

@@ -1,71 +1,84 @@
 """Incremental Bronze load of files that are uploaded again under their name.
 
-A file stream knows files by path and never reads a replaced one. Here a load
-log holds each file's name, modification time and the part its rows went to: a
-load reads the files that are new or newer than in the log, writes their rows
-as one more part, and then a new version of the log, which is the switch. The
-table is the rows of each file's newest upload; no earlier part is rewritten.
+A file stream knows files by path and never reads a replaced one. So the stream
+here carries names, not rows: those of files it has not seen in the landing
+folder, and those that `sources.landing.upload` announces (one small file for
+each upload, always new). Every micro-batch reads the named files under the
+strict rules and overwrites their partitions of the table, dynamically, so a
+batch that is run again after a crash writes what it wrote before. The
+checkpoint holds what was loaded; there is no log of our own.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekly_mart.sources.landing import csv_reader
+from weekly_mart.schemas import RAW_SCHEMAS
+from weekly_mart.sources.landing import arrivals_folder, read_files
 from weekly_mart.sources.workspace import Workspace
 
-LOG = "file string, uploaded long, part string"
-
+_LISTING = "path string, modificationTime timestamp, length long, content binary"
 
-def _log(ws: Workspace, target: str) -> DataFrame:
-    log = f"{target}/log"
-    return ws.read(log) if ws.is_complete(log) else ws.spark.createDataFrame([], LOG)
 
+def load_uploads(
+    ws: Workspace, folder: str, table: str, target: str, max_files_per_trigger: int | None = None
+) -> int:
+    """Load what is new or announced in ``folder``; returns the number of files read.
 
-def _landed(ws: Workspace, folder: str) -> set[tuple[str, int]]:
-    """(name, modification time) of the files in a landing folder."""
-    fs, jpath = ws._fs(folder)
-    found, files = set(), fs.listFiles(jpath, False)
-    while files.hasNext():
-        st = files.next()
-        if not st.getPath().getName().startswith(("_", ".")):
-            found.add((st.getPath().getName(), int(st.getModificationTime())))
-    return found
+    ``{target}/rows`` has one partition for each file name; a file uploaded again
+    replaces its own, also where it has no rows any more. A file removed from the
+    folder keeps its rows, as it does in a table that files are copied into. One
+    malformed row fails the batch before anything of it is written, and the next
+    run tries it again.
+    """
+    spark, folder = ws.spark, folder.rstrip("/")
+    read = 0
 
+    def load(batch: DataFrame, batch_id: int) -> None:
+        nonlocal read
+        # the names of one batch, bounded by max_files_per_trigger; only files that are there still
+        paths = [p for p in sorted({r["path"] for r in batch.collect()}) if ws.exists(p)]
+        if not paths:
+            return
+        rows = read_files(spark, table, paths).withColumn("_file", F.col("_metadata.file_name"))
+        # one more row for each file, so that a file without rows replaces its partition too
+        held = batch.where(F.col("path").isin(paths)).select(F.element_at(F.split("path", "/"), -1).alias("_file")).distinct()
+        marked = rows.withColumn("_row", F.lit(True)).unionByName(
+            held.withColumn("_row", F.lit(False)), allowMissingColumns=True
+        )
+        (
+            marked.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("_file").parquet(f"{target}/rows")
+        )
+        read += len(paths)
 
-def load_uploads(ws: Workspace, folder: str, table: str, target: str) -> int:
-    """Load what is new or replaced in ``folder``; returns the number of files read.
+    def stream(kind: str, schema: str, path: str):
+        reader = spark.readStream.format(kind).schema(schema)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        return reader.load(path)
 
-    The log has one row per file and is compared on the driver, where the
-    folder is listed anyway. A run that dies before the log is written leaves a
-    part that nothing refers to, and the next run reads those files again.
-    """
-    log = _log(ws, target)
-    known = {(r["file"], r["uploaded"]) for r in log.select("file", "uploaded").collect()}
-    pending = sorted(_landed(ws, folder) - known)
-    if not pending:
-        return 0
-    part = f"{target}/rows/part-{uuid.uuid4().hex}"
-    rows = csv_reader(ws.spark, table).csv([f"{folder.rstrip('/')}/{name}" for name, _ in pending])
-    rows.withColumn("_file", F.col("_metadata.file_name")).write.parquet(part)
-    news = ws.spark.createDataFrame([(name, time, part) for name, time in pending], LOG)
-    ws.write(log.join(news, "file", "left_anti").unionByName(news), f"{target}/log")
-    return len(pending)
+    announced = arrivals_folder(folder)
+    ws.make_folder(announced)
+    seen = stream("binaryFile", _LISTING, folder).select("path")
+    again = stream("text", "value string", announced).select(F.col("value").alias("path"))
+    query = (
+        seen.unionByName(again).writeStream.foreachBatch(load)
+        .option("checkpointLocation", f"{target}/checkpoint").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return read
 
 
-def read_uploads(ws: Workspace, target: str) -> DataFrame:
+def read_uploads(ws: Workspace, target: str, table: str | None = None) -> DataFrame:
     """The loaded rows: of every file, those of its newest upload."""
-    log = _log(ws, target)
-    parts = [r["part"] for r in log.select("part").distinct().collect()]
-    if not parts:
+    if not ws.exists(f"{target}/rows"):
         raise FileNotFoundError(f"nothing loaded into {target}")
-    rows = ws.spark.read.parquet(*parts).withColumn(
-        "_part", F.regexp_extract(F.col("_metadata.file_path"), r"(part-[0-9a-f]{32})/", 1)
-    )
-    live = log.select(
-        F.col("file").alias("_file"), F.regexp_extract("part", r"(part-[0-9a-f]{32})$", 1).alias("_part")
-    )
-    return rows.join(live, ["_file", "_part"], "left_semi").drop("_file", "_part")
+    reader = ws.spark.read
+    if table:
+        names = [f"{f.name} string" for f in RAW_SCHEMAS[table]]
+        reader = reader.schema(", ".join([*names, "_row boolean", "_batch long", "_file string"]))
+    return reader.parquet(f"{target}/rows").where("_row").drop("_row", "_batch", "_file")
