@@ -80,14 +80,16 @@ def _pack(capacity: int):
 
 def pack(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-    capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES,
+    capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES, cluster_col: str | None = None,
 ) -> DataFrame:
     """One row per piece: id, source, cluster, piece, ``start`` and ``size`` in tokens, ``bin``,
     ``offset`` in the bin and ``bin_tokens``.
 
-    The cluster of a text is the hash of its words as they stand; equal texts,
-    and the pieces of one text, never share a bin, nor do two texts of one
-    source (a null source is a source). A text without words is one empty piece.
+    The cluster of a text is the hash of its words, so texts that differ in white
+    space only are of one cluster; or it is what ``cluster_col`` holds, such as
+    the component of near copies (rows with a null there go by their words).
+    Texts of one cluster, and the pieces of one text, never share a bin, nor do
+    two texts of one source (a null source is a source). A text without words is one empty piece.
     Every token of every row is in exactly one piece; rows with equal ids are
     packed like other rows. An empty table gives an empty result.
 
@@ -95,9 +97,14 @@ def pack(
     holds about ``group_pieces`` narrow rows, whatever key is hot.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
+    spaced = F.translate(text, "\t\n\x0b\x0c\r", "     ")
+    cluster = F.xxhash64(F.lit("words"), F.array_remove(F.split(spaced, " "), ""))
+    if cluster_col:
+        given = F.col(cluster_col)
+        cluster = F.when(given.isNull(), cluster).otherwise(F.xxhash64(F.lit("given"), given))
     rows = docs.select(
         F.col(id_col).alias("_id"), F.col(source_col).cast("string").alias("source"),
-        F.xxhash64(text).alias("cluster"), text.alias("_text"),
+        cluster.alias("cluster"), text.alias("_text"),
     )
     counted = materialise(
         with_tokens(rows, "_text").withColumn("_rid", F.monotonically_increasing_id()), "pack-rows"

@@ -9,6 +9,7 @@ fewest bits.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,7 +23,7 @@ from weekly_mart.llm.textscan import chunks
 
 #: Bytes of context in the longest branch.
 ORDER = 3
-#: Expected number of labelled documents a language is learned from (all, where it has fewer).
+#: Expected number of distinct labelled texts a language is learned from (all, where it has fewer).
 SAMPLE_DOCS = 400
 UNDETERMINED = "und"
 
@@ -158,25 +159,29 @@ def learn_languages(
     sample_docs: int = SAMPLE_DOCS,
     seed: int = 9,
 ) -> LanguageModel:
-    """Trees learned from about ``sample_docs`` whole texts per language.
+    """Trees learned from about ``sample_docs`` distinct whole texts per language.
 
     ``usable`` marks the rows that may be learned from. Rows without language or
-    text are left out. The sample is drawn by a hash of the text, so copies of a
-    text are drawn together and repeated runs learn the same. What reaches the
-    driver is one row per byte string of the sample: bounded by the sample.
+    text are left out. Texts are drawn by their hash, each once however many
+    copies it has, and all of a language that has no more than the bound; so a
+    language of few texts with many copies is learned too, and repeated runs
+    learn the same. What reaches the driver is one row per byte string of the
+    sample: bounded by the sample.
     """
     rows = docs.where(usable) if usable is not None else docs
     rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("_text")).where(
         "lang IS NOT NULL AND length(_text) > 0"
-    )
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    ).withColumn("_hash", F.xxhash64("_text"))
+    distinct = rows.select("lang", "_hash").distinct()
+    sizes = {r["lang"]: r["n"] for r in distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         empty = np.zeros(0, np.int64)
         return LanguageModel([], empty, empty, empty, empty)
     chance = F.element_at(
         F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, sample_docs / n))]), F.col("lang")
     )
-    drawn = rows.where(unit("_text", seed=seed) < chance)
+    # copies of a drawn text are combined before the shuffle
+    drawn = rows.where(unit("_hash", seed=seed) < chance).groupBy("lang", "_hash").agg(F.first("_text").alias("_text")).drop("_hash")
     counts = (
         drawn.mapInArrow(_gram_counts, "lang string, size int, gram long, n long")
         .groupBy("lang", "size", "gram")
@@ -192,14 +197,21 @@ def learn_languages(
     )
 
 
+#: Compiled trees of the model a worker process has used last.
+_compiled: dict[str, Tables | None] = {}
+
+
 def _predictor(model: LanguageModel, spark):
     """A function for tasks: names and scores of the texts of a string column."""
     shared = spark.sparkContext.broadcast((model.langs, model.lang, model.size, model.gram, model.count))
+    name = uuid.uuid4().hex
 
     def load():
         learned = LanguageModel(*shared.value)
-        tables = learned.tables() if learned.langs else None
-        langs = np.array(learned.langs, object)
+        if name not in _compiled:  # once for each worker process, which keeps the last model only
+            _compiled.clear()
+            _compiled[name] = learned.tables() if learned.langs else None
+        tables, langs = _compiled[name], np.array(learned.langs, object)
 
         def predict(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             names, score = np.full(len(text), UNDETERMINED, object), np.zeros(len(text))

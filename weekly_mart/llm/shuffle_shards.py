@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekly_mart.llm.common import materialise, ordered_slots, unit
+from weekly_mart.llm.common import materialise, ordered_slots, packed, unit
 
 #: Rows that one range of a shard holds on average while it is numbered.
 ROWS_PER_RANGE = 20_000
@@ -159,16 +159,16 @@ def shard_rows(
 
     Values are never looked at: nulls, repeated rows and ties are dealt like
     other rows. An empty table gives an empty result. Columns named ``shard`` or
-    ``slot`` are replaced; names that start with ``_`` plus one of part, rid,
-    u, sends are reserved.
+    ``slot`` are replaced; all others come back unchanged, whatever their names.
 
     The rows are first written to the shared scratch folder with the number of
     the partition they came from; from there on every step is a function of
     written data, so a lost executor repeats it alike. Pass narrow rows (an id)
     and join wide columns back where they are needed.
     """
+    kept = docs.drop("shard", "slot")
     fixed = materialise(
-        docs.drop("shard", "slot")
+        packed(kept)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_rid", F.monotonically_increasing_id()),
         "shard-rows",
@@ -201,4 +201,4 @@ def shard_rows(
         dealt.drop("_p", "sends", "_rank").withColumn("_u", unit("_rid", seed=seed + 2)),
         ["shard"], "_u", "_rid", buckets=ranges, slot="slot",
     )
-    return out.drop("_part", "_rid", "_u")
+    return out.select(*[F.col("row").getField(c).alias(c) for c in kept.columns], "shard", "slot")

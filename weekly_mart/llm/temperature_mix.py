@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekly_mart.llm.common import materialise, ordered_slots, unit
+from weekly_mart.llm.common import materialise, ordered_slots, packed, unit, unpacked
 from weekly_mart.llm.textscan import chunks
 
 #: No source is seen more often than this.
@@ -212,16 +212,22 @@ def repeat_to_weights(
     docs: DataFrame, *, text_col: str = "text", source_col: str = "source",
     target_entropy: float | None = None, max_repeats: float | None = MAX_REPEATS, seed: int = 4,
 ) -> DataFrame:
-    """``docs`` with every row as often as the mixture holds it, columns unchanged.
+    """``docs`` with every row as often as the mixture holds it, columns unchanged, whatever their names.
 
     How often follows from the row itself and one line per source: the whole
     epochs, and the place in the last permutation where the budget ends. So
-    texts are never shuffled; the plan is made on narrow rows.
+    texts are never shuffled; the plan is made on narrow rows. Null texts have
+    no words and come once, as other texts without words do; a null source is a
+    source; repeated rows come equally often; an empty table stays empty.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    key = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns if c != text_col], F.xxhash64(text))
-    rows = docs.select(F.col(source_col).alias("source"), F.col(text_col).alias("_text"), key.alias("_key"))
-    counted = materialise(with_tokens(rows, "_text"), "mix-rows")
+    columns = docs.columns
+    text = F.coalesce(F.col("row").getField(text_col).cast("string"), F.lit(""))
+    others = [F.col("row").getField(c) for c in columns if c != text_col]
+    keyed = packed(docs).select(
+        "row", F.col("row").getField(source_col).alias("source"), text.alias("_text"),
+        F.xxhash64(*others, F.xxhash64(text)).alias("_key"),
+    )
+    counted = materialise(with_tokens(keyed.drop("row"), "_text"), "mix-rows")
     mix = mixture(counted, target_entropy=target_entropy, max_repeats=max_repeats)
     plan = mix_plan(counted, mix, key="_key", seed=seed)
     ends = materialise(
@@ -230,10 +236,9 @@ def repeat_to_weights(
         .select(F.col("source").alias("_s"), F.col("last.epoch").alias("_epoch"), F.col("last.end").alias("_end")),
         "mix-ends",
     )
-    tagged = docs.withColumn("_key", key).join(ends, F.col(source_col).eqNullSafe(F.col("_s")), "left")
+    tagged = keyed.join(ends, F.col("source").eqNullSafe(F.col("_s")), "left")
     last = F.coalesce("_epoch", F.lit(0))
-    has_tokens = F.length(F.trim(F.translate(text, "\t\n\x0b\x0c\r", "     "))) > 0
+    has_tokens = F.length(F.trim(F.translate("_text", "\t\n\x0b\x0c\r", "     "))) > 0
     times = F.when(has_tokens & (last > 0), last + (_order("_key", last, seed) <= F.col("_end")).cast("int"))
-    return tagged.withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.greatest(F.coalesce(times, F.lit(1)), F.lit(1))))
-    ).select(*[F.col(f"`{c}`") for c in docs.columns])
+    copies = F.explode(F.sequence(F.lit(1), F.greatest(F.coalesce(times, F.lit(1)), F.lit(1))))
+    return unpacked(tagged.select("row", copies), columns)

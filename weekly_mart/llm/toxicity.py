@@ -179,19 +179,22 @@ def fit_toxicity(
 ) -> ToxicityModel:
     """Learns from labelled rows (label 0 or 1; other labels and nulls are left out).
 
-    Bounded samples are drawn by a hash of the text, so that copies of a text
-    fall into one part: of all rows, a fifth calibrates and the rest trains the
+    Bounded samples are drawn from the distinct labelled texts by their hash, so
+    that a text falls into one part and counts once for each label it has,
+    however many copies there are: a fifth calibrates and the rest trains the
     trees; the learned lexicon comes from the training part.
     """
     rows = labelled.where(F.col(label_col).isin(0, 1)).select(
         F.col(text_col).cast("string").alias("_text"), F.col(label_col).cast("int").alias("_toxic")
     )
     rows = rows.withColumn("_part", unit(F.coalesce("_text", F.lit("")), seed=seed))
-    n, toxic = rows.agg(F.count(F.lit(1)), F.coalesce(F.avg("_toxic"), F.lit(0.0))).first()
+    distinct = rows.select("_part", "_toxic").distinct()
+    n, toxic = distinct.agg(F.count(F.lit(1)), F.coalesce(F.avg("_toxic"), F.lit(0.0))).first()
     train_share = min(1.0, max(TRAIN_ROWS, LEXICON_ROWS) / max(1, 0.8 * n))
     calibration_share = min(1.0, CALIBRATION_ROWS / max(1, 0.2 * n))
-    train = rows.where(F.col("_part") < 0.8 * train_share)
-    held = rows.where((F.col("_part") >= 0.8) & (F.col("_part") < 0.8 + 0.2 * calibration_share))
+    once = lambda df: df.groupBy("_part", "_toxic").agg(F.first("_text").alias("_text"))
+    train = once(rows.where(F.col("_part") < 0.8 * train_share))
+    held = once(rows.where((F.col("_part") >= 0.8) & (F.col("_part") < 0.8 + 0.2 * calibration_share)))
     if toxic in (0.0, 1.0):
         return ToxicityModel(None, None, [], float(toxic))
     learned = learn_lexicon(train, text_col="_text")
