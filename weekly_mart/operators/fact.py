@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekly_mart.functions import audit_ts
-from weekly_mart.operators.pit import pit_condition
-from weekly_mart.schemas import MARKDOWNS, STORE_DIM_KEYS, VALID_FROM, VALID_TO
+from weekly_mart.operators import by_year
+from weekly_mart.operators.pit import binned_versions, pit_condition, same_bin
+from weekly_mart.schemas import MARKDOWNS, STORE_DIM_CHECK, STORE_DIM_KEYS, VALID_FROM, VALID_TO
 
 FACT_COLUMNS = [
     "store_id", "dept_id", "date_id", "store_weekly_sales", "fuel_price", "store_temperature",
@@ -24,15 +25,19 @@ def build_fact(
     date_dim: DataFrame,
     boundary: str = "closed",
     as_of: str | None = None,
+    bin_days: int | None = None,
 ) -> DataFrame:
-    """Inner joins: sales x store version (point in time) x store-week x date.
-
-    The small date dimension comes first, then the store version on (store_id,
-    dept_id), then the store-week row on (store_id, store_date). The dimensions
-    are written tables, so the planner knows their bytes and broadcasts those
-    under ``spark.sql.autoBroadcastJoinThreshold``; the others join by sort-merge
-    on their keys, with AQE splitting hot keys. No job runs to build the plan.
-    Only the columns the fact keeps are read.
+    """Inner joins: sales x store version (point in time) x date x store-week.
+
+    The store version comes first, on (store_id, dept_id): where both tables are
+    bucketed on these keys, neither is shuffled. Then the date, then the
+    store-week row on (store_id, store_date). The dimensions are written tables,
+    so the planner knows their bytes and broadcasts those under
+    ``spark.sql.autoBroadcastJoinThreshold``; the others join by sort-merge on
+    their keys, with AQE splitting hot keys. Only the columns the fact keeps are
+    read. With ``bin_days`` the versions are spread over calendar bins, for keys
+    with very many versions (`pit.binned_versions`); else no job runs to build
+    the plan.
     """
     ts = audit_ts(as_of)
     sales = stg_department.select("store_id", "dept_id", "store_date", "weekly_sales").alias("sales")
@@ -42,8 +47,12 @@ def build_fact(
         "store_id", "store_date", "fuel_price", "temperature", "unemployment", "cpi", *MARKDOWNS
     ).alias("week")
 
-    j = sales.join(dates, F.col("sales.store_date") == F.col("dates.store_date"))
-    j = j.join(version, pit_condition("sales", "version", STORE_DIM_KEYS, F.col("sales.store_date"), boundary))
+    live = pit_condition("sales", "version", STORE_DIM_KEYS, F.col("sales.store_date"), boundary)
+    if bin_days:
+        spread = binned_versions(store_dim.select(*STORE_DIM_KEYS, VALID_FROM, VALID_TO), stg_department, "store_date", bin_days)
+        version, live = spread.alias("version"), live & same_bin("version", F.col("sales.store_date"), bin_days)
+    j = sales.join(version, live)
+    j = j.join(dates, F.col("sales.store_date") == F.col("dates.store_date"))
     j = j.join(
         week,
         (F.col("sales.store_id") == F.col("week.store_id")) & (F.col("sales.store_date") == F.col("week.store_date")),
@@ -65,60 +74,53 @@ def build_fact(
     )
 
 
-def _year_marks(
+def year_marks(
     stg_department: DataFrame, store_dim: DataFrame, stg_fact: DataFrame, date_dim: DataFrame
 ) -> dict[int, str]:
-    """Sale year -> digest of all rows the year's part of the fact is made from.
+    """Sale year -> digest of all rows the year's part of the fact and of its summaries is made from.
 
-    One aggregate per input, combined before the shuffle; a few rows come back.
+    One job with one aggregate per input, combined before the shuffle; a few
+    rows come back.
     """
-    def digest(df: DataFrame, year) -> DataFrame:
+    def digest(name: str, df: DataFrame, first, last) -> DataFrame:
         row = F.xxhash64(*df.columns)
-        return df.groupBy(year.alias("year")).agg(
+        return df.groupBy(first.alias("first"), last.alias("last")).agg(
             F.count(F.lit(1)).alias("n"), F.bit_xor(row).alias("x"), F.sum(row % 1_000_003).alias("s")
-        )
+        ).select(F.lit(name).alias("name"), "first", "last", "n", "x", "s")
 
+    year = F.year("store_date")
     sales = stg_department.select("store_id", "dept_id", "store_date", "weekly_sales")
-    years = digest(sales, F.year("store_date")).select("year").where("year IS NOT NULL")
-    last = F.coalesce(F.col(VALID_TO), F.lit("9999-12-31").cast("timestamp_ntz"))
-    versions = store_dim.select(*STORE_DIM_KEYS, VALID_FROM, VALID_TO)
-    spans = versions.withColumn("_from", F.year(VALID_FROM)).withColumn("_to", F.year(last))
-    span_marks = spans.groupBy("_from", "_to").agg(
-        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*versions.columns)).alias("x")
+    versions = store_dim.select(*STORE_DIM_KEYS, *STORE_DIM_CHECK, VALID_FROM, VALID_TO)
+    end = F.coalesce(F.col(VALID_TO), F.lit("9999-12-31").cast("timestamp_ntz"))
+    rows = (
+        digest("sales", sales, year, year)
+        .unionByName(digest("weeks", stg_fact, year, year))
+        .unionByName(digest("dates", date_dim.select("date_id", "store_date", "is_holiday"), year, year))
+        .unionByName(digest("versions", versions, F.year(VALID_FROM), F.year(end)))
+        .collect()
     )
-    marks: dict[int, list[str]] = {r["year"]: [] for r in years.collect()}
-    for table in (sales, stg_fact, date_dim.select("date_id", "store_date")):
-        for r in digest(table, F.year("store_date")).collect():
-            if r["year"] in marks:
-                marks[r["year"]].append(f"{r['n']}:{r['x']}:{r['s']}")
-    for r in sorted(span_marks.collect()):
-        for year, found in marks.items():
-            if r["_from"] <= year <= r["_to"]:
-                found.append(f"{r['_from']}-{r['_to']}:{r['n']}:{r['x']}")
-    return {y: sha1("|".join(found).encode()).hexdigest()[:16] for y, found in marks.items()}
+    years = sorted(r["first"] for r in rows if r["name"] == "sales" and r["first"] is not None)
+    known = sorted(r for r in rows if r["first"] is not None)
+    return {
+        y: sha1("|".join(str(tuple(r)) for r in known if r["first"] <= y <= r["last"]).encode()).hexdigest()[:16]
+        for y in years
+    }
 
 
 def refresh_by_year(
     ws, target: str, stg_department: DataFrame, store_dim: DataFrame, stg_fact: DataFrame, date_dim: DataFrame,
-    boundary: str, as_of: str | None,
+    boundary: str, as_of: str | None, marks: dict[int, str] | None = None,
 ) -> DataFrame:
-    """The fact kept by sale year under ``target``; builds the years whose inputs changed.
-
-    A year's part is ``sale_year=<year>/build=<digest of its inputs>``: equal
-    inputs find their part, changed ones write a new part beside it. Returns the
-    fact with ``sale_year`` as partition column.
-    """
-    marks = _year_marks(stg_department, store_dim, stg_fact, date_dim)
-    parts = {y: f"{target}/sale_year={y}/build={mark}" for y, mark in sorted(marks.items())}
-    for year, path in parts.items():
-        if ws.exists(f"{path}/_SUCCESS"):
-            continue
-        in_year = F.year("store_date") == year
-        part = build_fact(
-            stg_department.where(in_year), store_dim, stg_fact.where(in_year), date_dim, boundary, as_of
+    """The fact kept by sale year under ``target`` (`by_year.refresh`), with ``sale_year`` as partition column."""
+    if marks is None:
+        marks = year_marks(stg_department, store_dim, stg_fact, date_dim)
+
+    def build(years: list[int]) -> DataFrame:
+        in_years = F.year("store_date").isin(years)
+        dated = date_dim.select("date_id", F.year("store_date").alias("sale_year")).alias("dated")
+        rows = build_fact(
+            stg_department.where(in_years), store_dim, stg_fact.where(in_years), date_dim.where(in_years), boundary, as_of
         )
-        part.write.mode("overwrite").parquet(path)
-    if not parts:
-        empty = build_fact(stg_department, store_dim, stg_fact, date_dim, boundary, as_of)
-        return empty.withColumn("sale_year", F.lit(None).cast("int"))
-    return ws.spark.read.option("basePath", target).parquet(*parts.values()).drop("build")
+        return rows.alias("rows").join(dated, F.col("rows.date_id") == F.col("dated.date_id")).select("rows.*", "dated.sale_year")
+
+    return by_year.refresh(ws, target, marks, build)

@@ -60,3 +60,47 @@ def pit_join(
     return fact.alias("_pf").join(dim.alias("_pd"), cond, how).select(
         *[F.col(f"_pf.{c}") for c in fact.columns], *[F.col(f"_pd.{c}") for c in dim_cols]
     )
+
+
+def _bin(ts: Column, bin_days: int) -> Column:
+    return F.call_function("div", F.unix_date(ts.cast("date")), F.lit(bin_days))
+
+
+def same_bin(dim_alias: str, ts_col: Column, bin_days: int) -> Column:
+    return F.col(f"{dim_alias}._bin") == _bin(ts_col, bin_days)
+
+
+def binned_versions(
+    dim: DataFrame, fact: DataFrame, ts_col: str, bin_days: int, valid_from: str = VALID_FROM, valid_to: str = VALID_TO
+) -> DataFrame:
+    """The versions once for each calendar bin they reach into, with the bin as ``_bin``.
+
+    Bins are cut to the first and last time of ``fact``, two scalars, so an open
+    or backdated version is spread over the bins that facts can be in. A fact is
+    in one bin, so it meets each version once at most.
+    """
+    first, last = fact.agg(F.min(ts_col).cast("date"), F.max(ts_col).cast("date")).first()
+    low = F.greatest(F.col(valid_from).cast("date"), F.lit(first))
+    high = F.least(F.coalesce(F.col(valid_to), far_future()).cast("date"), F.lit(last))
+    return dim.where(low <= high).withColumn(
+        "_bin", F.explode(F.sequence(_bin(low, bin_days), _bin(high, bin_days)))
+    )
+
+
+def pit_join_binned(
+    fact: DataFrame, dim: DataFrame, keys: list[str], ts_col: str, boundary: str = "closed", bin_days: int = 28
+) -> DataFrame:
+    """`pit_join` (inner) for keys with very many versions.
+
+    The plain join compares every row of a key with all versions of the key.
+    Here both sides meet on (keys, calendar bin), so a row is compared only with
+    the versions of its bin, and the hash spreads one key over its bins. Each
+    version is repeated once for every bin it reaches into; ``bin_days`` should
+    be near the usual length of a version.
+    """
+    spread = binned_versions(dim, fact, ts_col, bin_days)
+    cond = pit_condition("_pf", "_pd", keys, F.col(f"_pf.{ts_col}"), boundary) & same_bin("_pd", F.col(f"_pf.{ts_col}"), bin_days)
+    dim_cols = [c for c in dim.columns if c not in keys and c not in fact.columns]
+    return fact.alias("_pf").join(spread.alias("_pd"), cond).select(
+        *[F.col(f"_pf.{c}") for c in fact.columns], *[F.col(f"_pd.{c}") for c in dim_cols]
+    )

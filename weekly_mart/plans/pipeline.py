@@ -13,29 +13,62 @@ from __future__ import annotations
 
 import threading
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekly_mart.operators import dims, fact, quality, silver
+from weekly_mart import session
+from weekly_mart.operators import by_year, dims, fact, quality, silver
+from weekly_mart.operators.snapshot_buckets import read_snapshot, refresh_snapshot
 from weekly_mart.plans import summaries
-from weekly_mart.schemas import STORE_DIM_CHECK, STORE_DIM_KEYS
+from weekly_mart.schemas import STORE_DIM_CHECK, STORE_DIM_KEYS, VALID_TO
 from weekly_mart.sources import fixtures
+from weekly_mart.sources.catalog import Catalog, buckets_for
 from weekly_mart.sources.landing import checked_load, read_files, write_csv
 from weekly_mart.sources.workspace import Workspace
 
 LANDING_TABLES = {"department": "department", "fact": "fact", "stores": "stores", "stores_v0": "stores"}
 
 
-@dataclass(frozen=True)
+#: Counts kept with written tables.
+ROWS = {"rows": "count(1)"}
+WITH_AMOUNT = {"with_amount": "count(weekly_sales)"}
+LIVE = {"live": f"count_if({VALID_TO} IS NULL)"}
+#: Days of a calendar bin for point-in-time joins over many versions.
+BIN_DAYS = 28
+
+
 class Gold:
-    fact: DataFrame
-    date_dim: DataFrame
-    store_dim: DataFrame
-    daily: DataFrame       # sales_daily summary
-    versioned: DataFrame   # sales_versioned summary
-    years: tuple[int, ...] = ()  # calendar years of the date dimension, ascending
+    """The star schema and its summaries; each is built when it is first asked for."""
+
+    def __init__(self, mart: Mart, boundary: str = "closed"):
+        self._mart, self._boundary = mart, boundary
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return self._mart.fact(self._boundary)
+
+    @cached_property
+    def date_dim(self) -> DataFrame:
+        return self._mart.date_dim()
+
+    @cached_property
+    def store_dim(self) -> DataFrame:
+        return self._mart.store_dim()
+
+    @cached_property
+    def daily(self) -> DataFrame:
+        return self._mart.sales_daily(self._boundary)
+
+    @cached_property
+    def versioned(self) -> DataFrame:
+        return self._mart.sales_versioned(self._boundary)
+
+    @cached_property
+    def years(self) -> tuple[int, ...]:
+        """Calendar years of the date dimension, ascending."""
+        return self._mart.years()
 
 
 def input_key(ws: Workspace, sf_dir: str) -> str:
@@ -50,6 +83,7 @@ class Mart:
         self.input_key = input_key(self.ws, self.sf_dir)
         self.base = self.ws.path("weekly_mart", self.input_key)
         self._cache: dict[str, DataFrame] = {}
+        self._targets: dict[str, str] = {}
         self._lock = threading.Lock()
         self._locks: dict[str, threading.Lock] = {}
 
@@ -57,12 +91,18 @@ class Mart:
         with self._lock:
             return self._locks.setdefault(name, threading.Lock())
 
-    def _keep(self, name: str, target: str, build) -> DataFrame:
+    def _keep(self, name: str, target: str, build, counts: dict | None = None) -> DataFrame:
         with self._lock_for(name):  # one writer per table; other tables build meanwhile
             if name not in self._cache:
-                self._cache[name] = self.ws.materialize(target, build)
+                self._cache[name] = self.ws.materialize(target, build, counts=counts)
+                self._targets[name] = target
             return self._cache[name]
 
+    def _count(self, name: str, df: DataFrame, of: str = "rows") -> DataFrame | int:
+        """A count that was taken while the table was written, or the rows to count."""
+        known = self.ws.counted(self._targets[name]) if name in self._targets else None
+        return known[of] if known and of in known else df
+
     @staticmethod
     def _together(*fns) -> list:
         """Run independent builds as concurrent Spark jobs (one thread each)."""
@@ -96,8 +136,13 @@ class Mart:
             f"bronze.{name}",
             f"{self.base}/bronze/{name}_raw",
             lambda: read_files(self.spark, LANDING_TABLES[name], self.landing_files(name)),
+            counts=self._bronze_counts(name),
         )
 
+    @staticmethod
+    def _bronze_counts(name: str) -> dict:
+        return ROWS | WITH_AMOUNT if name == "department" else ROWS
+
     # -- Silver (lazy) -------------------------------------------------------
     def stg_department(self) -> DataFrame:
         return silver.stg_department(self.bronze("department"))
@@ -125,6 +170,7 @@ class Mart:
             "gold.date_dim",
             f"{self.base}/gold/date_dim",
             lambda: dims.date_dim(self.stg_fact(), as_of=fixtures.BUILD_AT),
+            counts=ROWS,
         )
 
     def store_dim_initial(self) -> DataFrame:
@@ -147,6 +193,7 @@ class Mart:
                 self.store_dim_initial(), self.store_dim_source(1), STORE_DIM_KEYS, STORE_DIM_CHECK,
                 as_of=fixtures.CHANGE_AT,
             ),
+            counts=ROWS | LIVE,
         )
 
     def fact(self, boundary: str = "closed") -> DataFrame:
@@ -157,8 +204,101 @@ class Mart:
                 self.stg_department(), self.store_dim(), self.stg_fact(), self.date_dim(),
                 boundary=boundary, as_of=fixtures.BUILD_AT,
             ),
+            counts=ROWS,
         )
 
+    # -- catalog tables ------------------------------------------------------
+    @cached_property
+    def catalog(self) -> Catalog:
+        """The layers as databases of the session's catalog."""
+        return Catalog(self.ws, f"{self.base}/catalog", f"weekly_mart_{self.input_key[:8]}")
+
+    @cached_property
+    def _buckets(self) -> int:
+        """One count for all tables that meet on (store_id, dept_id)."""
+        return buckets_for(session.input_bytes(self.spark, self.landing_files("department")))
+
+    def _bucketed(self, layer: str, table: str, build) -> DataFrame:
+        name = f"catalog.{layer}.{table}"
+        with self._lock_for(name):
+            if name not in self._cache:
+                self._cache[name] = self.catalog.keep(layer, table, build, STORE_DIM_KEYS, self._buckets)
+            return self._cache[name]
+
+    def sales_bucketed(self) -> DataFrame:
+        return self._bucketed("silver", "sales", self.stg_department)
+
+    def store_dim_bucketed(self) -> DataFrame:
+        return self._bucketed("gold", "store_dim", self.store_dim)
+
+    def fact_bucketed(self) -> DataFrame:
+        """The fact as a catalog table; neither sales nor store versions are shuffled to meet."""
+        return self._bucketed("gold", "fact", lambda: fact.build_fact(
+            self.sales_bucketed(), self.store_dim_bucketed(), self.stg_fact(), self.date_dim(), as_of=fixtures.BUILD_AT,
+        ))
+
+    def sales_versioned_bucketed(self) -> DataFrame:
+        """The summary by store version, from the bucketed tables."""
+        return summaries.sales_versioned(self.fact_bucketed(), self.date_dim(), self.store_dim_bucketed())
+
+    # -- the fact in other forms -----------------------------------------------
+    def fact_binned(self, boundary: str = "closed") -> DataFrame:
+        """The fact with store versions met by calendar bin."""
+        return fact.build_fact(
+            self.stg_department(), self.store_dim(), self.stg_fact(), self.date_dim(),
+            boundary=boundary, as_of=fixtures.BUILD_AT, bin_days=BIN_DAYS,
+        )
+
+    def _marks(self) -> dict[int, str]:
+        with self._lock_for("marks"):
+            if "marks" not in self._cache:
+                self._cache["marks"] = fact.year_marks(
+                    self.stg_department(), self.store_dim(), self.stg_fact(), self.date_dim()
+                )
+            return self._cache["marks"]
+
+    def fact_by_year(self, boundary: str = "closed") -> DataFrame:
+        """The fact partitioned by ``sale_year``; only years whose inputs changed are built."""
+        marks, name = self._marks(), f"gold.fact_by_year.{boundary}"
+        with self._lock_for(name):
+            if name not in self._cache:
+                self._cache[name] = fact.refresh_by_year(
+                    self.ws, f"{self.year_home}/gold/fact_{boundary}", self.stg_department(), self.store_dim(),
+                    self.stg_fact(), self.date_dim(), boundary, self.built_at, marks,
+                )
+            return self._cache[name]
+
+    def _summary_by_year(self, name: str, boundary: str, summed) -> DataFrame:
+        """A summary partitioned by ``sale_year``: a year is summed again where its part of the fact was built again."""
+        marks, key = self._marks(), f"gold.{name}_by_year.{boundary}"
+        rows = self.fact_by_year(boundary)
+
+        def build(years: list[int]) -> DataFrame:
+            part = rows.where(F.col("sale_year").isin(years)).drop("sale_year")
+            return summed(part).withColumn("sale_year", F.year("store_date"))
+
+        with self._lock_for(key):
+            if key not in self._cache:
+                self._cache[key] = by_year.refresh(self.ws, f"{self.year_home}/gold/{name}_{boundary}", marks, build)
+            return self._cache[key]
+
+    def sales_daily_by_year(self, boundary: str = "closed") -> DataFrame:
+        return self._summary_by_year("sales_daily", boundary, lambda rows: summaries.sales_daily(rows, self.date_dim()))
+
+    def sales_versioned_by_year(self, boundary: str = "closed") -> DataFrame:
+        return self._summary_by_year(
+            "sales_versioned", boundary,
+            lambda rows: summaries.sales_versioned(rows, self.date_dim(), self.store_dim(), boundary),
+        )
+
+    @property
+    def year_home(self) -> str:
+        return f"{self.base}/by_year"
+
+    @property
+    def built_at(self) -> str:
+        return fixtures.BUILD_AT
+
     def years(self) -> tuple[int, ...]:
         """Calendar years of the date dimension: what pivots name their columns by."""
         with self._lock_for("years"):
@@ -211,17 +351,31 @@ class Mart:
 
     def dropped_sales(self, boundary: str = "closed") -> DataFrame:
         return quality.dropped_sales(
-            self.bronze("department"), self.stg_department(), self.store_dim(), self.stg_fact(), self.date_dim(), boundary
+            self.bronze("department"), self.store_dim(), self.stg_fact(), self.date_dim(), boundary
         )
 
+    def _table_counts(self) -> dict[str, DataFrame | int]:
+        sales, fact_raw, stores = (self.bronze(n) for n in ("department", "fact", "stores"))
+        dim = self.store_dim()
+        return {
+            "department_raw": self._count("bronze.department", sales),
+            "fact_raw": self._count("bronze.fact", fact_raw),
+            "stores_raw": self._count("bronze.stores", stores),
+            "stg_department": self._count("bronze.department", self.stg_department(), "with_amount"),
+            "stg_fact": self._count("bronze.fact", self.stg_fact()),
+            "stg_stores": self._count("bronze.stores", self.stg_stores()),
+            "date_dim": self._count("gold.date_dim", self.date_dim()),
+            "store_dim": self._count("gold.store_dim", dim),
+            "store_dim_live": self._count("gold.store_dim", dims.current_versions(dim), "live"),
+            "fact": self._count("gold.fact.closed", self.fact()),
+        }
+
     def row_counts(self, expected: dict[str, int] | None = None) -> DataFrame:
-        return quality.row_counts({
-            "department_raw": self.bronze("department"), "fact_raw": self.bronze("fact"),
-            "stores_raw": self.bronze("stores"), "stores_raw_v0": self.bronze("stores_v0"),
-            "stg_department": self.stg_department(), "stg_fact": self.stg_fact(),
-            "stg_stores": self.stg_stores(), "date_dim": self.date_dim(), "store_dim": self.store_dim(),
-            "store_dim_live": dims.current_versions(self.store_dim()), "fact": self.fact(),
-        }, expected)
+        """Rows of every layer, as counted when it was written."""
+        first = self.bronze("stores_v0")
+        return quality.row_counts(
+            self._table_counts() | {"stores_raw_v0": self._count("bronze.stores_v0", first)}, expected
+        )
 
     def bronze_incremental(self, name: str = "department") -> DataFrame:
         """Bronze table kept by incremental loads that replace the rows of a file
@@ -247,10 +401,7 @@ class Mart:
     def gold(self, boundary: str = "closed") -> Gold:
         if boundary == "closed":
             self.build()
-        return Gold(
-            self.fact(boundary), self.date_dim(), self.store_dim(),
-            self.sales_daily(boundary), self.sales_versioned(boundary), self.years(),
-        )
+        return Gold(self, boundary)
 
     def build(self) -> None:
         """Write every layer once (idempotent); independent tables build together."""
@@ -285,9 +436,10 @@ class CsvMart(Mart):
     history: each new landing content applies one SCD1 upsert to the date
     dimension (ids stay) and one snapshot run to the store dimension at
     ``as_of`` (the first run backdated to ``initial_valid_from``), recorded by a
-    marker so a rerun does not apply it twice. The fact is kept by sale year:
-    only years whose sales, store weeks, dates or store versions changed are
-    built again.
+    marker so a rerun does not apply it twice. The store dimension is kept in key
+    buckets, of which a run joins and writes those whose stores changed. The fact
+    and the summaries are kept by sale year: only years whose sales, store weeks,
+    dates or store versions changed are built again, all in one job.
     """
 
     def __init__(self, spark: SparkSession, landing: str, workspace: Workspace | None = None,
@@ -303,7 +455,7 @@ class CsvMart(Mart):
         home = self.ws.path("weekly_mart", "csv", hashlib.sha1(self.sf_dir.encode()).hexdigest()[:12])
         self.run_id = self.ws.fingerprint(*[f"{self.sf_dir}/{t}" for t in ("stores", "fact", "department")])
         self.home, self.base = home, f"{home}/runs/{self.run_id}"
-        self._cache, self._lock, self._locks = {}, threading.Lock(), {}
+        self._cache, self._targets, self._lock, self._locks = {}, {}, threading.Lock(), {}
 
     @property
     def landing(self) -> str:
@@ -312,10 +464,11 @@ class CsvMart(Mart):
     def bronze(self, name: str) -> DataFrame:
         target = f"{self.base}/bronze/{name}_raw"
         return checked_load(
-            self.spark, name, f"{self.landing}/{name}/", lambda rows: self._keep(f"bronze.{name}", target, lambda: rows)
+            self.spark, name, f"{self.landing}/{name}/",
+            lambda rows: self._keep(f"bronze.{name}", target, lambda: rows, self._bronze_counts(name)),
         )
 
-    def _run_once(self, name: str, apply) -> DataFrame:
+    def _run_once(self, name: str, apply, read=None) -> DataFrame:
         """Apply this landing content to the dimension ``name`` once, then read it."""
         target, marker = f"{self.home}/gold/{name}", f"{self.home}/gold/{name}_runs/{self.run_id}"
         with self._lock_for(f"gold.{name}"):
@@ -323,7 +476,7 @@ class CsvMart(Mart):
                 if not self.ws.is_complete(marker):
                     apply(target)
                     self.ws.write(self.spark.range(1).select(F.lit(self.as_of).alias("as_of")), marker)
-                self._cache[f"gold.{name}"] = self.ws.read(target)
+                self._cache[f"gold.{name}"] = (read or self.ws.read)(target)
             return self._cache[f"gold.{name}"]
 
     def date_dim(self) -> DataFrame:
@@ -339,34 +492,41 @@ class CsvMart(Mart):
     def store_dim(self) -> DataFrame:
         return self._run_once(
             "store_dim",
-            lambda target: dims.run_snapshot(
+            lambda target: refresh_snapshot(
                 self.ws, target, self.store_dim_source(1), STORE_DIM_KEYS, STORE_DIM_CHECK,
-                as_of=self.as_of, initial_valid_from=self.initial_valid_from,
+                as_of=self.as_of, run=self.run_id, initial_valid_from=self.initial_valid_from,
             ),
+            lambda target: read_snapshot(self.ws, target),
         )
 
+    @property
+    def year_home(self) -> str:
+        return self.home
+
+    @property
+    def built_at(self) -> str:
+        return self.as_of
+
+    @cached_property
+    def input_key(self) -> str:
+        return self.run_id
+
+    def landing_files(self, name: str) -> str:
+        return f"{self.landing}/{name}"
+
     def fact(self, boundary: str = "closed") -> DataFrame:
-        name = f"gold.fact.{boundary}"
-        with self._lock_for(name):
-            if name not in self._cache:
-                self._cache[name] = fact.refresh_by_year(
-                    self.ws, f"{self.home}/gold/fact_{boundary}", self.stg_department(), self.store_dim(),
-                    self.stg_fact(), self.date_dim(), boundary, self.as_of,
-                )
-            return self._cache[name].select(*fact.FACT_COLUMNS)
+        return self.fact_by_year(boundary).select(*fact.FACT_COLUMNS)
 
-    def fact_by_year(self, boundary: str = "closed") -> DataFrame:
-        """The fact with its partition column ``sale_year``."""
-        self.fact(boundary)
-        return self._cache[f"gold.fact.{boundary}"]
+    def sales_daily(self, boundary: str = "closed") -> DataFrame:
+        return self.sales_daily_by_year(boundary)
+
+    def sales_versioned(self, boundary: str = "closed") -> DataFrame:
+        return self.sales_versioned_by_year(boundary)
 
     def row_counts(self, expected: dict[str, int] | None = None) -> DataFrame:
-        return quality.row_counts({
-            "department_raw": self.bronze("department"), "fact_raw": self.bronze("fact"),
-            "stores_raw": self.bronze("stores"), "stg_department": self.stg_department(),
-            "stg_fact": self.stg_fact(), "stg_stores": self.stg_stores(), "date_dim": self.date_dim(),
-            "store_dim": self.store_dim(), "fact": self.fact(),
-        }, expected)
+        counts = self._table_counts()
+        counts.pop("store_dim_live")
+        return quality.row_counts(counts, expected)
 
     def build(self) -> None:
         if "built" in self._cache:

@@ -104,6 +104,27 @@ register(
     " FROM (SELECT store_date, max(is_holiday) AS is_holiday FROM stg_fact GROUP BY 1) x",
 )(lambda m: m.date_dim_scd1())
 register("fact_closed", "SELECT * FROM fact_closed")(lambda m: m.fact("closed"))
+register("fact_bucketed", "SELECT * FROM fact_closed")(lambda m: m.fact_bucketed())
+register("fact_pit_binned", "SELECT * FROM fact_closed")(lambda m: m.fact_binned())
+register(
+    "fact_by_year",
+    "SELECT f.*, CAST(year(d.store_date) AS INTEGER) AS sale_year FROM fact_closed f JOIN date_dim d ON f.date_id = d.date_id",
+)(lambda m: m.fact_by_year())
+# The summaries, grouped in the twins by the fact's own rows.
+register(
+    "sales_daily_by_year",
+    "SELECT f.store_id, d.store_date, d.is_holiday, f.cpi, CAST(SUM(f.store_weekly_sales) AS DECIMAL(38,2)) AS weekly_sales,"
+    f" {FUEL}, {MDS}, CAST(YEAR(d.store_date) AS INTEGER) AS sale_year FROM {FD} GROUP BY 1, 2, 3, 4",
+)(lambda m: m.sales_daily_by_year())
+VERSIONED = (
+    "SELECT s.store_id, s.store_type, s.store_size, d.store_date, {bucket}, CAST(SUM(f.store_weekly_sales) AS DECIMAL(38,2))"
+    " AS weekly_sales{more} FROM {src} GROUP BY 1, 2, 3, 4, 5, 6"
+)
+register(
+    "sales_versioned_by_year",
+    VERSIONED.format(bucket=BUCKET, more=", CAST(YEAR(d.store_date) AS INTEGER) AS sale_year", src=FDS),
+)(lambda m: m.sales_versioned_by_year())
+register("sales_versioned_bucketed", VERSIONED.format(bucket=BUCKET, more="", src=FDS))(lambda m: m.sales_versioned_bucketed())
 register("fact_half_open", "SELECT * FROM fact_half")(lambda m: m.fact("half_open"))
 register(
     "r3_half_open",

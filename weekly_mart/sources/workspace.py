@@ -12,13 +12,15 @@ and a DataFrame opened earlier goes on reading its own version.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import time
 import uuid
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def _code_version() -> str:
@@ -37,6 +39,8 @@ CODE_VERSION = _code_version()
 #: Replaced versions stay this long for readers that opened them earlier.
 KEEP_SECONDS = 7 * 24 * 3600
 _VERSION = re.compile(r"v-(\d{8})-[0-9a-f]{8}")
+#: Kept with a version: counts taken while it was written; beside the versions: notes on each.
+_COUNTS, _NOTES = "_counts.json", "_notes"
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -68,6 +72,31 @@ class Workspace:
         if fs.exists(jpath):
             fs.delete(jpath, True)
 
+    def children(self, path: str) -> list[str]:
+        """Names of the folders in a folder."""
+        fs, jpath = self._fs(path)
+        if not fs.exists(jpath):
+            return []
+        return sorted(st.getPath().getName() for st in fs.listStatus(jpath) if st.isDirectory())
+
+    def put_text(self, path: str, text: str) -> None:
+        fs, jpath = self._fs(path)
+        out = fs.create(jpath, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+
+    def get_text(self, path: str) -> str:
+        fs, jpath = self._fs(path)
+        stream = fs.open(jpath)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def mark(self, path: str) -> None:
+        """An empty file that says something is finished."""
+        self.put_text(path, "")
+
     def make_folder(self, path: str) -> None:
         fs, jpath = self._fs(path)
         fs.mkdirs(jpath)
@@ -119,18 +148,45 @@ class Workspace:
             raise FileNotFoundError(f"no complete version of {target}")
         return self.spark.read.parquet(path)
 
+    def counted(self, target: str) -> dict[str, int] | None:
+        """The counts kept with the newest complete version, if it has any."""
+        path = self.current(target)
+        if path is None or not self.exists(f"{path}/{_COUNTS}"):
+            return None
+        return json.loads(self.get_text(f"{path}/{_COUNTS}"))
+
+    def note(self, path: str) -> str:
+        target, version = path.rsplit("/", 1)
+        return self.get_text(f"{target}/{_NOTES}/{version}")
+
     # -- writes ---------------------------------------------------------------
-    def write(self, df: DataFrame, target: str, fmt: str = "parquet", **options) -> str:
-        """Write a new version of ``target``; returns its folder."""
+    def write(self, df: DataFrame, target: str, fmt: str = "parquet", counts: dict[str, str] | None = None, **options) -> str:
+        """Write a new version of ``target``; returns its folder.
+
+        ``counts`` are named aggregates, as SQL, that are worked out while the rows are
+        written and kept with the version (`counted` reads them back)."""
         partition_by = options.pop("partition_by", None)
+        seen = Observation() if counts else None
+
+        def save(path: str) -> None:
+            rows = df.observe(seen, *[F.expr(c).alias(name) for name, c in counts.items()]) if counts else df
+            w = rows.write.format(fmt).mode("errorifexists").options(**options)
+            (w.partitionBy(*partition_by) if partition_by else w).save(path)
+
+        path = self.write_with(save, target)
+        if counts:
+            self.put_text(f"{path}/{_COUNTS}", json.dumps({name: seen.get[name] for name in counts}))
+        return path
+
+    def write_with(self, save: Callable[[str], None], target: str, note: str | None = None) -> str:
+        """A new version of ``target`` that ``save`` writes to the folder it is given; ``note`` is kept with it."""
         before = self._versions(target)
         number = 1 + max((int(_VERSION.search(path)[1]) for path, _, _ in before), default=0)
         path = f"{target}/v-{number:08d}-{uuid.uuid4().hex[:8]}"
-        w = df.write.format(fmt).mode("errorifexists").options(**options)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
         try:
-            w.save(path)
+            if note is not None:
+                self.put_text(f"{target}/{_NOTES}/{path.rsplit('/', 1)[1]}", note)
+            save(path)
         except Exception:
             self.delete(path)  # a failed job leaves no partial folder behind
             raise
@@ -143,9 +199,10 @@ class Workspace:
                 self.delete(path)
 
     def materialize(
-        self, target: str, build: Callable[[], DataFrame], fmt: str = "parquet", **options
+        self, target: str, build: Callable[[], DataFrame], fmt: str = "parquet",
+        counts: dict[str, str] | None = None, **options
     ) -> DataFrame:
         """Write ``build()`` to ``target`` unless a complete copy is there; read it back."""
         if not self.is_complete(target):
-            self.write(build(), target, fmt=fmt, **options)
+            self.write(build(), target, fmt=fmt, counts=counts, **options)
         return self.read(target) if fmt == "parquet" else None
