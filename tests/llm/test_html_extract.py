@@ -1,8 +1,11 @@
+from urllib.parse import urlsplit
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from weekly_mart.llm.html_blocks import ARTICLE, FURNITURE, OPEN, blocks
-from weekly_mart.llm.html_extract import boilerplate_blocks, extract_text, suffix_groups
+from weekly_mart.llm.html_extract import ARTICLE_SHARE, CONFIDENCE, OPEN_SHARE, extract_text, suffix_groups
 
 PAGE = (
     '<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var x="</p>";</script></head><body>'
@@ -47,31 +50,64 @@ def test_open_pages_lose_what_their_host_repeats(spark):
         assert got[9].startswith("home products") and got[9].endswith("of its host")
 
 
-def test_repeats_against_brute_force(spark):
-    rng = np.random.default_rng(3)
-    rows = [
-        (k, "h", "".join(f"<p>{' '.join(rng.choice(['a', 'b', 'c'], rng.integers(1, 14)))}</p>" for _ in range(4)))
-        for k in range(12)
-    ]
-    depth = 4
-    keyed = pages(spark, rows).select(F.col("page_id").alias("key"), F.col("url").alias("host"), "html")
-    got = {r["key"]: set(r["blocks"]) for r in boilerplate_blocks(keyed, run_words=depth, array_words=60).collect()}
+def brute(rows, depth):
+    """Text of each page: every run of every page looked for in all distinct pages of its host."""
+    hosts, found = {}, [blocks(h or "") for _, _, h in rows]
+    host_of = [(urlsplit(u or "").netloc or "").lower() for _, u, _ in rows]
+    for host, page in zip(host_of, found, strict=True):
+        if page:
+            hosts.setdefault(host, {})[repr(page)] = [t.split(" ") for _, t in page]
+
+    def runs(w):
+        return [(i, tuple(w[i : i + depth])) for i in range(max(1, len(w) - depth + 1))]
+
+    def reaches(k, n, share):
+        p, z2 = k / n, CONFIDENCE
+        return (p + z2 / (2 * n) - (z2 * (p * (1 - p) / n + z2 / (4 * n * n))) ** 0.5) / (1 + z2 / n) >= share - 1e-12
+
     seen = {}
-    split = {k: [t.split() for _, t in blocks(h)] for k, _, h in rows}
-    for k, found in split.items():
-        for w in found:
-            for i in range(max(1, len(w) - depth + 1)):
-                seen.setdefault((tuple(w[i : i + depth]), len(w) < depth), set()).add(k)
-    for k, found in split.items():
-        expected = set()
-        for b, w in enumerate(found):
-            covered = set()
-            for i in range(max(1, len(w) - depth + 1)):
-                if len(seen[(tuple(w[i : i + depth]), len(w) < depth)]) > 1:
-                    covered |= set(range(i, min(i + depth, len(w))))
-            if len(covered) >= 0.5 * len(w):
-                expected.add(b)
-        assert got.get(k, set()) == expected
+    for host, pages_of in hosts.items():
+        for name, page in pages_of.items():
+            for w in page:
+                for _, r in runs(w):
+                    seen.setdefault((host, r), set()).add(name)
+    out = []
+    for (page_id, _, _), host, page in zip(rows, host_of, found, strict=True):
+        kept = []
+        for where, t in page:
+            if where == FURNITURE:
+                continue
+            w = t.split(" ")
+            gone = set()
+            for i, r in runs(w):
+                if reaches(len(seen[host, r]), len(hosts[host]), ARTICLE_SHARE if where == ARTICLE else OPEN_SHARE):
+                    gone |= set(range(i, i + len(r)))
+            kept.append(" ".join(x for k, x in enumerate(w) if k not in gone))
+        out.append((page_id, "\n\n".join(t for t in kept if t)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("array_words", [50_000, 60])
+def test_pages_against_brute_force(spark, array_words):
+    rng = np.random.default_rng(3)
+    word = lambda n: " ".join(rng.choice(["a", "b", "c"], n))
+    notices = [word(6) for _ in range(6)]
+    rows = []
+    for k in range(60):
+        host = ["a", "b", "c", "d"][min(k % 7, 3)]
+        parts = [word(rng.integers(1, 12)) for _ in range(4)] + [n for j, n in enumerate(notices) if rng.random() < j / 5]
+        body = "".join(f"<p>{x}</p>" for x in parts)
+        rows.append((k, f"https://{host}.example/{k}", f"<div>{word(3)}</div>" + (f"<article>{body}</article>" if k % 2 else body)))
+    rows += [(100 + k, *rows[5][1:]) for k in range(9)] + [(200, "https://two.example/1", "<p>a b c d e</p>"), (201, "https://two.example/2", "<p>a b c d e</p><p>x</p>")]
+    got = extract_text(pages(spark, rows), run_words=4, array_words=array_words).collect()
+    assert sorted(((r["page_id"], r["text"]) for r in got), key=repr) == brute(rows, 4)
+
+
+def test_the_given_pages_against_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    rows = [(r["page_id"], r["url"], r["html"]) for r in docs.collect()]
+    got = extract_text(docs).collect()
+    assert sorted(((r["page_id"], r["text"]) for r in got), key=repr) == brute(rows, 8)
 
 
 def test_suffix_ranks():

@@ -16,19 +16,18 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekly_mart.llm.common import materialise
+from weekly_mart.llm.common import forget, materialise
 from weekly_mart.llm.html_blocks import ARTICLE, FURNITURE, OPEN, blocks
 from weekly_mart.llm.textscan import chunks, mix
 
 #: Words of the shortest repeated run that counts; a shorter block counts as a whole.
 RUN_WORDS = 8
-#: A run is boilerplate of open blocks where this share of the host's distinct pages has it, and so many at least.
-PAGE_SHARE, LEAST_PAGES = 0.5, 3
-#: The same in articles.
-ARTICLE_SHARE, ARTICLE_PAGES = 0.9, 10
+#: A run is boilerplate where the lower confidence bound of the share of the host's distinct pages
+#: that have it reaches this: in open blocks, and in articles. `CONFIDENCE` is the square of the bound's z.
+OPEN_SHARE, ARTICLE_SHARE, CONFIDENCE = 0.48, 0.81, 2.2
 #: Words of one suffix array, on average; larger hosts are dealt over several.
 ARRAY_WORDS = 50_000
 
@@ -49,41 +48,23 @@ def suffix_groups(stream: np.ndarray, depth: int) -> np.ndarray:
     return rank
 
 
-def _digest(items: list) -> int:
-    return int.from_bytes(blake2b(repr(items).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+def _digest(items: list) -> str:
+    return blake2b(repr(items).encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
 
 
-def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every page: key, host, digest of its blocks, and its words in streams."""
-    for batch in batches:
-        keys, hosts, pages = batch.columns
-        found = [blocks(page or "") for page in pages.to_pylist()]
-        words = [sum(text.count(" ") + 1 for _, text in page) for page in found]
-        yield pa.RecordBatch.from_arrays(
-            [keys, hosts, pa.array(map(_digest, found), pa.int64()), pa.array(words, pa.int64())],
-            names=["key", "host", "content", "words"],
-        )
-
+_BLOCKS = pa.list_(pa.struct([("place", pa.int32()), ("text", pa.string())]))
 
-def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The stream of every page: host, arrays of the host, the one it goes to, page class, and a line for each block.
 
-    A task hands on one page of a class, so that copies do not pile up in an array.
-    """
-    seen = set()
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every page: id, url, host, digest of its blocks, its words, and the blocks."""
     for batch in batches:
-        rows = []
-        for host, parts, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            found = blocks(page or "")
-            content = _digest(found)
-            if found and (host, content) not in seen:
-                seen.add((host, content))
-                rows.append((host, parts, content % parts, content, "\n".join(text for _, text in found)))
-        columns = list(zip(*rows, strict=True)) or [[], [], [], [], []]
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+        ids, urls, hosts, pages = batch.columns
+        found = [blocks(page or "") for page in pages.to_pylist()]
+        words = [sum(text.count(" ") + 1 for _, text in page) for page in found]
+        listed = [[{"place": where, "text": text} for where, text in page] for page in found]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-            names=["host", "parts", "part", "content", "text"],
+            [ids, urls, hosts, pa.array(map(_digest, found), pa.string()), pa.array(words, pa.int64()), pa.array(listed, _BLOCKS)],
+            names=["_id", "_url", "host", "content", "words", "blocks"],
         )
 
 
@@ -110,14 +91,13 @@ def _run_digests(own: np.ndarray, lengths: np.ndarray, depth: int) -> tuple[np.n
     return text[first], inside[first], size, digest
 
 
-def _candidates(depth: int, share: float, least: int):
+def _candidates(depth: int, share: float):
     def run(cell: pa.Table) -> pa.Table:
         """Runs that at least the share of the cell's pages have, by the cell's suffix array."""
-        host, alone = cell["host"][0].as_py(), cell["parts"][0].as_py() == 1
-        pages = dict(zip(cell["content"].to_pylist(), cell["text"].to_pylist(), strict=True))
-        if alone and len(pages) < least:
+        host = cell["host"][0].as_py()
+        texts = [page for page in cell["texts"].to_pylist() if page]
+        if not texts:
             return pa.table({"host": pa.array([], pa.string()), "digest": pa.array([], pa.int64())})
-        texts = [page.split("\n") for page in pages.values()]
         content = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
         own, lengths = _words(pa.array([block for t in texts for block in t], pa.string()))
         # each block ends in tokens of its own, so no run crosses it
@@ -142,104 +122,96 @@ def _candidates(depth: int, share: float, least: int):
 
 def _places(depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Where the streams of a page have candidate runs of its host."""
+        """Where the blocks of a page have candidate runs of its host."""
         for batch in batches:
-            hosts, pages, known = batch.columns
-            for k, page in enumerate(pages.to_pylist()):
-                found = blocks(page or "")
-                if not found:
+            hosts, contents, pages, known = batch.columns
+            for k, found in enumerate(pages.to_pylist()):
+                own, lengths = _words(pa.array([b["text"] for b in found], pa.string()))
+                if not len(own):
                     continue
-                own, lengths = _words(pa.array([t for _, t in found], pa.string()))
                 text, inside, size, digest = _run_digests(own, lengths, depth)
                 hit = np.isin(digest.view(np.int64), known[k].values.to_numpy())
                 text, n = text[hit], int(hit.sum())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([hosts[k].as_py()] * n, pa.string()), pa.array([_digest(found)] * n, pa.int64()),
-                        pa.array(digest[hit].view(np.int64)), pa.array(np.array([w for w, _ in found], np.int32)[text]),
-                        pa.array(text.astype(np.int32)), pa.array(lengths[text]),
-                        pa.array(inside[hit]), pa.array(size[hit]),
+                        pa.array([hosts[k].as_py()] * n, pa.string()), pa.array([contents[k].as_py()] * n, pa.string()),
+                        pa.array(digest[hit].view(np.int64)), pa.array(np.array([b["place"] for b in found], np.int32)[text]),
+                        pa.array(text.astype(np.int32)), pa.array(inside[hit]), pa.array(size[hit]),
                     ],
-                    names=["host", "content", "digest", "place", "block", "words", "start", "size"],
+                    names=["host", "content", "digest", "place", "block", "start", "size"],
                 )
 
     return run
 
 
+def _reaches(n: Column, pages: Column, share: float) -> Column:
+    """Whether the lower confidence bound (Wilson) of n of the pages is ``share`` or more."""
+    p, z2 = n / pages, F.lit(CONFIDENCE)
+    spread = F.sqrt(z2 * (p * (1 - p) / pages + z2 / (4 * pages * pages)))
+    return (p + z2 / (2 * pages) - spread) / (1 + z2 / pages) >= share - 1e-12
+
+
 def boilerplate_runs(
-    pages: DataFrame, *, run_words: int = RUN_WORDS, array_words: int = ARRAY_WORDS,
-    share: float = PAGE_SHARE, least: int = LEAST_PAGES,
+    parsed: DataFrame, *, run_words: int = RUN_WORDS, array_words: int = ARRAY_WORDS,
 ) -> DataFrame:
-    """(key, runs): places outside furniture of each page of the runs that its host repeats.
-
-    ``pages`` has key, host and html. A run is repeated in open blocks when
-    ``share`` of the host's distinct pages have it, and ``least`` of them; in
-    articles by `ARTICLE_SHARE` and `ARTICLE_PAGES`. Pages with equal blocks are
-    one. A host of any size is dealt over as many suffix arrays as it needs.
-    What has the share in the host has it in at least one of these, so each hands
-    on the runs that have it there; these candidates are then counted in all
-    pages of the host.
+    """(host, content, runs): places outside furniture of the runs that a host repeats, for each distinct page.
+
+    ``parsed`` (a written table) has host, content, words and blocks. A run is
+    repeated where the share of the host's distinct pages that have it is surely
+    `OPEN_SHARE` or more, in articles `ARTICLE_SHARE`: one rule for hosts of any
+    size, by the lower confidence bound of the share, which few pages hardly
+    move. Pages with equal blocks are one. A host of any size is dealt over as
+    many suffix arrays as it needs. What has the share in the host has it in at
+    least one of these, so each hands on the runs that have it there; these
+    candidates are then counted in all pages of the host.
     """
-    classes = materialise(
-        pages.select("key", "host", "html").mapInArrow(_classes, "key long, host string, content long, words long"),
+    # one page of each class; copies are combined before the shuffle
+    distinct = materialise(
+        parsed.where("words > 0").groupBy("host", "content")
+        .agg(F.max("words").alias("words"), F.first("blocks").alias("blocks")),
         "page-classes",
     )
-    distinct = classes.groupBy("host", "content").agg(F.max("words").alias("words"))
     hosts = materialise(
-        distinct.groupBy("host").agg(F.count(F.lit(1)).alias("pages"), F.sum("words").alias("all_words"))
-        .where((F.col("pages") >= least) & (F.col("all_words") > 0)),
-        "page-hosts",
+        distinct.groupBy("host").agg(F.count(F.lit(1)).alias("pages"), F.sum("words").alias("all_words")), "page-hosts"
+    )
+    # hosts of more than one array, in a table of their own, so that its size decides how it is joined
+    large = materialise(
+        hosts.select(F.col("host").alias("_host"), F.ceil(F.col("all_words") / array_words).cast("long").alias("parts"))
+        .where("parts > 1"),
+        "page-large-hosts",
     )
-    # hosts of more than one array: as few as there are arrays, whatever the number of hosts
-    parts = F.ceil(F.col("all_words") / array_words).cast("long")
-    large = hosts.select("host", parts.alias("parts")).where("parts > 1")
     candidates = materialise(
-        pages.select("host", "html").join(F.broadcast(large), "host", "left")
-        .select("host", F.coalesce("parts", F.lit(1).cast("long")).alias("parts"), "html")
-        .mapInArrow(_streams, "host string, parts long, part long, content long, text string")
+        distinct.join(large, F.col("host") == F.col("_host"), "left")
+        .select(
+            "host", F.pmod(F.xxhash64("content"), F.coalesce("parts", F.lit(1).cast("long"))).alias("part"),
+            F.transform("blocks", lambda b: b.text).alias("texts"),
+        )
         .groupBy("host", "part")
-        .applyInArrow(_candidates(run_words, share, least), "host string, digest long")
+        .applyInArrow(_candidates(run_words, OPEN_SHARE), "host string, digest long")
         .groupBy("host").agg(F.collect_set("digest").alias("known")),
         "page-candidates",
     )
     places = materialise(
-        pages.select("host", "html").join(candidates, "host").select("host", "html", "known").mapInArrow(
+        distinct.join(candidates, "host").select("host", "content", "blocks", "known").mapInArrow(
             _places(run_words),
-            "host string, content long, digest long, place int, block int, words long, start long, size long",
+            "host string, content string, digest long, place int, block int, start long, size long",
         ),
         "page-runs",
     )
+    n, pages = F.col("n"), F.col("pages")
     repeated = (
         places.groupBy("host", "digest").agg(F.countDistinct("content").alias("n"))
-        .join(hosts, "host").where((F.col("n") >= least) & (F.col("n") >= F.col("pages") * share))
-        .select(
-            "host", "digest",
-            ((F.col("n") >= ARTICLE_PAGES) & (F.col("n") >= F.col("pages") * ARTICLE_SHARE)).alias("everywhere"),
-        )
+        .join(hosts, "host").where(_reaches(n, pages, OPEN_SHARE))
+        .select("host", "digest", _reaches(n, pages, ARTICLE_SHARE).alias("everywhere"))
     )
     runs = materialise(
         places.where(F.col("place") != FURNITURE).join(repeated, ["host", "digest"])
         .where((F.col("place") == OPEN) | F.col("everywhere"))
-        .groupBy("host", "content").agg(F.collect_set(F.struct("block", "words", "start", "size")).alias("runs")),
+        .groupBy("host", "content").agg(F.collect_set(F.struct("block", "start", "size")).alias("runs")),
         "page-repeats",
     )
-    return classes.select("key", "host", "content").distinct().join(runs, ["host", "content"]).select("key", "runs")
-
-
-def boilerplate_blocks(
-    pages: DataFrame, *, run_words: int = RUN_WORDS, covered: float = 0.5, array_words: int = ARRAY_WORDS
-) -> DataFrame:
-    """(key, blocks): numbers of the open blocks of each page of which runs of two distinct pages cover a share."""
-    runs = boilerplate_runs(pages, run_words=run_words, array_words=array_words, share=0.0, least=2)
-    words = runs.select("key", F.explode("runs").alias("run")).select(
-        "key", "run.block", "run.words",
-        F.explode(F.sequence(F.col("run.start"), F.col("run.start") + F.col("run.size") - 1)).alias("word"),
-    ).distinct()
-    return (
-        words.groupBy("key", "block", "words").agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= F.col("words") * covered)
-        .groupBy("key").agg(F.collect_set("block").alias("blocks"))
-    )
+    forget(distinct, hosts, large, candidates, places)
+    return runs
 
 
 def _left(text: str, runs: list[dict]) -> str:
@@ -254,12 +226,14 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, urls, pages, repeats = batch.columns
         texts = []
-        for page, runs in zip(pages.to_pylist(), repeats.to_pylist(), strict=True):
-            found = blocks(page or "")
+        for found, runs in zip(pages.to_pylist(), repeats.to_pylist(), strict=True):
             gone: dict[int, list] = {}
             for run in runs or []:
                 gone.setdefault(run["block"], []).append(run)
-            kept = [_left(t, gone[k]) if k in gone else t for k, (where, t) in enumerate(found) if where != FURNITURE]
+            kept = [
+                _left(b["text"], gone[k]) if k in gone else b["text"]
+                for k, b in enumerate(found) if b["place"] != FURNITURE
+            ]
             texts.append("\n\n".join(t for t in kept if t))
         yield pa.RecordBatch.from_arrays([ids, urls, pa.array(texts, pa.string())], names=["_id", "_url", "text"])
 
@@ -270,30 +244,36 @@ def extract_text(
 ) -> DataFrame:
     """Per row: id, url, ``text`` and ``n_chars`` (code points).
 
-    A page gives its blocks outside furniture: those of an article (an article or
-    main element) without the runs that nine tenths of its host's distinct pages
-    have, and ten at least; open ones, beside an article or without any, without
-    the runs that half of these pages have, and three at least. Blocks are joined by two newlines. Null and empty pages give an empty text;
+    A page gives its blocks outside furniture, without the runs of words that
+    its host repeats (`boilerplate_runs`): in blocks of an article (an article or
+    main element) those that nearly all distinct pages of the host have, in open
+    blocks, beside an article or without any, those that half of them have.
+    Blocks are joined by two newlines. Null and empty pages give an empty text;
     a null url is a host of its own. Pages with equal blocks give equal texts
     and count as one page. An empty table gives an empty result. Only the three
     named columns are read.
+
+    Scale: pages are parsed once and their blocks written; no html is shuffled.
     """
+    url = F.col(url_col).cast("string")
     narrow = pages.select(
-        F.col(id_col).alias("_id"),
-        F.col(url_col).cast("string").alias("_url"),
-        F.xxhash64(F.col(id_col).cast("string"), url_col, html_col).alias("key"),
+        F.col(id_col).alias("_id"), url.alias("_url"),
+        F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][^:/]*://([^/?#]*)", 1)).alias("host"),
         F.col(html_col).cast("string").alias("html"),
     )
-    host = F.lower(F.regexp_extract(F.coalesce("_url", F.lit("")), r"^[A-Za-z][^:/]*://([^/?#]*)", 1))
-    repeats = materialise(
-        boilerplate_runs(
-            narrow.select("key", host.alias("host"), "html"), run_words=run_words, array_words=array_words
+    kind = narrow.schema["_id"].dataType.simpleString()
+    parsed = materialise(
+        narrow.mapInArrow(
+            _parsed,
+            f"_id {kind}, _url string, host string, content string, words long, blocks array<struct<place:int,text:string>>",
         ),
-        "boilerplate",
+        "page-blocks",
     )
-    kind = narrow.schema["_id"].dataType.simpleString()
-    texts = narrow.join(repeats, "key", "left").select("_id", "_url", "html", "runs").mapInArrow(
-        _texts, f"_id {kind}, _url string, text string"
+    repeats = boilerplate_runs(parsed, run_words=run_words, array_words=array_words)
+    repeats = repeats.select(F.col("host").alias("_host"), F.col("content").alias("_content"), "runs")
+    texts = (
+        parsed.join(repeats, (F.col("host") == F.col("_host")) & (F.col("content") == F.col("_content")), "left")
+        .select("_id", "_url", "blocks", "runs").mapInArrow(_texts, f"_id {kind}, _url string, text string")
     )
     return texts.select(
         F.col("_id").alias(id_col), F.col("_url").alias(url_col), "text",
