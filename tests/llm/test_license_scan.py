@@ -2,7 +2,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from weekly_mart.llm.license_rules import GATES, rules
+from weekly_mart.llm.license_rules import GATES, _notices, rules
 from weekly_mart.llm.license_scan import BASE, scan_licenses
 
 UP, LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -133,3 +133,23 @@ def test_many_hits_in_one_text(spark):
     assert sorted((d["first_word"], d["last_word"], d["label"]) for d in r["found"]) == sorted(
         [(7 * k, 7 * k + 1, "mit") for k in range(n)] + [(7 * k + 4, 7 * k + 5, "apache") for k in range(n)]
     )
+
+
+def test_each_notice_is_found_whole_and_not_with_a_word_changed(make_docs):
+    notices = _notices()
+    assert len(notices) > 100
+    texts, wanted = [], []
+    for r in notices:
+        for text in sentences(r.pattern)[:4]:
+            words = text.split(" ")
+            near = [*words[: len(words) // 2], "otherword", *words[len(words) // 2 + 1 :]]
+            texts += [f"Before, {text.capitalize()}; after.", " ".join(near)]
+            wanted += [(r, text, True), (r, " ".join(near), False)]
+    numbered = {rule: k for k, rule in enumerate(rules())}
+    got = {r["doc_id"]: r for r in scan_licenses(make_docs(list(enumerate(texts)), parts=8)).collect()}
+    for k, (rule, text, whole) in enumerate(wanted):
+        found = {d["rule"] for d in got[k]["found"]}
+        if not whole:
+            assert numbered[rule] not in found, text
+        elif numbered[rule] not in found:  # only a longer notice may stand over it
+            assert any(d["first_word"] <= 1 and d["last_word"] >= len(text.split()) for d in got[k]["found"]), text

@@ -15,9 +15,16 @@ SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: ``spark.checkpoint.dir``, or a
-    folder of the warehouse where that is unset (local tests)."""
+    folder of the warehouse where that is unset. A warehouse on machine-local
+    disks will do for local runs only; on a cluster it raises."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    return (root or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoint").rstrip("/")
+    if root:
+        return root.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    local = warehouse.startswith(("file:", "/"))
+    if local and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return warehouse.rstrip("/") + "/_checkpoint"
 
 
 _folders: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
