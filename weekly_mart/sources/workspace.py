@@ -44,8 +44,14 @@ _COUNTS, _NOTES = "_counts.json", "_notes"
 
 
 def checkpoint_root(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``, or else a folder of the warehouse, which on a cluster must not be machine-local."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (root or spark.conf.get("spark.sql.warehouse.dir") + "/_workspace").rstrip("/")
+    if root:
+        return root.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if warehouse.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return warehouse.rstrip("/") + "/_workspace"
 
 
 class Workspace:
