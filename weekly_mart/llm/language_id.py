@@ -26,6 +26,8 @@ ORDER = 3
 #: Expected number of distinct labelled texts a language is learned from (all, where it has fewer).
 SAMPLE_DOCS = 400
 UNDETERMINED = "und"
+#: Tasks that count the byte strings of the sample.
+COUNT_TASKS = 4
 
 _ASCII_LETTER = np.zeros(256, bool)
 _ASCII_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
@@ -182,8 +184,9 @@ def learn_languages(
     )
     # copies of a drawn text are combined before the shuffle
     drawn = rows.where(unit("_hash", seed=seed) < chance).groupBy("lang", "_hash").agg(F.first("_text").alias("_text")).drop("_hash")
+    # a bounded sample: few tasks count it, so that few partial counts are made
     counts = (
-        drawn.mapInArrow(_gram_counts, "lang string, size int, gram long, n long")
+        drawn.coalesce(COUNT_TASKS).mapInArrow(_gram_counts, "lang string, size int, gram long, n long")
         .groupBy("lang", "size", "gram")
         .agg(F.sum("n").alias("n"))
         .toArrow()
