@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from weekly_mart.functions import audit_ts
 from weekly_mart.operators import by_year
-from weekly_mart.operators.pit import binned_versions, pit_condition, same_bin
+from weekly_mart.operators.pit import binned, pit_condition, same_bin
 from weekly_mart.schemas import MARKDOWNS, STORE_DIM_CHECK, STORE_DIM_KEYS, VALID_FROM, VALID_TO
 
 FACT_COLUMNS = [
@@ -36,22 +36,22 @@ def build_fact(
     ``spark.sql.autoBroadcastJoinThreshold``; the others join by sort-merge on
     their keys, with AQE splitting hot keys. Only the columns the fact keeps are
     read. With ``bin_days`` the versions are spread over calendar bins, for keys
-    with very many versions (`pit.binned_versions`); else no job runs to build
+    with very many versions (`pit.binned`); else no job runs to build
     the plan.
     """
     ts = audit_ts(as_of)
-    sales = stg_department.select("store_id", "dept_id", "store_date", "weekly_sales").alias("sales")
+    sales = stg_department.select("store_id", "dept_id", "store_date", "weekly_sales")
     dates = date_dim.select("date_id", "store_date").alias("dates")
-    version = store_dim.select(*STORE_DIM_KEYS, VALID_FROM, VALID_TO).alias("version")
+    version = store_dim.select(*STORE_DIM_KEYS, VALID_FROM, VALID_TO)
     week = stg_fact.select(
         "store_id", "store_date", "fuel_price", "temperature", "unemployment", "cpi", *MARKDOWNS
     ).alias("week")
 
     live = pit_condition("sales", "version", STORE_DIM_KEYS, F.col("sales.store_date"), boundary)
     if bin_days:
-        spread = binned_versions(store_dim.select(*STORE_DIM_KEYS, VALID_FROM, VALID_TO), stg_department, "store_date", bin_days)
-        version, live = spread.alias("version"), live & same_bin("version", F.col("sales.store_date"), bin_days)
-    j = sales.join(version, live)
+        sales, version = binned(sales, version, "store_date", bin_days)
+        live = live & same_bin("sales", "version", F.col("sales.store_date"), bin_days)
+    j = sales.alias("sales").join(version.alias("version"), live)
     j = j.join(dates, F.col("sales.store_date") == F.col("dates.store_date"))
     j = j.join(
         week,
