@@ -26,7 +26,7 @@ def refresh(ws, target: str, marks: dict[int, str], build: Callable[[list[int]],
         mark_of = F.create_map(*[F.lit(x) for y in missing for x in (y, marks[y])])
         rows = build(missing).withColumn("build", F.element_at(mark_of, F.col("sale_year")))
         (
-            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
             .partitionBy("sale_year", "build").parquet(target)
         )
         for y in missing:
