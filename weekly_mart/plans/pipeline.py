@@ -35,6 +35,8 @@ LANDING_TABLES = {"department": "department", "fact": "fact", "stores": "stores"
 ROWS = {"rows": "count(1)"}
 WITH_AMOUNT = {"with_amount": "count(weekly_sales)"}
 LIVE = {"live": f"count_if({VALID_TO} IS NULL)"}
+#: Writer options of the large tables. The dimensions keep the default: their bytes decide what is broadcast.
+COMPACT = {"compression": "zstd"}
 #: Days of a calendar bin for point-in-time joins over many versions.
 BIN_DAYS = 28
 
@@ -76,6 +78,9 @@ def input_key(ws: Workspace, sf_dir: str) -> str:
 
 
 class Mart:
+    #: Landing tables that the star schema is built from.
+    BRONZE = tuple(LANDING_TABLES)
+
     def __init__(self, spark: SparkSession, sf_dir: str, workspace: Workspace | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
@@ -91,10 +96,10 @@ class Mart:
         with self._lock:
             return self._locks.setdefault(name, threading.Lock())
 
-    def _keep(self, name: str, target: str, build, counts: dict | None = None) -> DataFrame:
+    def _keep(self, name: str, target: str, build, counts: dict | None = None, **options) -> DataFrame:
         with self._lock_for(name):  # one writer per table; other tables build meanwhile
             if name not in self._cache:
-                self._cache[name] = self.ws.materialize(target, build, counts=counts)
+                self._cache[name] = self.ws.materialize(target, build, counts=counts, **options)
                 self._targets[name] = target
             return self._cache[name]
 
@@ -136,7 +141,7 @@ class Mart:
             f"bronze.{name}",
             f"{self.base}/bronze/{name}_raw",
             lambda: read_files(self.spark, LANDING_TABLES[name], self.landing_files(name)),
-            counts=self._bronze_counts(name),
+            counts=self._bronze_counts(name), **COMPACT,
         )
 
     @staticmethod
@@ -204,7 +209,7 @@ class Mart:
                 self.stg_department(), self.store_dim(), self.stg_fact(), self.date_dim(),
                 boundary=boundary, as_of=fixtures.BUILD_AT,
             ),
-            counts=ROWS,
+            counts=ROWS, **COMPACT,
         )
 
     # -- catalog tables ------------------------------------------------------
@@ -389,30 +394,35 @@ class Mart:
     def sales_daily(self, boundary: str = "closed") -> DataFrame:
         return self._keep(
             f"gold.sales_daily.{boundary}", f"{self.base}/gold/sales_daily_{boundary}",
-            lambda: summaries.sales_daily(self.fact(boundary), self.date_dim()),
+            lambda: summaries.sales_daily(self.fact(boundary), self.date_dim()), **COMPACT,
         )
 
     def sales_versioned(self, boundary: str = "closed") -> DataFrame:
         return self._keep(
             f"gold.sales_versioned.{boundary}", f"{self.base}/gold/sales_versioned_{boundary}",
-            lambda: summaries.sales_versioned(self.fact(boundary), self.date_dim(), self.store_dim(), boundary),
+            lambda: summaries.sales_versioned(self.fact(boundary), self.date_dim(), self.store_dim(), boundary), **COMPACT,
         )
 
     def gold(self, boundary: str = "closed") -> Gold:
+        """The star schema; a summary is summed when a report first reads it."""
         if boundary == "closed":
-            self.build()
+            self._build_star()
         return Gold(self, boundary)
 
-    def build(self) -> None:
-        """Write every layer once (idempotent); independent tables build together."""
-        if "built" in self._cache:
+    def _build_star(self) -> None:
+        """Write the layers up to the fact once; independent tables build together."""
+        if "star" in self._cache:
             return
         self.landing
-        self._together(*[lambda n=n: self.bronze(n) for n in LANDING_TABLES])
+        self._together(*[lambda n=n: self.bronze(n) for n in self.BRONZE])
         self._together(self.date_dim, self.store_dim)
         self.fact()
+        self._cache["star"] = None
+
+    def build(self) -> None:
+        """Write every layer once (idempotent), the summaries too."""
+        self._build_star()
         self._together(self.sales_daily, self.sales_versioned)
-        self._cache["built"] = None
 
 
 _MARTS: dict[tuple[str, str], Mart] = {}
@@ -442,6 +452,8 @@ class CsvMart(Mart):
     dates or store versions changed are built again, all in one job.
     """
 
+    BRONZE = ("department", "fact", "stores")
+
     def __init__(self, spark: SparkSession, landing: str, workspace: Workspace | None = None,
                  as_of: str | None = None, initial_valid_from: str = "1900-01-01 00:00:00"):
         import datetime as _dt
@@ -465,7 +477,7 @@ class CsvMart(Mart):
         target = f"{self.base}/bronze/{name}_raw"
         return checked_load(
             self.spark, name, f"{self.landing}/{name}/",
-            lambda rows: self._keep(f"bronze.{name}", target, lambda: rows, self._bronze_counts(name)),
+            lambda rows: self._keep(f"bronze.{name}", target, lambda: rows, self._bronze_counts(name), **COMPACT),
         )
 
     def _run_once(self, name: str, apply, read=None) -> DataFrame:
@@ -527,12 +539,3 @@ class CsvMart(Mart):
         counts = self._table_counts()
         counts.pop("store_dim_live")
         return quality.row_counts(counts, expected)
-
-    def build(self) -> None:
-        if "built" in self._cache:
-            return
-        self._together(*[lambda n=n: self.bronze(n) for n in ("department", "fact", "stores")])
-        self._together(self.date_dim, self.store_dim)
-        self.fact()
-        self._together(self.sales_daily, self.sales_versioned)
-        self._cache["built"] = None

@@ -41,8 +41,8 @@ class LoadError(ValueError):
 
 
 def write_csv(df: DataFrame, path: str, workspace=None) -> None:
-    """Write a landing folder of CSV files with a header, keeping text as is."""
-    opts = dict(header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
+    """Write a landing folder of CSV files with a header, keeping text as is; the files are compressed."""
+    opts = dict(header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false", compression="gzip")
     if workspace is not None:
         workspace.write(df, path, fmt="csv", **opts)
     else:
