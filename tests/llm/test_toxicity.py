@@ -145,3 +145,33 @@ def test_lexicon_and_isotonic_step_against_brute_force(spark):
     assert len(set(fitted.values())) > 1
     for r in steps:
         assert r["_step"] == pytest.approx(fitted[r["_margin"]], abs=1e-9)
+
+
+def test_labels_in_a_table_of_their_own_meet_ids_and_hashes_only(spark):
+    import contextlib
+    import io
+    from unittest import mock
+
+    from weekly_mart.llm import toxicity
+
+    texts = [("you stupid worthless idiot " if k % 3 == 0 else "a calm and friendly walk ") + f"number {k % 400}" for k in range(900)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)] + [(None, "x"), (901, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(850)] + [(901, 0), (5, 7)], "doc_id long, toxic int")
+    plans = []
+    write = toxicity.materialise
+
+    def seen(df, name):
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            df.explain()
+        plans.append((name, out.getvalue()))
+        return write(df, name)
+
+    with mock.patch.object(toxicity, "materialise", seen):
+        apart = toxicity.fit_toxicity(docs, labels=labels, trees=3)
+    joined = toxicity.fit_toxicity(docs.join(labels, "doc_id"), trees=3)
+    assert apart.learned == joined.learned
+    marks = dict(plans)["toxic-parts"]
+    assert "Join" in marks and not [x for x in marks.splitlines() if "Exchange" in x and "text" in x.split("plan_id")[0]]
+    scores = [{r.doc_id: r.score for r in toxicity.score_toxicity(docs, m).collect()} for m in (apart, joined)]
+    assert all(abs(scores[0][k] - scores[1][k]) < 1e-9 for k in scores[0])

@@ -79,8 +79,8 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    labelled = docs.where(_fold() != 1).select("doc_id", "text").join(labels.select("doc_id", "toxic"), "doc_id")
-    scored = score_toxicity(docs.select("doc_id", "text"), fit_toxicity(labelled))
+    model = fit_toxicity(docs.where(_fold() != 1), labels=labels)
+    scored = score_toxicity(docs.select("doc_id", "text"), model)
     return scored.select(
         "doc_id", F.coalesce(_fold() == 1, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),

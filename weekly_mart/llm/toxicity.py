@@ -22,7 +22,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekly_mart.llm.common import materialise, unit
+from weekly_mart.llm.common import forget, materialise, unit
 
 #: Written lexicon by kind; English first, common words of German, French and Spanish after it.
 LEXICON = {
@@ -174,33 +174,44 @@ class ToxicityModel:
 
 
 def fit_toxicity(
-    labelled: DataFrame, *, text_col: str = "text", label_col: str = "toxic", trees: int = 20, depth: int = 3,
-    seed: int = 8,
+    labelled: DataFrame, *, text_col: str = "text", label_col: str = "toxic", labels: DataFrame | None = None,
+    id_col: str = "doc_id", trees: int = 20, depth: int = 3, seed: int = 8,
 ) -> ToxicityModel:
     """Learns from labelled rows (label 0 or 1; other labels and nulls are left out).
 
+    The labels are a column of ``labelled``, or of the table ``labels``, which is
+    met on ``id_col``; in that case only ids and hashes of texts are joined.
+
     Bounded samples are drawn from the distinct labelled texts by their hash, so
     that a text falls into one part and counts once for each label it has,
     however many copies there are: a fifth calibrates and the rest trains the
-    trees; the learned lexicon comes from the training part.
+    trees; the learned lexicon comes from the training part. Only texts of the
+    samples are shuffled.
     """
-    rows = labelled.where(F.col(label_col).isin(0, 1)).select(
-        F.col(text_col).cast("string").alias("_text"), F.col(label_col).cast("int").alias("_toxic")
-    )
-    rows = rows.withColumn("_part", unit(F.coalesce("_text", F.lit("")), seed=seed))
-    distinct = rows.select("_part", "_toxic").distinct()
+    text = F.col(text_col).cast("string")
+    part = unit(F.coalesce(text, F.lit("")), seed=seed)
+    usable, label = F.col(label_col).isin(0, 1), F.col(label_col).cast("int").alias("_toxic")
+    if labels is None:
+        labelled = labelled.where(usable)
+        marked = labelled.select(part.alias("_part"), label)
+    else:
+        given = labels.where(usable).select(F.col(id_col).alias("_named"), label)
+        marked = labelled.select(F.col(id_col).alias("_id"), part.alias("_part")).join(given, F.col("_id") == F.col("_named"))
+    distinct = materialise(marked.select("_part", "_toxic").distinct(), "toxic-parts")
     n, toxic = distinct.agg(F.count(F.lit(1)), F.coalesce(F.avg("_toxic"), F.lit(0.0))).first()
     train_share = min(1.0, max(TRAIN_ROWS, LEXICON_ROWS) / max(1, 0.8 * n))
     calibration_share = min(1.0, CALIBRATION_ROWS / max(1, 0.2 * n))
-    once = lambda df: df.groupBy("_part", "_toxic").agg(F.first("_text").alias("_text"))
-    train = once(rows.where(F.col("_part") < 0.8 * train_share))
-    held = once(rows.where((F.col("_part") >= 0.8) & (F.col("_part") < 0.8 + 0.2 * calibration_share)))
     if toxic in (0.0, 1.0):
         return ToxicityModel(None, None, [], float(toxic))
-    learned = learn_lexicon(train, text_col="_text")
-    seen = materialise(
-        text_features(train.unionByName(held), learned, text_col="_text", keep=["_toxic", "_part"]), "toxic-train"
+    in_train = F.col("_part") < 0.8 * train_share
+    drawn = in_train | ((F.col("_part") >= 0.8) & (F.col("_part") < 0.8 + 0.2 * calibration_share))
+    texts = labelled.select(text.alias("_text"), part.alias("_part")).where(drawn)
+    sample = materialise(
+        distinct.where(drawn).join(texts.groupBy("_part").agg(F.first("_text").alias("_text")), "_part"), "toxic-sample"
     )
+    learned = learn_lexicon(sample.where(in_train), text_col="_text")
+    seen = materialise(text_features(sample, learned, text_col="_text", keep=["_toxic", "_part"]), "toxic-train")
+    forget(distinct, sample)
     vectors = VectorAssembler(inputCols=NAMES, outputCol="_features").transform(seen)
     model = GBTClassifier(
         featuresCol="_features", labelCol="_toxic", predictionCol="_class", maxIter=trees, maxDepth=depth, stepSize=0.2, seed=seed,
