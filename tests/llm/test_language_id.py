@@ -83,3 +83,32 @@ def test_nothing_to_learn_from(make_docs):
     model = learn_languages(make_docs([(1, "text", None, None), (2, None, "en", None)]))
     assert isinstance(model, LanguageModel) and model.langs == []
     assert identify_language(make_docs([(1, "some words")]), model).first()["lang_pred"] == "und"
+
+
+def test_trees_are_compiled_in_little_more_than_their_own_size():
+    import tracemalloc
+
+    import numpy as np
+
+    from weekly_mart.llm.language_id import LanguageModel
+
+    rng = np.random.default_rng(5)
+    data = rng.choice(np.arange(97, 121), 60_000).astype(np.int64)
+    gram, size, count = [], [], []
+    run = np.zeros(len(data), np.int64)
+    for k in range(1, 5):
+        n = len(data) - k + 1
+        run = (run[:n] << 8) | data[k - 1 :]
+        found, times = np.unique(run, return_counts=True)
+        gram.append(found), size.append(np.full(len(found), k)), count.append(times)
+    langs = [f"l{k}" for k in range(12)]
+    copies = [np.concatenate(x) for x in (size, gram, count)]
+    model = LanguageModel(
+        langs, np.repeat(np.arange(12), len(copies[0])), *[np.tile(x, 12).astype(np.int64) for x in copies]
+    )
+    tracemalloc.start()
+    tables = model.tables()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    own = tables.bits.nbytes + tables.child.nbytes
+    assert peak < 3 * own + 16 * model.gram.nbytes / 4, (peak, own)

@@ -28,6 +28,8 @@ SAMPLE_DOCS = 400
 UNDETERMINED = "und"
 #: Tasks that count the byte strings of the sample.
 COUNT_TASKS = 4
+#: Contexts whose probabilities are worked out at a time, and bytes of text that are coded at a time.
+CONTEXTS, CODED_BYTES = 1024, 1 << 17
 
 _ASCII_LETTER = np.zeros(256, bool)
 _ASCII_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
@@ -50,10 +52,8 @@ class LanguageModel:
         code = np.zeros(256, np.int64)  # 0: a byte that no training text has, or no byte at all
         code[seen] = np.arange(1, len(seen) + 1)
         width = len(seen) + 1
-        # order 0; order -1 is one of 256 bytes, equally likely
-        rows = [_blend(np.full((1, width, n_langs), 1 / 256), *self._counts(1, code, width, np.zeros(1, np.int64)))]
         starts = [0]
-        nodes = [np.zeros(1, np.int64)]  # per order: the sorted contexts, as numbers to base ``width``
+        nodes, parents = [np.zeros(1, np.int64)], [np.zeros(1, np.int64)]  # per order: the sorted contexts, as numbers to base ``width``
         for order in range(1, ORDER + 1):
             own = self._coded(order + 1, code, width)
             contexts = np.unique(own // width)
@@ -61,19 +61,29 @@ class LanguageModel:
             parent = np.searchsorted(nodes[-1], shorter)
             known = (parent < len(nodes[-1])) & (nodes[-1][np.minimum(parent, len(nodes[-1]) - 1)] == shorter)
             # a context's end is itself a context, but where it stands only at the end of texts
-            contexts, parent = contexts[known], parent[known]
-            nodes.append(contexts)
-            rows.append(_blend(rows[-1][parent], *self._counts(order + 1, code, width, contexts)))
-            starts.append(starts[-1] + len(rows[-2]))
+            starts.append(starts[-1] + len(nodes[-1]))
+            nodes.append(contexts[known])
+            parents.append(parent[known])
         # child[row * width + c]: the row of the context that c precedes, or the row itself
-        total = starts[-1] + len(rows[-1])
-        child = np.repeat(np.arange(total), width)
+        total = starts[-1] + len(nodes[-1])
+        child = np.repeat(np.arange(total, dtype=np.int32), width)
         for order in range(1, ORDER + 1):
             at = nodes[order]
             parent = np.searchsorted(nodes[order - 1], at % width ** (order - 1)) + starts[order - 1]
             child[parent * width + at // width ** (order - 1)] = np.arange(len(at)) + starts[order]
-        bits = -np.log2(np.concatenate(rows)).astype(np.float32)
-        return Tables(code.astype(np.int32), width, child.astype(np.int32), bits.reshape(-1, n_langs), starts)
+        # order -1 is one of 256 bytes, equally likely; some contexts at a time, so that no order is held in doubles twice
+        bits = np.empty((total, width, n_langs), np.float32)
+        shorter = np.full((1, width, n_langs), 1 / 256)
+        for order in range(ORDER + 1):
+            rows = []
+            for low in range(0, len(nodes[order]), CONTEXTS):
+                some = slice(low, low + CONTEXTS)
+                found = _blend(shorter[parents[order][some]], self._counts(order + 1, code, width, nodes[order][some]))
+                bits[starts[order] + low : starts[order] + low + len(found)] = -np.log2(found)
+                if order < ORDER:
+                    rows.append(found)
+            shorter = np.concatenate(rows) if rows else shorter
+        return Tables(code.astype(np.int32), width, child, bits.reshape(-1, n_langs), starts)
 
     def _coded(self, size: int, code: np.ndarray, width: int) -> np.ndarray:
         gram = self.gram[self.size == size]
@@ -82,14 +92,14 @@ class LanguageModel:
             out = out * width + code[(gram >> (8 * k)) & 255]
         return out
 
-    def _counts(self, size: int, code: np.ndarray, width: int, contexts: np.ndarray) -> tuple[np.ndarray]:
+    def _counts(self, size: int, code: np.ndarray, width: int, contexts: np.ndarray) -> np.ndarray:
         own = self._coded(size, code, width)
         at = np.searchsorted(contexts, own // width)
         ok = (at < len(contexts)) & (contexts[np.minimum(at, len(contexts) - 1)] == own // width)
         counts = np.zeros((len(contexts), width, len(self.langs)))
         mine = self.size == size
         np.add.at(counts, (at[ok], own[ok] % width, self.lang[mine][ok]), self.count[mine][ok])
-        return (counts,)
+        return counts
 
 
 def _blend(shorter: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -218,7 +228,7 @@ def _predictor(model: LanguageModel, spark):
 
         def predict(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             names, score = np.full(len(text), UNDETERMINED, object), np.zeros(len(text))
-            for c in chunks(text):
+            for c in chunks(text, CODED_BYTES):
                 has_letter = c.per_text(_ASCII_LETTER[c.data]) > 0
                 for k in np.flatnonzero(~has_letter & (c.per_text(c.data >= 0xC2) > 0)):
                     own = bytes(c.data[c.bounds[k] : c.bounds[k + 1]]).decode("utf-8", "replace")
