@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from weekly_mart.sources.workspace import Workspace
 
 LAYERS = ("bronze", "silver", "gold")
-#: Bytes of input that one bucket stands for, and the least number of buckets.
-BUCKET_BYTES, LEAST_BUCKETS = 128 * 1024 * 1024, 8
+#: Bytes of landing files, as they are compressed, that one bucket stands for, and the least number of buckets.
+BUCKET_BYTES, LEAST_BUCKETS = 32 * 1024 * 1024, 8
 
 
 def buckets_for(nbytes: int) -> int:
