@@ -112,3 +112,43 @@ def test_trees_are_compiled_in_little_more_than_their_own_size():
     tracemalloc.stop()
     own = tables.bits.nbytes + tables.child.nbytes
     assert peak < 3 * own + 16 * model.gram.nbytes / 4, (peak, own)
+
+
+def test_workers_get_small_batches_and_scan_in_small_chunks(make_docs):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from weekly_mart.llm.ngram_join import shingle_sets
+    from weekly_mart.llm.textscan import chunks
+
+    docs = make_docs(corpus(3500, 6), parts=1)
+    spark = docs.sparkSession
+    names = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"]
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        for name in names:
+            spark.conf.unset(name)
+        model = learn_languages(docs)
+        identify_language(docs, model)
+        sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long")
+        assert max(r["n"] for r in sizes.collect()) <= 1000
+        spark.conf.set(names[0], "10")  # a lower limit stays
+        identify_language(docs, model)
+        assert spark.conf.get(names[0]) == "10"
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    # what is sent to the workers holds the same model in fewer bytes
+    sent = model.narrow()
+    assert sum(x.nbytes for x in sent[1:]) <= 0.5 * sum(x.nbytes for x in (model.lang, model.size, model.gram, model.count))
+    again = LanguageModel.widened(*sent)
+    assert all((getattr(again, x) == getattr(model, x)).all() for x in ("lang", "size", "gram", "count"))
+
+    text = pa.array([" ".join(f"w{(k * j) % 9973}" for j in range(300)) for k in range(2000)])
+    tracemalloc.start()
+    for c in chunks(text):
+        shingle_sets(c, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24e6, peak

@@ -13,6 +13,18 @@ from pyspark.sql.window import Window
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Rows and bytes of a batch that goes to a Python worker. Worker and executor keep the memory that their largest batch took.
+BATCH_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Limit the session's batches; a lower limit that it has already stays."""
+    for name, most in BATCH_LIMITS.items():
+        now = spark.conf.get(name, None)
+        if not (now and now.isdigit() and 0 < int(now) <= most):
+            spark.conf.set(name, str(most))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: ``spark.checkpoint.dir``, or a
     folder of the warehouse where that is unset. A warehouse on machine-local

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekly_mart.llm.common import unit
+from weekly_mart.llm.common import bound_batches, unit
 from weekly_mart.llm.textscan import chunks
 
 #: Bytes of context in the longest branch.
@@ -28,6 +28,8 @@ SAMPLE_DOCS = 400
 UNDETERMINED = "und"
 #: Tasks that count the byte strings of the sample.
 COUNT_TASKS = 4
+#: Bytes of the sample that are counted at a time; fewer would make more partial counts.
+COUNTED_BYTES = 1 << 20
 #: Contexts whose probabilities are worked out at a time, and bytes of text that are coded at a time.
 CONTEXTS, CODED_BYTES = 1024, 1 << 17
 
@@ -45,6 +47,15 @@ class LanguageModel:
     gram: np.ndarray  # its bytes as a big-endian number
     count: np.ndarray
 
+    def narrow(self) -> tuple:
+        """The fields in as few bytes as hold them: a worker process keeps what is sent to it."""
+        fields = [x.astype(np.min_scalar_type(int(x.max(initial=0)))) for x in (self.lang, self.size, self.gram, self.count)]
+        return self.langs, *fields
+
+    @staticmethod
+    def widened(langs: list[str], *fields: np.ndarray) -> LanguageModel:
+        return LanguageModel(langs, *[x.astype(np.int64) for x in fields])
+
     def tables(self) -> Tables:
         """The trees of all languages as one automaton over byte classes."""
         n_langs = len(self.langs)
@@ -139,23 +150,24 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs, text = batch.columns
         langs = langs.to_pylist()
-        for c in chunks(text):
-            data, text_of = c.data.astype(np.int64), np.repeat(np.arange(c.last - c.first), np.diff(c.bounds))
+        for c in chunks(text, COUNTED_BYTES):
+            # a string of four bytes at most is a number of 32 bits
+            data, text_of = c.data.astype(np.uint32), np.repeat(np.arange(c.last - c.first, dtype=np.int32), np.diff(c.bounds))
             for lang in set(langs[c.first : c.last]):
                 mine = np.array([x == lang for x in langs[c.first : c.last]])
-                gram = np.zeros(len(data), np.int64)
+                gram = np.zeros(len(data), np.uint32)
                 for size in range(1, ORDER + 2):
                     n = len(data) - size + 1
                     if n <= 0:
                         break
-                    gram = (gram[:n] << 8) | data[size - 1 :]
+                    gram = (gram[:n] << np.uint32(8)) | data[size - 1 :]
                     whole = (text_of[:n] == text_of[size - 1 :]) & mine[text_of[:n]]
                     found, count = np.unique(gram[whole], return_counts=True)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([lang] * len(found), pa.string()),
                             pa.array(np.full(len(found), size, np.int32)),
-                            pa.array(found),
+                            pa.array(found.astype(np.int64)),
                             pa.array(count.astype(np.int64)),
                         ],
                         names=["lang", "size", "gram", "n"],
@@ -216,15 +228,15 @@ _compiled: dict[str, Tables | None] = {}
 
 def _predictor(model: LanguageModel, spark):
     """A function for tasks: names and scores of the texts of a string column."""
-    shared = spark.sparkContext.broadcast((model.langs, model.lang, model.size, model.gram, model.count))
-    name = uuid.uuid4().hex
+    bound_batches(spark)
+    shared = spark.sparkContext.broadcast(model.narrow())
+    name, model_langs = uuid.uuid4().hex, model.langs
 
     def load():
-        learned = LanguageModel(*shared.value)
         if name not in _compiled:  # once for each worker process, which keeps the last model only
             _compiled.clear()
-            _compiled[name] = learned.tables() if learned.langs else None
-        tables, langs = _compiled[name], np.array(learned.langs, object)
+            _compiled[name] = LanguageModel.widened(*shared.value).tables() if model_langs else None
+        tables, langs = _compiled[name], np.array(model_langs, object)
 
         def predict(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             names, score = np.full(len(text), UNDETERMINED, object), np.zeros(len(text))

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from weekly_mart.llm.common import forget, materialise, maybe_in, membership, packed, unpacked
+from weekly_mart.llm.common import bound_batches, forget, materialise, maybe_in, membership, packed, unpacked
 from weekly_mart.llm.components import components
 from weekly_mart.llm.textscan import LOWER, Chunk, chunks, mix, windows
 
@@ -342,6 +342,7 @@ def jaccard_links(
 
     The links connect exactly the classes that chains of similar pairs connect.
     """
+    bound_batches(docs.sparkSession)
     narrow = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     kind = narrow.schema["_id"].dataType.simpleString()
     # rows are numbered, so that a shuffled token names its set by a few bytes rather than by a digest

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekly_mart.llm.common import materialise, ordered_slots, packed, unit, unpacked
+from weekly_mart.llm.common import bound_batches, materialise, ordered_slots, packed, unit, unpacked
 from weekly_mart.llm.textscan import chunks
 
 #: No source is seen more often than this.
@@ -43,6 +43,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def with_tokens(rows: DataFrame, text: str) -> DataFrame:
     """The other columns of ``rows`` and ``tokens``: white-space words of the whole text (null: 0)."""
+    bound_batches(rows.sparkSession)
     kept = [c for c in rows.columns if c != text]
     narrow = rows.select(*kept, F.col(text).cast("string"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1])

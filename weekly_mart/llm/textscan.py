@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 #: Bytes outside words: space and \t \n \v \f \r.
 _SPACE = np.zeros(256, bool)
