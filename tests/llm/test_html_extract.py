@@ -180,3 +180,31 @@ def test_modifier_classes_and_marked_wrappers_keep_the_article():
         assert blocks(f"<div class='{name}'>x</div>") == [(FURNITURE, "x")]
     for name in ("has-sidebar", "no-comments", "ad-free", "category-social", "post-with-footer", "menuhin", "content"):
         assert blocks(f"<div class='{name}'>x</div>") == [(OPEN, "x")]
+
+
+def test_a_large_host_is_shuffled_in_passes(spark, tmp_path, monkeypatch):
+    from weekly_mart.llm import html_extract
+
+    # one host, whose blocks are about all that the pages hold; written tables are watched
+    rng = np.random.default_rng(8)
+    word = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10**9, n))
+    notice = "this notice stands on every single page of the host"
+    rows = [(i, "https://a.example/x", f"<div>{word(200)}</div><div>{notice}</div>") for i in range(60)]
+    rows += [(100 + i, *rows[0][1:]) for i in range(40)]
+    written, plain = [], html_extract.materialise
+
+    def watched(df, name, **options):
+        out = plain(df, name, **options)
+        if "blocks" in out.columns or "texts" in out.columns:
+            written.append(name)
+        if name in ("page-cells", "page-runs"):
+            written.append((name, df._jdf.queryExecution().optimizedPlan().toString().count("xxhash64(10")))
+        return out
+
+    monkeypatch.setattr(html_extract, "materialise", watched)
+    got = {r["page_id"]: r["text"] for r in extract_text(pages(spark, rows), array_words=600).collect()}
+    assert got == {i: h[len("<div>") : h.index("</div>")] for i, _, h in rows}
+    # blocks are written once, and no shuffle is of all pages
+    assert [x for x in written if isinstance(x, str)] == ["page-blocks"]
+    passes = [x for x in written if not isinstance(x, str)]
+    assert len(passes) == 2 * html_extract.PASSES and all(n >= 1 for _, n in passes)

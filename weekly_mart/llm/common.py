@@ -42,7 +42,7 @@ def scratch_root(spark: SparkSession) -> str:
 _folders: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` to a new folder of the shared scratch space and read it back.
 
     Cuts lineage: a lost executor recomputes from the written files, never from
@@ -53,7 +53,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_root(spark)}/llm-{name}-{uuid.uuid4().hex}"
     if spark.conf.get(SHUFFLE_CLEANUP, None) != "true":
         spark.conf.set(SHUFFLE_CLEANUP, "true")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     written = spark.read.schema(df.schema).parquet(path)
     _folders[written] = path
     return written

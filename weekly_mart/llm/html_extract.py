@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekly_mart.llm.common import forget, materialise
+from weekly_mart.llm.common import forget, materialise, maybe_in, membership
 from weekly_mart.llm.html_blocks import ARTICLE, FURNITURE, OPEN, blocks
 from weekly_mart.llm.textscan import chunks, mix
 
@@ -30,6 +30,8 @@ RUN_WORDS = 8
 OPEN_SHARE, ARTICLE_SHARE, CONFIDENCE = 0.48, 0.81, 2.2
 #: Words of one suffix array, on average; larger hosts are dealt over several.
 ARRAY_WORDS = 50_000
+#: Passes over the pages, so that the shuffle files of one pass exist at a time.
+PASSES = 6
 
 
 def suffix_groups(stream: np.ndarray, depth: int) -> np.ndarray:
@@ -151,6 +153,17 @@ def _reaches(n: Column, pages: Column, share: float) -> Column:
     return (p + z2 / (2 * pages) - spread) / (1 + z2 / pages) >= share - 1e-12
 
 
+def _in_pass(k: int, *cols: str) -> Column:
+    return F.pmod(F.xxhash64(F.lit(10), *cols), F.lit(PASSES)) == k
+
+
+def _all(tables: list[DataFrame]) -> DataFrame:
+    every = tables[0]
+    for more in tables[1:]:
+        every = every.unionByName(more)
+    return every
+
+
 def boilerplate_runs(
     parsed: DataFrame, *, run_words: int = RUN_WORDS, array_words: int = ARRAY_WORDS,
 ) -> DataFrame:
@@ -164,15 +177,14 @@ def boilerplate_runs(
     many suffix arrays as it needs. What has the share in the host has it in at
     least one of these, so each hands on the runs that have it there; these
     candidates are then counted in all pages of the host.
+
+    Scale: blocks are shuffled in `PASSES` passes, over suffix arrays and then
+    over pages, so disk holds a share of them at a time, however large a host is.
     """
-    # one page of each class; copies are combined before the shuffle
-    distinct = materialise(
-        parsed.where("words > 0").groupBy("host", "content")
-        .agg(F.max("words").alias("words"), F.first("blocks").alias("blocks")),
-        "page-classes",
-    )
+    worded = parsed.where("words > 0")
+    classes = worded.groupBy("host", "content").agg(F.max("words").alias("words"))
     hosts = materialise(
-        distinct.groupBy("host").agg(F.count(F.lit(1)).alias("pages"), F.sum("words").alias("all_words")), "page-hosts"
+        classes.groupBy("host").agg(F.count(F.lit(1)).alias("pages"), F.sum("words").alias("all_words")), "page-hosts"
     )
     # hosts of more than one array, in a table of their own, so that its size decides how it is joined
     large = materialise(
@@ -180,24 +192,35 @@ def boilerplate_runs(
         .where("parts > 1"),
         "page-large-hosts",
     )
-    candidates = materialise(
-        distinct.join(large, F.col("host") == F.col("_host"), "left")
-        .select(
-            "host", F.pmod(F.xxhash64("content"), F.coalesce("parts", F.lit(1).cast("long"))).alias("part"),
-            F.transform("blocks", lambda b: b.text).alias("texts"),
-        )
-        .groupBy("host", "part")
-        .applyInArrow(_candidates(run_words, OPEN_SHARE), "host string, digest long")
-        .groupBy("host").agg(F.collect_set("digest").alias("known")),
-        "page-candidates",
-    )
-    places = materialise(
-        distinct.join(candidates, "host").select("host", "content", "blocks", "known").mapInArrow(
-            _places(run_words),
-            "host string, content string, digest long, place int, block int, start long, size long",
-        ),
-        "page-runs",
+    part = F.pmod(F.xxhash64("content"), F.coalesce("parts", F.lit(1).cast("long")))
+    celled = worded.join(large, F.col("host") == F.col("_host"), "left").select(
+        "host", part.alias("part"), "content", F.transform("blocks", lambda b: b.text).alias("texts")
     )
+    # one page of each class; copies are combined before the shuffle
+    cells = [
+        materialise(
+            celled.where(_in_pass(k, "host", "part")).groupBy("host", "part", "content").agg(F.first("texts").alias("texts"))
+            .groupBy("host", "part").applyInArrow(_candidates(run_words, OPEN_SHARE), "host string, digest long"),
+            "page-cells",
+        )
+        for k in range(PASSES)
+    ]
+    candidates = materialise(_all(cells).groupBy("host").agg(F.collect_set("digest").alias("known")), "page-candidates")
+    # pages of hosts without candidates stay behind
+    named = membership(candidates, "host")
+    met = maybe_in(worded, named, "host", flag="met").where("met")
+    places = [
+        materialise(
+            met.where(_in_pass(k, "host", "content")).groupBy("host", "content").agg(F.first("blocks").alias("blocks"))
+            .join(candidates, "host").select("host", "content", "blocks", "known").mapInArrow(
+                _places(run_words),
+                "host string, content string, digest long, place int, block int, start long, size long",
+            ),
+            "page-runs",
+        )
+        for k in range(PASSES)
+    ]
+    written, places = [hosts, large, *cells, candidates, named, *places], _all(places)
     n, pages = F.col("n"), F.col("pages")
     repeated = (
         places.groupBy("host", "digest").agg(F.countDistinct("content").alias("n"))
@@ -210,7 +233,7 @@ def boilerplate_runs(
         .groupBy("host", "content").agg(F.collect_set(F.struct("block", "start", "size")).alias("runs")),
         "page-repeats",
     )
-    forget(distinct, hosts, large, candidates, places)
+    forget(*written)
     return runs
 
 
@@ -253,7 +276,9 @@ def extract_text(
     and count as one page. An empty table gives an empty result. Only the three
     named columns are read.
 
-    Scale: pages are parsed once and their blocks written; no html is shuffled.
+    Scale: pages are parsed once and their blocks written, compressed; no html is
+    shuffled. Pages without repeated runs give their text as they are read; of the
+    others the blocks outside furniture meet their runs by a shuffle.
     """
     url = F.col(url_col).cast("string")
     narrow = pages.select(
@@ -267,14 +292,20 @@ def extract_text(
             _parsed,
             f"_id {kind}, _url string, host string, content string, words long, blocks array<struct<place:int,text:string>>",
         ),
-        "page-blocks",
+        "page-blocks", compression="zstd",
     )
     repeats = boilerplate_runs(parsed, run_words=run_words, array_words=array_words)
+    tagged = maybe_in(parsed, membership(repeats, "host", "content"), "host", "content", flag="met")
+    # a block keeps its number; what stands in furniture gives no text
+    shown = F.transform(
+        "blocks", lambda b: F.struct(b.place.alias("place"), F.when(b.place != FURNITURE, b.text).otherwise("").alias("text"))
+    )
     repeats = repeats.select(F.col("host").alias("_host"), F.col("content").alias("_content"), "runs")
-    texts = (
-        parsed.join(repeats, (F.col("host") == F.col("_host")) & (F.col("content") == F.col("_content")), "left")
-        .select("_id", "_url", "blocks", "runs").mapInArrow(_texts, f"_id {kind}, _url string, text string")
+    met = tagged.where("met").select("_id", "_url", "host", "content", shown.alias("blocks")).join(
+        repeats, (F.col("host") == F.col("_host")) & (F.col("content") == F.col("_content")), "left"
     )
+    alone = tagged.where("NOT met").select("_id", "_url", "blocks", F.lit(None).cast(met.schema["runs"].dataType).alias("runs"))
+    texts = alone.unionByName(met.select("_id", "_url", "blocks", "runs")).mapInArrow(_texts, f"_id {kind}, _url string, text string")
     return texts.select(
         F.col("_id").alias(id_col), F.col("_url").alias(url_col), "text",
         F.length("text").cast("long").alias("n_chars"),
